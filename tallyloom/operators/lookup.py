@@ -206,3 +206,13 @@ def enrich_or_keep(df: DataFrame, found: DataFrame, keys: Sequence[str], cols: S
     return joined.select(
         *[(F.coalesce(F.col(f"__new_{c}"), ref(c)) if c in cols else ref(c)).alias(c) for c in df.columns]
     )
+
+
+def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
+    """Keys that hold at least ``share`` of all rows: at most ``1 / share`` values, so safe to bring to the driver.
+
+    One pass of partial counts.
+    """
+    counts = df.groupBy(ref(key)).agg(F.count(F.lit(1)).alias("__n"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return [r[0] for r in counts.filter((F.col("__n") >= total * share) & ref(key).isNotNull()).select(ref(key)).collect()]
