@@ -16,7 +16,7 @@ from dataclasses import replace
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,8 @@ _COMMIT = (
     " rows_updated bigint, rows_skipped bigint, rows_filtered bigint"
 )
 
+_COMMIT_FIELDS = [tuple(f.split()) for f in _COMMIT.split(",")]
+
 
 class SnapshotTable:
     """A parquet table under ``path`` with a commit log."""
@@ -43,19 +45,32 @@ class SnapshotTable:
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], _COMMIT)
+            return self.spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in _COMMIT_FIELDS])
+
+    def _state(self, batch_id: str = "") -> Row:
+        """The last commit, and the commit and staging of one batch, in one look at the log."""
+        entry = F.struct(*[n for n, _ in _COMMIT_FIELDS])
+        committed, mine = F.col("state") == "committed", F.col("batch_id") == batch_id
+
+        def newest(condition):
+            return F.max_by(F.when(condition, entry), F.when(condition, F.col("version")))
 
-    def _entry(self, condition) -> Row | None:
-        return self.commits().filter(condition).orderBy(F.desc("version")).first()
+        return self.commits().agg(
+            newest(committed).alias("current"),
+            newest(committed & mine).alias("done"),
+            newest((F.col("state") == "staged") & mine).alias("staged"),
+        ).first()
 
     def current(self) -> Row | None:
-        return self._entry(F.col("state") == "committed")
+        return self._state().current
 
     def read(self) -> DataFrame:
         """The table as of the last commit; an empty one before the first."""
-        entry = self.current()
+        return self._read(self.current())
+
+    def _read(self, entry: Row | None) -> DataFrame:
         if entry is None or not entry.locations:
-            return self.spark.createDataFrame([], self.schema)
+            return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields])
         frame = self.spark.read.schema(self.schema).parquet(*entry.locations)
         if not self.partition_by:
             return frame
@@ -81,8 +96,9 @@ class SnapshotTable:
         floor: str | None = None,
     ) -> None:
         values = [stats.rows_from_api, stats.rows_inserted, stats.rows_updated, stats.rows_skipped, stats.rows_filtered]
-        row = [(version, state, batch_id, locations, dropped or [], floor, *values)]
-        self.spark.createDataFrame(row, _COMMIT).coalesce(1).write.mode("append").json(f"{self.path}/commits")
+        row = [version, state, batch_id, F.array(*map(F.lit, locations)), F.array(*map(F.lit, dropped or [])), floor, *values]
+        cols = [(v if isinstance(v, Column) else F.lit(v)).cast(t).alias(n) for v, (n, t) in zip(row, _COMMIT_FIELDS)]
+        self.spark.range(0, 1, 1, 1).select(*cols).write.mode("append").json(f"{self.path}/commits")
 
     def _write(self, rows: DataFrame, folder: str) -> str:
         location = f"{self.path}/{folder}"
@@ -111,18 +127,17 @@ class SnapshotTable:
         An empty batch is a no-op, so a replace does not empty the table, unless
         the spec allows it (trap T28).
         """
-        done = self._entry((F.col("state") == "committed") & (F.col("batch_id") == batch_id))
-        if done is not None:
-            return LoadStats.from_row(done)
-        entry = self.current()
+        state = self._state(batch_id)
+        if state.done is not None:
+            return LoadStats.from_row(state.done)
+        entry = state.current
         version = (entry.version if entry else 0) + 1
-        staged = self._entry((F.col("state") == "staged") & (F.col("batch_id") == batch_id) & (F.col("version") == version))
-        if staged is not None:
-            stats = LoadStats.from_row(staged)
-            self._overwrite_partitions(entry, version, batch_id, staged.locations[0], stats)
+        if state.staged is not None and state.staged.version == version:
+            stats = LoadStats.from_row(state.staged)
+            self._overwrite_partitions(entry, version, batch_id, state.staged.locations[0], stats)
             return stats
         batch = align_to_schema(batch, self.schema, spec.keys, as_of)
-        target = self.read()
+        target = self._read(entry)
         stats = LoadStats.from_row(load_counts(batch, target, spec).first())
         if stats.rows_from_api == 0 and not (spec.allow_empty and spec.mode == "replace"):
             return LoadStats()

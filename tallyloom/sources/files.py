@@ -17,7 +17,7 @@ def list_files(spark: SparkSession, root: str, since: datetime | None = None, pa
     files = reader.load(root).select("path", "modificationTime", "length")
     if since is not None:
         files = files.filter(F.col("modificationTime") >= F.lit(since))
-    prefix = F.lit(root.rstrip("/").removeprefix("file:") + "/")
+    prefix = root.rstrip("/").removeprefix("file:") + "/"
     return files.withColumn("name", F.substring_index("path", prefix, -1))
 
 

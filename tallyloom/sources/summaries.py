@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.schemas import SUMMARY
 
@@ -18,7 +19,7 @@ def write_summaries(summaries: DataFrame, root: str) -> None:
 
 def read_summaries(spark: SparkSession, root: str, day: date | None = None, platforms: list[str] | None = None) -> DataFrame:
     """All platforms found under the root; day and platform filters prune folders (trap T24)."""
-    df = spark.read.schema(SUMMARY.add("date", "date") if "date" not in SUMMARY.fieldNames() else SUMMARY).json(root)
+    df = spark.read.schema(T.StructType([*SUMMARY.fields, T.StructField("date", T.DateType())])).json(root)
     if day is not None:
         df = df.filter(F.col("date") == F.lit(day))
     if platforms is not None:
