@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 def to_number(col: Column) -> Column:
     """M5: numeric or null; text ``NaN`` counts as missing."""
-    value = col.try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nullif(col.try_cast("double"), F.lit(float("nan")))
 
 
 def percent_to_fraction(col: Column) -> Column:

@@ -82,36 +82,42 @@ def keep_highest_level(df: DataFrame, id_col: str, level: str = "level") -> Data
     return top_k(df, [id_col], [ref(level).try_cast("bigint").desc_nulls_last(), *ties], 1)
 
 
-def latest_load(df: DataFrame, load: str, per: Sequence[str] = ()) -> DataFrame:
+def latest_load(df: DataFrame, load: str, per: Sequence[str] = (), salts: int = 8) -> DataFrame:
     """Rows of the last load, overall or per source.
 
-    The maximum is aggregated first and joined back on (source, load), so the
-    rows of one big source spread over its loads and AQE can split what is left.
+    The maximum is aggregated first and joined back. As a big source may hold
+    most rows in its last load, rows spread over ``salts`` by a hash of the whole
+    row (the same again when a task repeats) and the maxima are copied.
     """
     if not per:
         newest = df.agg(F.max(ref(load))).scalar()
         return df.filter(ref(load) == newest)
     newest = df.groupBy(*map(ref, per)).agg(F.max(ref(load)).alias(load))
-    return df.join(newest, [*per, load], "left_semi")
+    copies = newest.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salt = F.pmod(F.xxhash64(*map(ref, df.columns)), F.lit(salts)).cast("int")
+    return df.withColumn("__salt", salt).join(copies, [*per, load, "__salt"], "left_semi").drop("__salt")
 
 
 def number_in_order(
-    df: DataFrame, keys: Sequence[str], chunk: Column, order: Sequence[Column], name: str, start: Column | None = None
+    df: DataFrame, keys: Sequence[str], chunk: Column, order: Sequence[Column], name: str, per_key: DataFrame | None = None
 ) -> DataFrame:
     """Consecutive numbers per key without one task per key.
 
     ``chunk`` must grow with ``order`` (a day of a timestamp, a bucket of a
     sequence). Rows are numbered inside (key, chunk); the chunk sizes of a key
-    are summed up in front of it. A hot key is thus split by chunk.
+    are summed up in front of it. A hot key is thus split by chunk, and rows
+    shuffle once, on (key, chunk). Columns of ``per_key`` (one row per key) ride
+    along with the chunk sizes; null where the key is missing there.
     """
     chunked = df.withColumn("__chunk", chunk)
     sizes = chunked.groupBy(*map(ref, keys), "__chunk").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*map(ref, keys)).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*map(ref, keys), "__chunk", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    offsets = sizes.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    if per_key is not None:
+        offsets = offsets.join(per_key, list(keys), "left")
     local = Window.partitionBy(*map(ref, keys), "__chunk").orderBy(*order)
     numbered = chunked.withColumn(_RN, F.row_number().over(local)).join(offsets, [*keys, "__chunk"])
-    first = F.lit(1) if start is None else start
-    return numbered.withColumn(name, F.col(_RN) + F.col("__off") - 1 + first).drop(_RN, "__off", "__chunk")
+    return numbered.withColumn(name, F.col(_RN) + F.col("__off")).drop(_RN, "__off", "__chunk")
 
 
 def next_number(existing: DataFrame, keys: Sequence[str], file_name: str) -> DataFrame:
@@ -129,8 +135,7 @@ def name_incoming(
     ``code_n.ext`` with n counting on from the stored ones, in arrival order."""
     keys = [campaign, activity]
     counters = next_number(existing, keys, file_name)
-    arrivals = number_in_order(incoming, keys, chunk, order, "__k")
-    joined = arrivals.join(counters, keys, "left")
+    joined = number_in_order(incoming, keys, chunk, order, "__k", counters)
     known = F.col("next_number").isNotNull()
     n = F.when(known, F.col("next_number") + F.col("__k") - 1).otherwise(F.col("__k") - 1)
     stem = F.when(n == 0, ref(activity)).otherwise(F.concat(ref(activity), F.lit("_"), n.cast("string")))

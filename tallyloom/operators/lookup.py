@@ -45,9 +45,15 @@ SHARE_COUNTS = {
 # ----------------------------------------------------------------------------
 
 
-def key_side(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct keys under private names, so a table can meet a slice of itself."""
-    return df.select(*[ref(k).alias(f"__t_{k}") for k in keys]).distinct()
+def key_side(df: DataFrame, keys: Sequence[str], unique: bool = False) -> DataFrame:
+    """Distinct keys under private names, so a table can meet a slice of itself.
+
+    ``unique`` says the table holds each key once, as loaded tables do. The
+    distinct is then left out: it would not shrink anything, and with a bare
+    shuffle on this side AQE can split a hot key of the other side.
+    """
+    side = df.select(*[ref(k).alias(f"__t_{k}") for k in keys])
+    return side if unique else side.distinct()
 
 
 def same_key(keys: Sequence[str], null_safe: bool = True) -> Column:
@@ -56,7 +62,9 @@ def same_key(keys: Sequence[str], null_safe: bool = True) -> Column:
     return reduce(lambda a, b: a & b, [x.eqNullSafe(y) if null_safe else x == y for x, y in pairs])
 
 
-def anti_existing(new: DataFrame, target: DataFrame, keys: Sequence[str], date_key: str | None = None) -> DataFrame:
+def anti_existing(
+    new: DataFrame, target: DataFrame, keys: Sequence[str], date_key: str | None = None, unique: bool = False
+) -> DataFrame:
     """Rows whose key the target does not hold.
 
     With ``date_key`` in the key the target scan is cut to the days of the batch
@@ -68,19 +76,21 @@ def anti_existing(new: DataFrame, target: DataFrame, keys: Sequence[str], date_k
             raise ValueError("date_key must be one of the keys")
         span = new.agg(F.min(ref(date_key)).alias("lo"), F.max(ref(date_key)).alias("hi"))
         target = target.filter(ref(date_key).between(span.select("lo").scalar(), span.select("hi").scalar()))
-    return new.join(key_side(target, keys), same_key(keys), "left_anti")
+    return new.join(key_side(target, keys, unique), same_key(keys), "left_anti")
 
 
-def mark_existing(new: DataFrame, target: DataFrame, keys: Sequence[str], flag: str = "is_existing") -> DataFrame:
+def mark_existing(
+    new: DataFrame, target: DataFrame, keys: Sequence[str], flag: str = "is_existing", unique: bool = False
+) -> DataFrame:
     """Each row with whether the target holds its key; one plan serves both halves."""
-    hits = key_side(target, keys).withColumn("__hit", F.lit(True))
+    hits = key_side(target, keys, unique).withColumn("__hit", F.lit(True))
     joined = new.join(hits, same_key(keys), "left")
     return joined.select(*map(ref, new.columns), F.col("__hit").isNotNull().alias(flag))
 
 
 def semi_recent(campaigns: DataFrame, links: DataFrame, key: str) -> DataFrame:
-    """Campaigns that have a link."""
-    return campaigns.join(links.select(ref(key)), key, "left_semi")
+    """Campaigns that have a link; links are cut to distinct keys inside the tasks that read them."""
+    return campaigns.join(links.select(ref(key)).distinct(), key, "left_semi")
 
 
 def render_campaigns(
@@ -97,11 +107,11 @@ def render_campaigns(
 
 
 def split_key_join(mails: DataFrame, campaigns: DataFrame, companies: DataFrame, code: str, campaign_code: str, campaign_id: str) -> DataFrame:
-    """E-mails ⋈ campaigns on the code before the dot ⋈ companies."""
+    """E-mails ⋈ campaigns on the code before the dot ⋈ companies; the dimensions meet first, the e-mails join once."""
+    known = campaigns.select(ref(campaign_code).alias("__code"))
+    owners = companies.withColumnRenamed(campaign_id, "__code").join(known, "__code", "left_semi")
     keyed = mails.withColumn("__code", F.split_part(ref(code), F.lit("."), F.lit(1)))
-    known = campaigns.select(ref(campaign_code).alias("__code")).distinct()
-    owners = companies.withColumnRenamed(campaign_id, "__code")
-    return keyed.join(known, "__code", "left_semi").join(owners, "__code").drop("__code")
+    return keyed.join(owners, "__code").drop("__code")
 
 
 def post_insights(posts: DataFrame, stats: DataFrame, order: str) -> DataFrame:

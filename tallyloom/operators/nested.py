@@ -109,21 +109,32 @@ def flatten_nested(df: DataFrame, nested: Sequence[str]) -> DataFrame:
     return df.select(*[(F.coalesce(*cols) if len(cols) > 1 else cols[0]).alias(n) for n, cols in out.items()])
 
 
-def stat_map(stats: Column) -> Column:
-    """Array of (name, value) to a map; null names dropped, the last value of a name wins."""
-    named = F.filter(stats, lambda s: s["name"].isNotNull())
-    names = F.array_distinct(F.transform(named, lambda s: s["name"]))
+def last_where(items: Column, name_field: str, name: Column, value_field: str) -> Column:
+    """Value of the last item with that name, read from the end; null when there is none."""
+    at = F.array_position(F.reverse(items[name_field]), name).cast("int")
+    return F.get(F.reverse(items[value_field]), at - 1)
 
-    def last_of(name: Column) -> Column:
-        return F.element_at(F.filter(named, lambda s: s["name"] == name), -1)["value"]
 
-    return F.map_from_arrays(names, F.transform(names, last_of))
+def stat_map(df: DataFrame, stats: str, out: str) -> DataFrame:
+    """Adds a map from an array of (name, value); null names dropped, the last value of a name wins.
+
+    The reversed lists are columns of their own, so the inner function reads
+    them instead of building them again for each name.
+    """
+    named = df.withColumn("__named", F.filter(ref(stats), lambda s: s["name"].isNotNull()))
+    lists = named.withColumns({"__names": F.reverse("__named.name"), "__values": F.reverse("__named.value")})
+    keyed = lists.withColumn("__keys", F.array_distinct("__names"))
+
+    def last(key: Column) -> Column:
+        return F.get("__values", F.array_position("__names", key).cast("int") - 1)
+
+    made = keyed.withColumn(out, F.map_from_arrays("__keys", F.transform("__keys", last)))
+    return made.drop("__named", "__names", "__values", "__keys")
 
 
 def stat_value(stats: Column, name: str) -> Column:
     """One entry of an (name, value) array without building the map; null when absent."""
-    hits = F.filter(stats, lambda s: s["name"] == name)
-    return F.get(hits, F.size(hits) - 1)["value"]
+    return last_where(stats, "name", F.lit(name), "value")
 
 
 # ------------------------------------------------------------------ actions
@@ -134,8 +145,9 @@ def action_columns(df: DataFrame, actions: str, types: Sequence[str], prefix: st
     """
 
     def value(kind: str) -> Column:
-        hits = F.filter(ref(actions), lambda a: a["action_type"] == kind)
-        return F.when(F.size(hits) > 0, F.coalesce(F.element_at(hits, -1)["value"].try_cast("double"), F.lit(0.0)))
+        found = F.array_contains(ref(actions)["action_type"], kind)
+        last = last_where(ref(actions), "action_type", F.lit(kind), "value")
+        return F.when(found, F.coalesce(last.try_cast("double"), F.lit(0.0)))
 
     return df.withColumns({f"{prefix}{t}": value(t) for t in types})
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import html, text
@@ -34,8 +34,9 @@ def first_previews(candidates: DataFrame, previews: DataFrame) -> DataFrame:
     All calls use the message of the newsletter's first candidate, so it is
     attached to every candidate before the join.
     """
-    lead = candidates.groupBy("newsletter_id").agg(F.min_by("message_id", F.col("rn")).alias("message_id"))
-    tries = candidates.drop("message_id", "last_render").join(lead, "newsletter_id")
+    # At most k candidates per newsletter, already together after the ranking.
+    group = Window.partitionBy("newsletter_id")
+    tries = candidates.withColumn("message_id", F.min_by("message_id", "rn").over(group)).drop("last_render")
     return first_success(tries, previews, ["message_id", "contact_id"], "newsletter_id", "rn")
 
 

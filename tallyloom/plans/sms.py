@@ -40,8 +40,9 @@ def sms_messages(renders: DataFrame, campaigns: DataFrame, as_of: date, years: i
     per_message = log.groupBy(F.col("MESSAGE_ID").alias("message_id"), F.col("MESSAGE_EXTERNALID").alias("activity_id")).agg(
         F.max("USER_ID").alias("contact_id")
     )
-    owners = campaigns.select(F.col("NEWSLETTERID").alias("activity_id"), F.col("COMPANYID").alias("company_id")).distinct()
-    return per_message.join(owners, "activity_id").select("message_id", "activity_id", "contact_id", "company_id")
+    owners = campaigns.select(F.col("NEWSLETTERID").alias("activity_id"), F.col("COMPANYID").alias("company_id"))
+    joined = per_message.join(owners, "activity_id")
+    return joined.select("message_id", "activity_id", "contact_id", "company_id").distinct()
 
 
 def sms_statistics(statistics: DataFrame) -> DataFrame:

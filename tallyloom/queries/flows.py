@@ -160,7 +160,7 @@ t AS (SELECT c.newsletter_id, lead.message_id, c.contact_id, c.rn, c.company_id
 p AS (SELECT e.event_id // 3 AS contact_id, max(d.doc_id) AS doc_id FROM events e JOIN documents d ON d.doc_id = e.user_id WHERE event_type = 'click' GROUP BY 1),
 h AS (SELECT t.*, p.doc_id, row_number() OVER (PARTITION BY newsletter_id ORDER BY rn) AS try FROM t JOIN p ON p.contact_id = t.contact_id)
 SELECT newsletter_id, company_id, contact_id, rn, newsletter_id || '.png' AS image_name, CAST(doc_id AS BIGINT) AS doc_id FROM h
-WHERE try = 1 AND newsletter_id || '.png' <> 'ACT3.png'
+WHERE try = 1 AND newsletter_id || '.png' NOT IN (SELECT 'ACT' || n_nationkey || '.png' FROM nation WHERE n_regionkey = 2)
 """)
 def newsletter_images(spark, sf_dir):
     """First preview that exists, cleaned, images still to make."""
@@ -174,14 +174,15 @@ def newsletter_images(spark, sf_dir):
     pairs = candidates.select("newsletter_id", "contact_id").join(lead, "newsletter_id").join(found, "contact_id")
     previews = pairs.select("message_id", "contact_id", "doc_id", body.alias("html"), F.lit(None).cast("string").alias("external_id")).distinct()
     first = newsletter.first_previews(candidates, previews)
-    existing = spark.range(1).select(F.lit("ACT3.png").alias("name"))
+    done = tab(spark, sf_dir, "nation").filter("n_regionkey = 2")
+    existing = done.select(F.concat(F.lit("ACT"), F.col("n_nationkey").cast("string"), F.lit(".png")).alias("name"))
     out = newsletter.images_to_make(newsletter.clean_bodies(first, repair=False), existing)
     number = F.regexp_extract("html", r"^<p>(\d+)</p>$", 1).cast("bigint")
     return out.select("newsletter_id", "company_id", "contact_id", "rn", "image_name", number.alias("doc_id"))
 
 
 _RUNS = """
-WITH t AS (SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS platform, user_id // 50 AS part, count(*) AS n, max(value) > 300 AS bad FROM events GROUP BY ALL),
+WITH t AS (SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS platform, hour(ts) AS part, count(*) AS n, max(value) > 300 AS bad FROM events GROUP BY ALL),
 x AS (SELECT day, platform, CAST(sum(CASE WHEN bad THEN 0 ELSE n END) AS BIGINT) AS api, count(*) AS tables_count, count_if(NOT bad) AS ok, count_if(bad) AS failed FROM t GROUP BY ALL),
 s AS (SELECT *, CASE WHEN failed = 0 THEN 'success' WHEN ok = 0 THEN 'failed' ELSE 'partial_success' END AS status FROM x)
 """
@@ -189,7 +190,7 @@ s AS (SELECT *, CASE WHEN failed = 0 THEN 'success' WHEN ok = 0 THEN 'failed' EL
 
 def _run_tables(spark, sf_dir):
     e = tab(spark, sf_dir, "events")
-    parts = e.groupBy(day_text(F.col("ts")).alias("execution_id"), F.col("event_type").alias("platform"), F.expr("user_id div 50").alias("part")).agg(
+    parts = e.groupBy(day_text(F.col("ts")).alias("execution_id"), F.col("event_type").alias("platform"), F.hour("ts").alias("part")).agg(
         F.count(F.lit(1)).alias("n"), (F.max("value") > 300).alias("bad")
     )
     zero = F.lit(0).cast("bigint")
@@ -219,7 +220,7 @@ def run_report(spark, sf_dir):
     tables = _run_tables(spark, sf_dir)
     totals = monitoring.run_totals(tables)
     stamp = F.concat("execution_id", F.lit("T03:30:00"))
-    # A run has one entry per table, at most a handful.
+    # A run has one entry per table: here at most one per hour.
     names = [f.name for f in SUMMARY["tables"].dataType.elementType.fields]
     details = tables.groupBy("execution_id", "platform").agg(F.collect_list(F.struct(*names)).alias("tables"))
     rows = totals.join(details, ["execution_id", "platform"]).withColumns({"start_time": stamp, "end_time": stamp})

@@ -19,7 +19,7 @@ WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderstatus = 'F' AND o.o_ord
 def anti_existing(spark, sf_dir):
     """J1, J11, U2b."""
     done = tab(spark, sf_dir, "orders").filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
-    return lookup.anti_existing(tab(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"), done, ["l_orderkey"])
+    return lookup.anti_existing(tab(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"), done, ["l_orderkey"], unique=True)
 
 
 @query("""
@@ -42,7 +42,7 @@ FROM lineitem l LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus = '
 def new_vs_existing(spark, sf_dir):
     """Both halves from one plan."""
     known = tab(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("l_orderkey"))
-    return lookup.mark_existing(tab(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), known, ["l_orderkey"])
+    return lookup.mark_existing(tab(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), known, ["l_orderkey"], unique=True)
 
 
 @query("""

@@ -35,7 +35,8 @@ def stat_array_map(spark, sf_dir):
         _pair(None, F.lit("lost")),
     )
     rate = F.when(flag == "N", "12.345").when(flag == "A", "NaN")
-    li = tab(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", nested.stat_map(stats).alias("m"), rate.alias("rate"))
+    li = tab(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", stats.alias("stats"), rate.alias("rate"))
+    li = nested.stat_map(li, "stats", "m")
     sent, delivered = safe_int(F.col("m")["majorSent"]), safe_int(F.col("m")["accepted"])
     return li.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", sent.alias("sent"), delivered.alias("delivered"),

@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Split a hot join key even where the split costs one more shuffle behind the join.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }
@@ -28,6 +30,14 @@ def build_session(app: str = "tallyloom", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def shuffle_partitions(input_bytes: int, target_bytes: int = 128 << 20, at_least: int = 200) -> int:
+    """Initial shuffle partitions for a load of this size; AQE merges the small ones, so too many is the safe side.
+
+    Pass the result as ``spark.sql.shuffle.partitions``: 100 TB gives about 820,000.
+    """
+    return max(at_least, -(-input_bytes // target_bytes))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 

@@ -51,7 +51,7 @@ def _match(keys: list[str]) -> Column:
 
 def append_rows(new: DataFrame, target: DataFrame, spec: LoadSpec) -> DataFrame:
     """K2: only the rows to add."""
-    return anti_existing(new, target, key_columns(new, spec), spec.date_key)
+    return anti_existing(new, target, key_columns(new, spec), spec.date_key, unique=bool(spec.keys))
 
 
 def _scope_filter(target: DataFrame, spec: LoadSpec) -> Column:
@@ -69,7 +69,7 @@ def _with_updates(target: DataFrame, new: DataFrame, keys: list[str], updates: d
     kept = joined.select(
         *[(F.when(hit, updates[c]).otherwise(ref(c)) if c in updates else ref(c)).alias(c) for c in target.columns]
     )
-    fresh = new.join(key_side(target, keys), same_key(keys, null_safe=False), "left_anti")
+    fresh = new.join(key_side(target, keys, unique=True), same_key(keys, null_safe=False), "left_anti")
     return kept.unionByName(fresh.select(*map(ref, target.columns)))
 
 
@@ -97,6 +97,17 @@ def merge_rows(new: DataFrame, target: DataFrame, spec: LoadSpec) -> DataFrame:
     return _with_updates(target, new, keys, updates)
 
 
+def merge_into(new: DataFrame, table: str, spec: LoadSpec) -> None:
+    """K5 on a catalog table whose format takes row-level changes: one MERGE, only touched files are rewritten."""
+    keys = key_columns(new, spec)
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & (F.col(f"{table}.{k}") == F.col(f"batch.{k}"))
+    changed = {c: F.col(f"batch.{c}") for c in (spec.update or [c for c in new.columns if c not in keys])}
+    merge = prepare_batch(new, spec).alias("batch").mergeInto(table, cond)
+    merge.whenMatched().update(changed).whenNotMatched().insertAll().merge()
+
+
 def load_counts(batch: DataFrame, target: DataFrame, spec: LoadSpec) -> DataFrame:
     """The five counters and ``rows_written`` as one row.
 
@@ -112,7 +123,7 @@ def load_counts(batch: DataFrame, target: DataFrame, spec: LoadSpec) -> DataFram
     if spec.mode == "replace":
         marked = sizes.withColumn("__old", F.lit(False))
     else:
-        old = key_side(target, keys).withColumn("__hit", F.lit(True))
+        old = key_side(target, keys, unique=bool(spec.keys)).withColumn("__hit", F.lit(True))
         marked = sizes.join(old, same_key(keys), "left").withColumn("__old", F.col("__hit").isNotNull())
     total = F.coalesce(F.sum("__rows"), F.lit(0))
     usable, known = F.count_if(full), F.count_if(full & F.col("__old"))

@@ -247,3 +247,9 @@ def test_stats_sum():
 def test_load_dates_replaced_on_increment(spark, table):
     table.load(frame(spark, [(1, "other", 1)]), spec("increment", increment=("n",)), "x")
     assert rows(table.read().filter(F.col("k") == 1)) == [(1, "a", 11, NEW)]
+
+
+def test_merge_into_needs_a_capable_table(spark):
+    spark.sql("create or replace temp view merge_target as select 1L k, 's' s, 1L n, date'2024-01-01' load_date")
+    with pytest.raises(Exception):
+        merge.merge_into(frame(spark, BATCH), "merge_target", spec("upsert"))

@@ -40,7 +40,7 @@ def test_flatten_empty_lists(spark):
 
 def test_stat_map(spark):
     df = from_json(spark, ['{"s":[{"name":"a","value":"1"},{"name":null,"value":"9"},{"name":"a","value":"2"}]}', '{"s":[]}', "{}"], "s array<struct<name:string,value:string>>")
-    got = [r[0] for r in df.select(nested.stat_map(F.col("s"))).collect()]
+    got = [r.m for r in nested.stat_map(df, "s", "m").collect()]
     assert got == [{"a": "2"}, {}, None]
     assert [r[0] for r in df.select(nested.stat_value(F.col("s"), "a")).collect()] == ["2", None, None]
 
