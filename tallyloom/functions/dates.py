@@ -44,8 +44,10 @@ def iso_to_utc(col: Column) -> Column:
     local = F.substring(col, 1, 19).try_cast("timestamp_ntz")
     sign = F.when(F.substring(col, 20, 1) == "-", -1).otherwise(1)
     digits = F.replace(F.substring(col, 21, 6), F.lit(":"), F.lit(""))
-    hours = F.coalesce(F.substring(digits, 1, 2).try_cast("int"), F.lit(0))
-    minutes = F.coalesce(F.substring(digits, 3, 2).try_cast("int"), F.lit(0))
+    # ``Z`` has no digits: asked first, as a failing cast costs an exception per row.
+    numeric = F.length(digits) == 4
+    hours = F.when(numeric, F.substring(digits, 1, 2).try_cast("int")).otherwise(0)
+    minutes = F.when(numeric, F.substring(digits, 3, 2).try_cast("int")).otherwise(0)
     shifted = F.timestamp_add("MINUTE", -sign * (hours * 60 + minutes), local)
     return F.when(col.rlike(_ISO), shifted)
 

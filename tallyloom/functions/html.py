@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import html as _html
+import sys
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -44,6 +46,10 @@ def body_of(col: Column) -> Column:
     return F.when(body != "", body).otherwise(col)
 
 
+# Workers get the helper with the task, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 class _Balancer(HTMLParser):
     """Re-emits markup with every element closed and stray end tags dropped."""
 

@@ -23,7 +23,8 @@ def safe_int(col: Column, default: int = 0) -> Column:
 
 def safe_decimal(col: Column, default: Column | None = None) -> Column:
     """M3: two places, half-even; ``NaN`` and bad text give the default."""
-    value = F.bround(col.cast("string").try_cast("decimal(38,10)"), 2).cast("decimal(18,2)")
+    text = col.cast("string")
+    value = F.bround(F.when(F.lower(text) != "nan", text).try_cast("decimal(38,10)"), 2).try_cast("decimal(18,2)")
     return value if default is None else F.coalesce(value, default.cast("decimal(18,2)"))
 
 

@@ -120,9 +120,8 @@ def convert_int(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def plain_id(col: Column) -> Column:
-    """``123.0`` to ``123``; anything else trimmed text."""
-    whole = col.cast("string").try_cast("decimal(38,1)").cast("decimal(38,0)")
-    return F.coalesce(whole.cast("string"), F.trim(col.cast("string")))
+    """``123.0`` to ``123``, whole numbers without leading zeros; anything else trimmed text."""
+    return F.regexp_replace(F.trim(col.cast("string")), r"^\+?(-?)0*(\d+)(?:\.0*)?$", "$1$2")
 
 
 def convert_id_types(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.operators.columns import ref, require
+from tallyloom.operators.skew import SALTS, spread_join
 
 _RN = "__rn"
 
@@ -82,7 +83,7 @@ def keep_highest_level(df: DataFrame, id_col: str, level: str = "level") -> Data
     return top_k(df, [id_col], [ref(level).try_cast("bigint").desc_nulls_last(), *ties], 1)
 
 
-def latest_load(df: DataFrame, load: str, per: Sequence[str] = (), salts: int = 8) -> DataFrame:
+def latest_load(df: DataFrame, load: str, per: Sequence[str] = (), salts: int = SALTS) -> DataFrame:
     """Rows of the last load, overall or per source.
 
     The maximum is aggregated first and joined back. As a big source may hold
@@ -93,9 +94,7 @@ def latest_load(df: DataFrame, load: str, per: Sequence[str] = (), salts: int =
         newest = df.agg(F.max(ref(load))).scalar()
         return df.filter(ref(load) == newest)
     newest = df.groupBy(*map(ref, per)).agg(F.max(ref(load)).alias(load))
-    copies = newest.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salt = F.pmod(F.xxhash64(*map(ref, df.columns)), F.lit(salts)).cast("int")
-    return df.withColumn("__salt", salt).join(copies, [*per, load, "__salt"], "left_semi").drop("__salt")
+    return spread_join(df, newest, [*per, load], "left_semi", salts)
 
 
 def number_in_order(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.text import placeholder_name
 from tallyloom.operators.columns import ref, require
 from tallyloom.operators.dedupe import deduplicate, top_k
+from tallyloom.operators.skew import SALTS, row_salt, spread_join
 
 # --- Fixed values -----------------------------------------------------------
 DEFAULT_COMPANY = 1
@@ -111,7 +112,7 @@ def split_key_join(mails: DataFrame, campaigns: DataFrame, companies: DataFrame,
     known = campaigns.select(ref(campaign_code).alias("__code"))
     owners = companies.withColumnRenamed(campaign_id, "__code").join(known, "__code", "left_semi")
     keyed = mails.withColumn("__code", F.split_part(ref(code), F.lit("."), F.lit(1)))
-    return keyed.join(owners, "__code").drop("__code")
+    return spread_join(keyed, owners, ["__code"]).drop("__code")
 
 
 def post_insights(posts: DataFrame, stats: DataFrame, order: str) -> DataFrame:
@@ -140,7 +141,7 @@ def lookup(
 
 
 def salted_lookup(
-    df: DataFrame, dim: DataFrame, key: str, dim_key: str, value: str, out: str, salts: int, hot: Sequence = ()
+    df: DataFrame, dim: DataFrame, key: str, dim_key: str, value: str, out: str, salts: int = SALTS, hot: Sequence = ()
 ) -> DataFrame:
     """As :func:`lookup` for a dimension too large to broadcast and keys known to be hot.
 
@@ -148,7 +149,7 @@ def salted_lookup(
     (repeatable when a task runs again); only the hot dimension rows are copied.
     """
     is_hot = ref(key).isin(*hot) if hot else F.lit(False)
-    salt = F.when(is_hot, F.pmod(F.xxhash64(*map(ref, df.columns)), F.lit(salts))).otherwise(F.lit(0)).cast("int")
+    salt = F.when(is_hot, row_salt(df, salts)).otherwise(F.lit(0))
     copies = F.when(ref(dim_key).isin(*hot) if hot else F.lit(False), F.sequence(F.lit(0), F.lit(salts - 1)))
     side = dim.select(ref(dim_key).alias("__k"), ref(value).alias(out), F.explode(F.coalesce(copies, F.array(F.lit(0)))).alias("__s"))
     joined = df.withColumn("__salt", salt).join(side, (ref(key) == F.col("__k")) & (F.col("__salt") == F.col("__s")), "left")

@@ -1,8 +1,8 @@
-"""Column profiles A13."""
+"""Column profiles A13 and row counts P17."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyloom.operators.columns import ref
@@ -43,3 +43,12 @@ def loss(before: DataFrame, after: DataFrame) -> DataFrame:
     )
     lost = F.col("rows_before") - F.col("rows_after")
     return counts.withColumn("lost_pct", F.when(F.col("rows_before") > 0, lost / F.col("rows_before") * 100).otherwise(0.0))
+
+
+def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """Row count of a frame taken while its own query runs, so without another scan.
+
+    For logs; counters that must be exact under task retries come from ``load_counts``.
+    """
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen

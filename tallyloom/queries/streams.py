@@ -14,7 +14,11 @@ from tallyloom.streaming import incremental
 
 
 def _stream(spark, sf_dir, name):
-    return incremental.stream_files(spark, sf_dir, tab(spark, sf_dir, name).schema, pattern=f"{name}.parquet")
+    """The table as a stream of files, be it one file or a folder of parts."""
+    table = tab(spark, sf_dir, name)
+    if f"/{name}.parquet/" in next(iter(table.inputFiles()), ""):
+        return incremental.stream_files(spark, f"{sf_dir}/{name}.parquet", table.schema)
+    return incremental.stream_files(spark, sf_dir, table.schema, pattern=f"{name}.parquet")
 
 
 @query(_UPSERT_SQL)

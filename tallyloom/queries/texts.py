@@ -163,26 +163,38 @@ FROM events
 """)
 def date_build(spark, sf_dir):
     """Parts, epoch, ISO with offset, day text, fallbacks; January is one hour off in Rome."""
-    ts = F.col("ts")
+    ts, kind = F.col("ts"), F.col("event_type")
     epoch = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)")
-    millis, seconds = F.floor(epoch / 1000).cast("bigint"), F.floor(epoch / 1000000).cast("bigint")
-    error = F.col("event_type") == "error"
-    parts = [F.concat(fn(ts).cast("string"), F.lit(".0")) for fn in (F.year, F.month, F.day)]
-    style = F.col("event_type")
     day8, day10 = F.date_format(ts, "yyyyMMdd"), day_text(ts)
-    mixed = F.when(style == "click", day8).when(style == "view", day10).otherwise(F.concat(day10, F.lit(" 00:00:00")))
-    iso = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    return tab(spark, sf_dir, "events").select(
+    raw = tab(spark, sf_dir, "events").select(
         "event_id",
-        day_text(dates.date_from_parts(*parts)).alias("from_parts"),
-        dates.millis_to_ts(millis.cast("string")).alias("from_millis"),
-        dates.seconds_to_ts(seconds).alias("from_seconds"),
-        dates.iso_to_zone(F.concat(iso, F.lit("+0000"))).alias("rome"),
-        dates.iso_to_utc(F.concat(iso, F.lit("+05:00"))).alias("utc"),
-        day_text(dates.day_from_text(day10)).alias("day"),
-        dates.flexible_day(mixed).alias("flexible"),
-        dates.to_timestamp_any(F.when(error, seconds.cast("string")).otherwise(F.concat(iso, F.lit("Z")))).alias("any_time"),
-        day_text(dates.range_day(F.when(~error, millis), date(2024, 2, 1))).alias("range_day"),
+        *[F.concat(fn(ts).cast("string"), F.lit(".0")).alias(n) for n, fn in (("y", F.year), ("m", F.month), ("d", F.day))],
+        F.floor(epoch / 1000).cast("string").alias("millis"),
+        F.floor(epoch / 1000000).cast("bigint").alias("seconds"),
+        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss").alias("iso"),
+        day10.alias("day"),
+        F.when(kind == "click", day8).when(kind == "view", day10).otherwise(F.concat(day10, F.lit(" 00:00:00"))).alias("mixed"),
+        (kind == "error").alias("error"),
+    )
+    texts = raw.withColumns(
+        {
+            "iso_utc": F.concat("iso", F.lit("+0000")),
+            "iso_five": F.concat("iso", F.lit("+05:00")),
+            "any": F.when(F.col("error"), F.col("seconds").cast("string")).otherwise(F.concat("iso", F.lit("Z"))),
+            "maybe": F.when(~F.col("error"), F.col("millis")),
+        }
+    )
+    return texts.select(
+        "event_id",
+        day_text(dates.date_from_parts(F.col("y"), F.col("m"), F.col("d"))).alias("from_parts"),
+        dates.millis_to_ts(F.col("millis")).alias("from_millis"),
+        dates.seconds_to_ts(F.col("seconds")).alias("from_seconds"),
+        dates.iso_to_zone(F.col("iso_utc")).alias("rome"),
+        dates.iso_to_utc(F.col("iso_five")).alias("utc"),
+        day_text(dates.day_from_text(F.col("day"))).alias("day"),
+        dates.flexible_day(F.col("mixed")).alias("flexible"),
+        dates.to_timestamp_any(F.col("any")).alias("any_time"),
+        day_text(dates.range_day(F.col("maybe"), date(2024, 2, 1))).alias("range_day"),
     )
 
 

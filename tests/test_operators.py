@@ -51,8 +51,10 @@ def test_ids_to_text_keeps_null(spark):
 
 
 def test_convert_id_types_needs_columns(spark):
-    df = spark.createDataFrame([("123.0",), (" x ",), ("12345678901234567890",), (None,)], "AccountId string")
-    assert rows(columns.convert_id_types(df, ["AccountId"])) == [("123",), ("12345678901234567890",), ("x",), (None,)]
+    df = spark.createDataFrame([("123.0",), (" x ",), ("12345678901234567890",), ("1.5",), ("007",), ("0",), (None,)], "AccountId string")
+    assert rows(columns.convert_id_types(df, ["AccountId"])) == [
+        ("0",), ("1.5",), ("123",), ("12345678901234567890",), ("7",), ("x",), (None,),
+    ]
     with pytest.raises(ValueError):
         columns.convert_id_types(df, ["account_id"])
 

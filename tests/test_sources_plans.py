@@ -295,3 +295,36 @@ def test_organic_insights(spark):
     posts = landing(spark, "organic_posts", {"id": "urn:li:share:1", "_organization_id": "5"}, {"id": "urn:li:share:2", "author": "urn:li:organization:6"})
     out = ORGANIC_TABLES["linkedin_organic_posts_insights"].transform(posts, Context(CTX.run_ts, {"share_statistics": stats}))
     assert rows(out.select("post_id", "organization_id", "click_count")) == [("1", "5", 4), ("2", "6", 0)]
+
+
+def test_send_batches(spark, tmp_path):
+    from tallyloom.sinks.batches import send_batches
+
+    folder = str(tmp_path)
+
+    def send(rows_):
+        import uuid
+
+        with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+            f.write(",".join(str(r.id) for r in rows_))
+
+    send_batches(spark.range(0, 95, 1, 2), 20, send)
+    parts = [p.read_text().split(",") for p in tmp_path.iterdir()]
+    assert max(map(len, parts)) == 20 and sorted(int(x) for p in parts for x in p) == list(range(95))
+
+
+def test_observed_rows(spark):
+    from tallyloom.operators.profile import observed
+
+    df, seen = observed(spark.range(7), "in")
+    df.write.format("noop").mode("overwrite").save()
+    assert seen.get == {"rows": 7}
+
+
+def test_streams_read_folders(spark, tmp_path):
+    from tallyloom.queries import QUERIES
+    from tallyloom.queries.registry import tab
+
+    src = "/root/testdata/sf0.001"
+    tab(spark, src, "events").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    assert rows(QUERIES["stream_dedupe"](spark, str(tmp_path))) == rows(QUERIES["stream_dedupe"](spark, src))
