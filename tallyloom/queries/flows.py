@@ -183,7 +183,7 @@ def newsletter_images(spark, sf_dir):
 
 _RUNS = """
 WITH t AS (SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS platform, hour(ts) AS part, count(*) AS n, max(value) > 300 AS bad FROM events GROUP BY ALL),
-x AS (SELECT day, platform, CAST(sum(CASE WHEN bad THEN 0 ELSE n END) AS BIGINT) AS api, count(*) AS tables_count, count_if(NOT bad) AS ok, count_if(bad) AS failed FROM t GROUP BY ALL),
+x AS (SELECT day, platform, CAST(sum(CASE WHEN bad THEN 0 ELSE n END) AS BIGINT) AS api, count(*) AS tables_count, CAST(count_if(NOT bad) AS BIGINT) AS ok, CAST(count_if(bad) AS BIGINT) AS failed FROM t GROUP BY ALL),
 s AS (SELECT *, CASE WHEN failed = 0 THEN 'success' WHEN ok = 0 THEN 'failed' ELSE 'partial_success' END AS status FROM x)
 """
 
@@ -210,8 +210,8 @@ def run_totals(spark, sf_dir):
 
 
 @query(_RUNS + """
-SELECT day AS date, count(*) AS total_platforms, count_if(status = 'success') AS platforms_success, count_if(status = 'failed') AS platforms_failed,
-       count_if(status = 'partial_success') AS platforms_partial, CAST(sum(api) AS BIGINT) AS rows_written,
+SELECT day AS date, count(*) AS total_platforms, CAST(count_if(status = 'success') AS BIGINT) AS platforms_success, CAST(count_if(status = 'failed') AS BIGINT) AS platforms_failed,
+       CAST(count_if(status = 'partial_success') AS BIGINT) AS platforms_partial, CAST(sum(api) AS BIGINT) AS rows_written,
        CASE WHEN count_if(status = 'failed') > 0 THEN 'error' WHEN count_if(status = 'partial_success') > 0 THEN 'warning' ELSE 'success' END AS overall
 FROM s GROUP BY 1
 """)
@@ -234,7 +234,7 @@ def run_report(spark, sf_dir):
 
 
 @query("""
-SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, count(*) AS found, count_if(event_type <> 'error') AS extracted,
+SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, count(*) AS found, CAST(count_if(event_type <> 'error') AS BIGINT) AS extracted,
        floor(count_if(event_type <> 'error') / count(*) * 100 * 10000 + 0.5) / 10000 AS success_rate
 FROM events GROUP BY 1
 """)

@@ -394,7 +394,7 @@ def name_incoming(spark, sf_dir):
 
 
 @query("""
-SELECT user_id, count(*) AS total, count_if(event_type = 'purchase') AS success,
+SELECT user_id, count(*) AS total, CAST(count_if(event_type = 'purchase') AS BIGINT) AS success,
        floor(count_if(event_type = 'purchase') / count(*) * 100 * 10000 + 0.5) / 10000 AS success_rate
 FROM events GROUP BY 1
 """)

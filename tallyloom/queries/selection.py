@@ -95,9 +95,9 @@ def policy_violations(spark, sf_dir):
 
 
 @query("""
-SELECT 'orders' AS table_name, 'o_orderkey,o_custkey' AS columns_searched, count_if(o_orderkey = 77 OR o_custkey = 77) AS matches FROM orders UNION ALL
-SELECT 'lineitem', 'l_orderkey,l_partkey,l_suppkey', count_if(l_orderkey = 77 OR l_partkey = 77 OR l_suppkey = 77) FROM lineitem UNION ALL
-SELECT 'customer', 'c_custkey', count_if(c_custkey = 77) FROM customer
+SELECT 'orders' AS table_name, 'o_orderkey,o_custkey' AS columns_searched, CAST(count_if(o_orderkey = 77 OR o_custkey = 77) AS BIGINT) AS matches FROM orders UNION ALL
+SELECT 'lineitem', 'l_orderkey,l_partkey,l_suppkey', CAST(count_if(l_orderkey = 77 OR l_partkey = 77 OR l_suppkey = 77) AS BIGINT) FROM lineitem UNION ALL
+SELECT 'customer', 'c_custkey', CAST(count_if(c_custkey = 77) AS BIGINT) FROM customer
 """)
 def find_id_across_tables(spark, sf_dir):
     """F18, S15."""
