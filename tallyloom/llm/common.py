@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -82,13 +82,18 @@ def bitmap(df: DataFrame, slot: Column) -> bytes:
     return out.astype("<i8").tobytes()
 
 
-def bit_test(bits: bytes, slot: Column) -> Column:
-    """Whether the slot's bit is set, as a column expression."""
-    byte = F.conv(F.hex(F.substring(F.lit(bits), (F.shiftright(slot, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return F.pmod(F.floor(byte / F.pow(F.lit(2), slot % 8)), F.lit(2)) == 1
-
-
 def bits_at(bits: bytes, values: np.ndarray) -> np.ndarray:
-    """The same test for an array of 64-bit hashes."""
+    """Whether the bits of these 64-bit hashes are set."""
     slot = values.astype(np.uint64) & np.uint64((1 << BITMAP_BITS) - 1)
     return (np.frombuffer(bits, np.uint8)[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def where_bit(df: DataFrame, column: str, bits: bytes, present: bool = True) -> DataFrame:
+    """Rows whose 64-bit hash in ``column`` has its bit set, or not set; no shuffle."""
+    sent = df.sparkSession.sparkContext.broadcast(bits)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(bits_at(sent.value, batch.column(column).to_numpy()) == present))
+
+    return df.mapInArrow(keep, df.schema)

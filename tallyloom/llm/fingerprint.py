@@ -125,11 +125,12 @@ def next_in_order(docs: DataFrame, rows_per_range: int = 20_000) -> DataFrame:
     if not heads:
         return ranged
     before = [heads[-1]["_range"], *[h["_range"] for h in heads[:-1]]]
+    # One row per range.
     moves = spark.createDataFrame([(h["_range"], b, h["_head"]) for h, b in zip(heads, before, strict=True)], "_range int, _to int, _head long")
     first = Window.partitionBy("_to").orderBy(F.col("text").asc_nulls_first())
     tails = (
         ranged.alias("r")
-        .join(moves.alias("m"), (F.col("r._range") == F.col("m._range")) & F.col("r.doc_id").eqNullSafe(F.col("m._head")))
+        .join(F.broadcast(moves).alias("m"), (F.col("r._range") == F.col("m._range")) & F.col("r.doc_id").eqNullSafe(F.col("m._head")))
         .select("m._to", "r.doc_id", "r.text")
         .withColumn("_n", F.row_number().over(first))
         .where("_n = 1")

@@ -154,9 +154,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, ed
     lists = spans.groupBy(F.col("_id").alias("_i"), F.col("_hash").alias("_h")).agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_spans"))
     lists = lists.select("_i", "_h", F.col("_spans.start").alias("_starts"), F.col("_spans.end").alias("_ends"))
     # Texts that surely have no span need not move.
-    bits, slot = common.bitmap(spans.select("_hash").distinct(), common.slot_of(F.col("_hash"))), common.slot_of(F.col("_hash"))
-    moved = keyed.where(common.bit_test(bits, slot)).join(lists, (F.col("_id") == F.col("_i")) & (F.col("_hash") == F.col("_h")), "left")
-    still = keyed.where(~common.bit_test(bits, slot)).select(*names, *[F.lit(None).cast("array<int>").alias(c) for c in ("_starts", "_ends")])
+    bits = common.bitmap(spans, common.slot_of(F.col("_hash")))
+    moved = common.where_bit(keyed, "_hash", bits).join(lists, (F.col("_id") == F.col("_i")) & (F.col("_hash") == F.col("_h")), "left")
+    still = common.where_bit(keyed, "_hash", bits, present=False).select(*names, *[F.lit(None).cast("array<int>").alias(c) for c in ("_starts", "_ends")])
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
