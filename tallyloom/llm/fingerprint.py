@@ -103,18 +103,18 @@ def merge_by(sketched: DataFrame, keys: list[str], k: int = SKETCH_SIZE) -> Data
     return joined.select(*[F.col(f"a.{c}").alias(c) for c in keys], F.coalesce("_found", F.lit(b"")).alias("_sketch"))
 
 
-def next_in_order(docs: DataFrame, rows_per_range: int = 20_000) -> DataFrame:
+def next_in_order(docs: DataFrame, rows_per_range: int = 4_000, most_ranges: int = 2_000) -> DataFrame:
     """Every row of (doc_id, text) in a range of ids, each range closed by a copy of the row that follows it.
 
     The order is by descending doc_id (nulls last, repeated ids by text), and the
     first row follows the last one. Returns ``_range`` int, ``_tail`` boolean (the
-    copy), doc_id, text. Ranges come from quantiles of all ids, of which there are
-    ``rows / rows_per_range``; one row per range is copied, and the list of those rows is all that
-    is joined by value.
+    copy), doc_id, text. Ranges come from quantiles of all ids, ``rows / rows_per_range`` of them
+    and ``most_ranges`` at most; one row per range is copied, and the list of those rows is
+    all that is joined by value.
     """
     spark = docs.sparkSession
     count = docs.count()
-    n = max(1, -(-count // rows_per_range))
+    n = min(most_ranges, max(1, -(-count // rows_per_range)))
     bounds = docs.select(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 10 * n).alias("b")).first()["b"] if n > 1 else []
     bounds = sorted(set(bounds or []))
     # Ascending search for the id's place; nulls (last) go with the lowest ids.
