@@ -24,8 +24,9 @@ _BLANK = " \t\r"
 def _segment(length: Column, i: int, threshold: int) -> tuple[Column, Column]:
     """Start (from 0) and size of segment i (from 1) of a line: even segments, the last ones longer by one where it does not divide."""
     count = threshold + 1
-    size, longer = F.floor(length / count).cast("int"), F.pmod(length, F.lit(count)).cast("int")
-    start = size * (i - 1) + F.greatest(F.lit(0), longer + (i - 1) - count)
+    longer = F.pmod(length, F.lit(count))
+    size = ((length - longer) / count).cast("int")
+    start = size * (i - 1) + F.greatest(F.lit(0), longer + (i - 1 - count))
     return start, size + F.when(longer + i > count, 1).otherwise(0)
 
 
@@ -33,28 +34,24 @@ def _key(line: Column, i: int, length: Column, start: Column, size: Column) -> C
     return F.xxhash64(F.lit(i), length, F.substring(line, start + 1, size))
 
 
-def segment_keys(line: Column, threshold: int = THRESHOLD) -> Column:
-    """array<struct<key, probe>>: the keys a line is indexed by, and those it probes only.
+def segment_keys(line: Column, length: Column, threshold: int = THRESHOLD) -> list[tuple[Column, bool]]:
+    """Keys a line is indexed by (False), and those it probes only (True; null where the place is outside the line).
 
     Probes at the line's own length and its own segments' places are its index keys
     and are not repeated. Of two lines the longer probes.
     """
-    n = F.length(line)
     out = []
-    for i in range(1, threshold + 2):
-        start, size = _segment(n, i, threshold)
-        out.append(F.struct(_key(line, i, n, start, size).alias("key"), F.lit(False).alias("probe")))
     for shorter in range(threshold + 1):
-        other = n - shorter
+        other = length - shorter
         for i in range(1, threshold + 2):
             start, size = _segment(other, i, threshold)
             rest = threshold + 1 - i
             for shift in range(max(1 - i, shorter - rest), min(i - 1, shorter + rest) + 1):
-                if shorter or shift:
-                    at = start + shift
-                    fits = (at >= 0) & (at + size <= n)
-                    out.append(F.when(fits, F.struct(_key(line, i, other, at, size).alias("key"), F.lit(True).alias("probe"))))
-    return F.filter(F.array(*out), lambda k: k.isNotNull())
+                at = start + shift
+                own = not shorter and not shift
+                key = _key(line, i, other, at, size)
+                out.append((key if own else F.when((at >= 0) & (at + size <= length), key), not own))
+    return out
 
 
 def lines_of(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -73,8 +70,12 @@ def _hashed(lines: DataFrame) -> DataFrame:
 
 def near_pairs(lines: DataFrame, threshold: int = THRESHOLD, least: int = LEAST_CHARS) -> DataFrame:
     """(a, b): hashes of different lines within the threshold. Copies of a line are one line here, dropped before the shuffle."""
-    long_enough = lines.where(F.length("line") >= max(least, threshold + 1))
-    keys = long_enough.select("_h", F.explode(segment_keys(F.col("line"), threshold)).alias("k")).select("_h", "k.key", "k.probe").distinct()
+    long_enough = lines.select("_h", "line", F.length("line").alias("_n")).where(F.col("_n") >= max(least, threshold + 1))
+    made = segment_keys(F.col("line"), F.col("_n"), threshold)
+    # Keys are computed as columns, with their common parts once, and only then become rows.
+    wide = long_enough.select("_h", *[key.alias(f"_k{i}") for i, (key, _) in enumerate(made)])
+    rows = F.explode(F.array(*[F.struct(F.col(f"_k{i}").alias("key"), F.lit(probe).alias("probe")) for i, (_, probe) in enumerate(made)]))
+    keys = common.stage(wide.select("_h", rows.alias("k")).select("_h", "k.key", "k.probe").where("key is not null").distinct(), "keys")
     indexed = keys.where("not probe").select("key", F.col("_h").alias("i"))
     meeting = keys.join(indexed, "key").where("if(probe, _h != i, _h < i)")
     pairs = common.stage(meeting.select(F.least("_h", "i").alias("a"), F.greatest("_h", "i").alias("b")).distinct(), "pairs")

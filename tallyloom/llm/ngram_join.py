@@ -2,12 +2,13 @@
 
 A document is the set of its word shingles (64-bit tokens). Sets that link share
 all but a quarter of their tokens, so if each side indexes enough of its first
-tokens in one global order, a common signature is certain. The order puts rare tokens
-before frequent ones. A rare token is a signature by itself. Frequent tokens are dealt into small
-classes and only pairs of one class are signatures; the prefix is extended for
-that: losing t tokens can spoil at most t signatures' worth, where a rare token is worth
-one and the tokens of a class are worth their number less one. Candidates that share
-a signature are verified exactly.
+tokens in one global order, a common signature is certain. The order is: tokens of one
+document only, rare tokens, frequent tokens. The first can match nothing and are no signatures; a
+document with enough of them is done. A rare token is a signature by itself. Frequent tokens are
+dealt into small classes and only pairs of one class are signatures; the prefix is
+extended for that: losing t tokens can spoil at most t tokens' worth, where a token of the
+first kinds is worth one and the tokens of a class are worth their number less one.
+Candidates that share a signature are verified exactly.
 
 Equal sets collapse into one node first. Lists of nodes under a signature are worked
 through components: each round verifies every member against one pivot, so a large group of
@@ -31,6 +32,8 @@ from tallyloom.llm.words import mix, pieces, shingle_sets
 SHINGLE_WORDS = 5
 # A token in at least so many documents is frequent; the choice moves work, never results.
 FREQUENT = 24
+# Bits of the two token bitmaps together with all partitions: 8 MB each, whatever the corpus. Slots that tokens share only move work.
+TOKEN_BITS = 1 << 26
 # Rounds of pivots before the rest is verified pair by pair.
 PIVOT_ROUNDS = 4
 _U = np.uint64
@@ -51,7 +54,7 @@ def _level(n: int) -> int:
     return (n.bit_length() - 1) // 2
 
 
-def signatures(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+def signatures(tokens: np.ndarray, shared: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """Signatures of one set of ascending tokens (two at least) at three quarters' likeness.
 
     Sets of like size work in a common namespace: a power of four of the smaller
@@ -59,14 +62,16 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     leaves every set enough worth (its size less the classes) for its prefix.
     """
     n = len(tokens)
-    spoiled = n // 4
-    rare, common_ones = tokens[~frequent], tokens[frequent]
+    needed = n // 4 + 1 - int(n - shared.sum())
+    if needed <= 0:
+        return np.zeros(0, _U)
+    rare, common_ones = tokens[shared & ~frequent], tokens[shared & frequent]
     out = []
     for level in range(_level(max(2, -(-3 * n // 4))), _level(n) + 1):
         salt = mix(np.array([level + 1], _U))[0]
-        single = rare[: spoiled + 1]
+        single = rare[:needed]
         out.append(mix(single ^ salt))
-        missing = spoiled + 1 - len(single)
+        missing = needed - len(single)
         if missing <= 0:
             continue
         classes = max(1, 4**level * 2 // 3)
@@ -92,14 +97,32 @@ def _parts(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return part, np.argsort(part, kind="stable"), np.bincount(part, minlength=parts)
 
 
-def frequent_bits(docs: DataFrame, frequent: int = FREQUENT, shingle: int = SHINGLE_WORDS) -> bytes:
-    """Bitmap of the tokens that ``frequent`` documents or more have.
+class TokenClasses:
+    """Whether tokens are shared (two documents have them) and frequent, as bitmaps that all partitions contribute their own stretch to."""
+
+    def __init__(self, parts: int, shared: bytes, frequent: bytes):
+        self.parts, self.shared, self.frequent = parts, shared, frequent
+
+    @staticmethod
+    def stretch(parts: int) -> int:
+        return max(64, TOKEN_BITS // parts // 8 * 8)
+
+    def of(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = _U(self.stretch(self.parts))
+        slot = (tokens >> _U(32)) % _U(self.parts) * size + (tokens & _U(0xFFFFFFFF)) % size
+        byte, bit = (slot >> _U(3)).astype(np.int64), (slot & _U(7)).astype(np.uint8)
+        return tuple((np.frombuffer(b, np.uint8)[byte] >> bit) & 1 > 0 for b in (self.shared, self.frequent))
+
+
+def token_classes(docs: DataFrame, frequent: int = FREQUENT, shingle: int = SHINGLE_WORDS) -> TokenClasses:
+    """Classes of all tokens of the corpus.
 
     Tokens are counted per batch, dealt by hash as packed arrays, and counted over
-    the whole corpus; a slot that two tokens share makes both frequent, for all documents alike.
+    the whole corpus; each partition returns its stretch of the bitmaps.
     """
     spark = docs.sparkSession
     parts = common.partitions(spark)
+    stretch = TokenClasses.stretch(parts)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,43 +134,55 @@ def frequent_bits(docs: DataFrame, frequent: int = FREQUENT, shingle: int = SHIN
                 low, much = unique[order].astype(np.uint32), np.minimum(times[order], 65535).astype(np.uint16)
                 yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), common.binaries(low, sizes[some]), common.binaries(much, sizes[some])], ["part", "tokens", "times"])
 
+    def bits(keys: np.ndarray) -> bytes:
+        out = np.zeros(stretch, bool)
+        out[keys % np.uint32(stretch)] = True
+        return np.packbits(out, bitorder="little").tobytes()
+
     def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, much = [], []
+        met: dict[int, tuple[list, list]] = {}
         for batch in batches:
             for part, low, times in zip(*[batch.column(c).to_pylist() for c in ("part", "tokens", "times")], strict=True):
-                keys.append((_U(part) << _U(32)) | np.frombuffer(low, np.uint32))
+                keys, much = met.setdefault(part, ([], []))
+                keys.append(np.frombuffer(low, np.uint32))
                 much.append(np.frombuffer(times, np.uint16))
-        if keys:
+        for part in list(met):
+            keys, much = met.pop(part)
             key, times = np.concatenate(keys), np.concatenate(much)
             order = np.argsort(key)
             key, times = key[order], times[order].astype(np.int64)
             begins = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-            found = key[begins][np.add.reduceat(times, begins) >= frequent]
-            slots = np.unique(found & _U((1 << common.BITMAP_BITS) - 1)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(slots)], ["slot"])
+            total = np.add.reduceat(times, begins)
+            found = [bits(key[begins][total >= least]) for least in (2, frequent)]
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *[pa.array([f], pa.binary()) for f in found]], ["part", "shared", "frequent"])
 
     counted = docs.select("text").mapInArrow(count, "part int, tokens binary, times binary")
-    return common.bitmap(counted.repartition(parts, "part").mapInArrow(often, "slot long"), F.col("slot"))
+    rows = counted.repartition(parts, "part").mapInArrow(often, "part int, shared binary, frequent binary").collect()
+    maps = [bytearray(parts * stretch // 8) for _ in range(2)]
+    for part, *found in rows:
+        for whole, own in zip(maps, found, strict=True):
+            whole[part * stretch // 8 : (part + 1) * stretch // 8] = own
+    return TokenClasses(parts, *map(bytes, maps))
 
 
-def shared_lists(docs: DataFrame, bits: bytes, shingle: int = SHINGLE_WORDS) -> DataFrame:
+def shared_lists(docs: DataFrame, classes: TokenClasses, shingle: int = SHINGLE_WORDS) -> DataFrame:
     """(list, node): nodes that share a signature; of lists with the same members one is kept."""
     spark = docs.sparkSession
     parts = common.partitions(spark)
-    sent = spark.sparkContext.broadcast(bits)
+    sent = spark.sparkContext.broadcast(classes)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, offsets in pieces(batch.column("text")):
                 tokens, counts = shingle_sets(data, offsets, shingle)
                 nodes = node_ids(tokens, counts)
-                often = common.bits_at(sent.value, tokens)
+                shared, often = sent.value.of(tokens)
                 begins = np.cumsum(counts) - counts
                 _, fresh = np.unique(nodes, return_index=True)
                 fresh = fresh[counts[fresh] > 1]
                 if not len(fresh):
                     continue
-                found = [signatures(tokens[b : b + c], often[b : b + c]) for b, c in zip(begins[fresh].tolist(), counts[fresh].tolist(), strict=True)]
+                found = [signatures(tokens[b : b + c], shared[b : b + c], often[b : b + c]) for b, c in zip(begins[fresh].tolist(), counts[fresh].tolist(), strict=True)]
                 keys, owner = np.concatenate(found), np.repeat(nodes[fresh], [len(f) for f in found])
                 _, order, sizes = _parts(keys, parts)
                 some = np.flatnonzero(sizes)
@@ -190,32 +225,35 @@ def shared_lists(docs: DataFrame, bits: bytes, shingle: int = SHINGLE_WORDS) ->
     return signed.repartition(parts, "part").mapInArrow(gather, "list long, node long").dropDuplicates(["list", "node"])
 
 
-def token_table(docs: DataFrame, bits: bytes | None, shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """(node, n, tokens) once per node whose bit is set; without bits (doc_id, node, n) of every row."""
+def node_table(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
+    """(doc_id, node, n) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id")
             for lo, hi, data, offsets in pieces(batch.column("text")):
                 tokens, counts = shingle_sets(data, offsets, shingle)
-                nodes = node_ids(tokens, counts)
-                if sent is None:
-                    yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(nodes.view(np.int64)), pa.array(counts)], ["doc_id", "node", "n"])
-                    continue
-                _, fresh = np.unique(nodes, return_index=True)
-                use = np.zeros(len(nodes), bool)
-                use[fresh] = True
-                use &= common.bits_at(sent.value, nodes) & (counts > 0)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes[use].view(np.int64)), pa.array(counts[use]), common.binaries(tokens[np.repeat(use, counts)], counts[use])], ["node", "n", "tokens"]
-                )
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(node_ids(tokens, counts).view(np.int64)), pa.array(counts)], ["doc_id", "node", "n"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, node long, n long")
+
+
+def token_table(docs: DataFrame, bits: bytes, shingle: int = SHINGLE_WORDS) -> DataFrame:
+    """(node, rep, tokens) of the rows whose node ^ doc_id has its bit set (a null doc_id counts as 0): representatives, and few others by chance."""
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("doc_id").to_numpy()
+            for lo, hi, data, offsets in pieces(batch.column("text")):
+                tokens, counts = shingle_sets(data, offsets, shingle)
+                nodes = node_ids(tokens, counts).view(np.int64)
+                use = common.bits_at(sent.value, nodes ^ ids[lo:hi]) & (counts > 0)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[use]), pa.array(ids[lo:hi][use]), common.binaries(tokens[np.repeat(use, counts)], counts[use])], ["node", "rep", "tokens"])
 
-    sent = None if bits is None else docs.sparkSession.sparkContext.broadcast(bits)
-    columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return columns.mapInArrow(run, "doc_id long, node long, n long" if bits is None else "node long, n long, tokens binary")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), "text").mapInArrow(run, "node long, rep long, tokens binary")
 
 
-def verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, tokens: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """(a, b) of the pairs with 100 * intersection >= percent * union; sizes are compared before token arrays move."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,23 +269,23 @@ def verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    sizes = tokens.select("node", "n")
-    sized = pairs.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a").join(sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b")
-    near = sized.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent).select("a", "b")
-    first = near.join(tokens.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
-    return first.join(tokens.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    one, two = (reps.select(F.col("node").alias(x), F.col("rep").alias(f"r_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
+    near = pairs.join(one, "a").join(two, "b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    first = near.join(tokens.select(F.col("node").alias("a"), F.col("rep").alias("r_a"), F.col("tokens").alias("x")), ["a", "r_a"])
+    both = first.join(tokens.select(F.col("node").alias("b"), F.col("rep").alias("r_b"), F.col("tokens").alias("y")), ["b", "r_b"])
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
 
 
 def _pairs(df: DataFrame) -> DataFrame:
     return df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
 
 
-def node_components(lists: DataFrame, tokens: DataFrame, percent: int, rounds: int = PIVOT_ROUNDS) -> DataFrame:
+def node_components(lists: DataFrame, tokens: DataFrame, reps: DataFrame, percent: int, rounds: int = PIVOT_ROUNDS) -> DataFrame:
     """(node, component): components of the links among the lists' members."""
     of_list = Window.partitionBy("list")
     pivots = lists.groupBy("list").agg(F.min("node").alias("pivot"))
     tried = common.stage(_pairs(lists.join(pivots, "list").select(F.col("pivot").alias("a"), F.col("node").alias("b"))), "pairs")
-    links = common.stage(verified(tried, tokens, percent), "links")
+    links = common.stage(verified(tried, tokens, reps, percent), "links")
     reached = components(links)
     for turn in range(1, rounds + 2):
         placed = lists.join(reached, "node", "left").select("list", "node", F.coalesce("component", "node").alias("c"))
@@ -266,7 +304,7 @@ def node_components(lists: DataFrame, tokens: DataFrame, percent: int, rounds: i
             pivots = split.groupBy("list").agg(F.min(by).alias("p")).select("list", F.col("p.node").alias("a"), F.col("p.c").alias("d"))
             fresh = split.join(pivots, "list").where("c != d").select("a", F.col("node").alias("b"))
         fresh = common.stage(_pairs(fresh).join(tried, ["a", "b"], "left_anti"), "pairs")
-        found = common.stage(verified(fresh, tokens, percent), "links")
+        found = common.stage(verified(fresh, tokens, reps, percent), "links")
         links, tried = links.unionAll(found), tried.unionAll(fresh)
         # Old links as stars of their components: as many rows as nodes.
         reached = components(reached.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(found))
@@ -285,11 +323,13 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFra
     """
     percent = 75
     common.small_batches(docs.sparkSession)
-    rows = common.stage(token_table(docs, None, shingle), "sets")
-    lists = common.stage(shared_lists(docs, frequent_bits(docs, shingle=shingle), shingle), "lists")
-    bits = common.bitmap(lists, common.slot_of(F.col("node")))
-    tokens = common.stage(token_table(docs, bits, shingle).dropDuplicates(["node"]), "tokens")
-    reached = node_components(lists, tokens, percent)
+    rows = common.stage(node_table(docs, shingle), "sets")
+    lists = common.stage(shared_lists(docs, token_classes(docs, shingle=shingle), shingle), "lists")
+    met = rows.join(lists.select("node").distinct(), "node", "left_semi")
+    reps = common.stage(met.groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(0))).alias("rep"), F.first("n").alias("n")), "reps")
+    bits = common.bitmap(reps, common.slot_of(F.col("node").bitwiseXOR(F.col("rep"))))
+    tokens = common.stage(token_table(docs, bits, shingle), "tokens")
+    reached = node_components(lists, tokens, reps, percent)
     least = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     grouped = least.join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
