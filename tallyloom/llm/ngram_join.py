@@ -13,7 +13,8 @@ Candidates that share a signature are verified exactly.
 Equal sets collapse into one node first. Lists of nodes under a signature are worked
 through components: each round verifies every member against one pivot, so a large group of
 near copies costs its size, not its square; members whose components still differ
-at the end are verified pair by pair.
+at the end are verified in blocks inside tasks where lists are long, and pair by pair
+where they are short.
 """
 
 from __future__ import annotations
@@ -34,8 +35,10 @@ SHINGLE_WORDS = 5
 FREQUENT = 24
 # Bits of the two token bitmaps together with all partitions: 8 MB each, whatever the corpus. Slots that tokens share only move work.
 TOKEN_BITS = 1 << 26
-# Rounds of pivots before the rest is verified pair by pair.
-PIVOT_ROUNDS = 4
+# Rounds of further pivots before the rest is verified.
+PIVOT_ROUNDS = 1
+# Lists of so many members whose components differ are compared in blocks of BLOCK sets inside tasks, without rows for pairs.
+HOT_LIST, BLOCK = 48, 256
 _U = np.uint64
 
 
@@ -280,37 +283,111 @@ def _pairs(df: DataFrame) -> DataFrame:
     return df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
 
 
+def block_links(sets: list[np.ndarray], side: np.ndarray, percent: int, stretch: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places whose sets link; ``side``: 0 and 1 where only pairs between two blocks count, all 2 within a block."""
+    sizes = np.array([len(s) for s in sets])
+    _, which, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    met = times[which] > 1
+    number = np.cumsum(times > 1) - 1
+    which, owner = number[which[met]], owner[met]
+    order = np.argsort(which, kind="stable")
+    which, owner = which[order], owner[order]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for lo in range(0, int(which[-1]) + 1 if len(which) else 0, stretch):
+        part = slice(*np.searchsorted(which, [lo, lo + stretch]))
+        has = np.zeros((len(sets), stretch), np.float32)
+        has[owner[part], which[part] - lo] = 1
+        both += has @ has.T
+    exact = both.astype(np.int64)
+    close = np.triu(100 * exact >= percent * (sizes[:, None] + sizes - exact), 1)
+    return np.nonzero(close & ((side[:, None] == 2) | (side[:, None] != side)))
+
+
+def cluster_links(clusters: DataFrame, tokens: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that join what links within each cluster (node, cluster), a few rows per member.
+
+    A cluster is cut into blocks of BLOCK sets; a task gets two blocks.
+    """
+    spark = clusters.sparkSession
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
+    placed = clusters.join(sizes, "cluster").join(reps.select("node", "rep"), "node").join(tokens, ["node", "rep"]).dropDuplicates(["node"])
+    dealt = placed.withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")).withColumn("_other", F.explode(F.expr("sequence(0, _blocks - 1)")))
+    dealt = dealt.select("cluster", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "_own", "node", "tokens")
+    key = ["cluster", "_i", "_j"]
+
+    def task(rows: list[tuple], i: int, j: int) -> pa.RecordBatch:
+        nodes = np.array([r[0] for r in rows], np.int64)
+        side = np.array([2 if i == j else int(r[1] == j) for r in rows])
+        a, b = block_links([np.frombuffer(r[2], _U) for r in rows], side, percent)
+        root = np.arange(len(nodes))
+        while True:
+            least, fresh = np.minimum(root[a], root[b]), root.copy()
+            np.minimum.at(fresh, a, least)
+            np.minimum.at(fresh, b, least)
+            fresh = fresh[fresh]
+            if (fresh == root).all():
+                break
+            root = fresh
+        some = np.flatnonzero(root != np.arange(len(root)))
+        return pa.RecordBatch.from_arrays([pa.array(nodes[some]), pa.array(nodes[root[some]])], ["a", "b"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, held_key = [], None
+        for batch in batches:
+            for *now, own, node, blob in zip(*[batch.column(c).to_pylist() for c in (*key, "_own", "node", "tokens")], strict=True):
+                if now != held_key:
+                    if len(held) > 1:
+                        yield task(held, *held_key[1:])
+                    held, held_key = [], now
+                held.append((node, own, blob))
+        if len(held) > 1:
+            yield task(held, *held_key[1:])
+
+    return dealt.repartition(common.partitions(spark), *key).sortWithinPartitions(*key).mapInArrow(compare, "a long, b long")
+
+
 def node_components(lists: DataFrame, tokens: DataFrame, reps: DataFrame, percent: int, rounds: int = PIVOT_ROUNDS) -> DataFrame:
-    """(node, component): components of the links among the lists' members."""
+    """(node, component): components of the links among the lists' members.
+
+    Lists whose members are all in one component are done and leave the work.
+    """
     of_list = Window.partitionBy("list")
     pivots = lists.groupBy("list").agg(F.min("node").alias("pivot"))
     tried = common.stage(_pairs(lists.join(pivots, "list").select(F.col("pivot").alias("a"), F.col("node").alias("b"))), "pairs")
-    links = common.stage(verified(tried, tokens, reps, percent), "links")
-    reached = components(links)
-    for turn in range(1, rounds + 2):
-        placed = lists.join(reached, "node", "left").select("list", "node", F.coalesce("component", "node").alias("c"))
-        split = placed.withColumn("_lo", F.min("c").over(of_list)).withColumn("_hi", F.max("c").over(of_list)).where("_lo < _hi").drop("_lo", "_hi")
-        split = common.stage(split, "open")
-        per = split.groupBy("list", "c").agg(F.count("*").alias("n")).groupBy("list").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("n2"))
-        rows, cost = per.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("n2")) / 2)).first()
-        if not rows:
-            break
-        last = cost <= 8 * rows or turn > rounds
-        if last:
-            other = split.select("list", F.col("node").alias("b"), F.col("c").alias("d"))
-            fresh = split.join(other, "list").where("c < d").select(F.col("node").alias("a"), "b")
-        else:
-            by = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node"), F.col("c"))
-            pivots = split.groupBy("list").agg(F.min(by).alias("p")).select("list", F.col("p.node").alias("a"), F.col("p.c").alias("d"))
-            fresh = split.join(pivots, "list").where("c != d").select("a", F.col("node").alias("b"))
-        fresh = common.stage(_pairs(fresh).join(tried, ["a", "b"], "left_anti"), "pairs")
-        found = common.stage(verified(fresh, tokens, reps, percent), "links")
-        links, tried = links.unionAll(found), tried.unionAll(fresh)
+    reached = components(common.stage(verified(tried, tokens, reps, percent), "links"))
+
+    def still_open(rows: DataFrame) -> DataFrame:
+        placed = rows.join(reached, "node", "left").select("list", "node", F.coalesce("component", "node").alias("c"))
+        return common.stage(placed.withColumn("_lo", F.min("c").over(of_list)).withColumn("_hi", F.max("c").over(of_list)).where("_lo < _hi").drop("_lo", "_hi"), "open")
+
+    def joined(found: DataFrame) -> DataFrame:
         # Old links as stars of their components: as many rows as nodes.
-        reached = components(reached.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(found))
-        if last:
-            break
-    return reached
+        return components(reached.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(found))
+
+    split = still_open(lists)
+    for turn in range(1, rounds + 1):
+        if split.isEmpty():
+            return reached
+        by = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node"), F.col("c"))
+        pivots = split.groupBy("list").agg(F.min(by).alias("p")).select("list", F.col("p.node").alias("a"), F.col("p.c").alias("d"))
+        fresh = split.join(pivots, "list").where("c != d").select("a", F.col("node").alias("b"))
+        fresh = common.stage(_pairs(fresh).join(tried, ["a", "b"], "left_anti"), "pairs")
+        reached, tried = joined(common.stage(verified(fresh, tokens, reps, percent), "links")), tried.unionAll(fresh)
+        split = still_open(split)
+    # Each member of long open lists goes to its longest one, and all pairs there are compared.
+    long_lists = split.groupBy("list").agg(F.count("*").alias("n")).where(F.col("n") >= HOT_LIST)
+    clusters = split.join(long_lists, "list").groupBy("node").agg(F.max(F.struct("n", "list")).alias("m")).select("node", F.col("m.list").alias("cluster"))
+    clusters = common.stage(clusters, "clusters")
+    if not clusters.isEmpty():
+        reached = joined(common.stage(cluster_links(clusters, tokens, reps, percent), "links"))
+        split = still_open(split)
+    # Left: pairs of a list that no cluster has compared.
+    rows = split.join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", "node"))
+    other = rows.select("list", F.col("node").alias("b"), F.col("c").alias("d"), F.col("cluster").alias("other"))
+    fresh = rows.join(other, "list").where("c < d and cluster != other").select(F.col("node").alias("a"), "b")
+    fresh = common.stage(_pairs(fresh).join(tried, ["a", "b"], "left_anti"), "pairs")
+    return joined(common.stage(verified(fresh, tokens, reps, percent), "links"))
 
 
 def jaccard_components(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
