@@ -375,10 +375,13 @@ def node_components(lists: DataFrame, tokens: DataFrame, reps: DataFrame, percen
         fresh = common.stage(_pairs(fresh).join(tried, ["a", "b"], "left_anti"), "pairs")
         reached, tried = joined(common.stage(verified(fresh, tokens, reps, percent), "links")), tried.unionAll(fresh)
         split = still_open(split)
-    # Each member of long open lists goes to its longest one, and all pairs there are compared.
+    # Each member of long open lists goes to the longest one that it or a fellow member is in, and all pairs there are compared.
     long_lists = split.groupBy("list").agg(F.count("*").alias("n")).where(F.col("n") >= HOT_LIST)
-    clusters = split.join(long_lists, "list").groupBy("node").agg(F.max(F.struct("n", "list")).alias("m")).select("node", F.col("m.list").alias("cluster"))
-    clusters = common.stage(clusters, "clusters")
+    members = common.stage(split.join(long_lists, "list").select("list", "node", F.struct("n", "list").alias("m")), "members")
+    for by in ("node", "list", "node"):
+        longest = members.groupBy(by).agg(F.max("m").alias("best"))
+        members = members.join(longest, by).select("list", "node", F.col("best").alias("m"))
+    clusters = common.stage(members.select("node", F.col("m.list").alias("cluster")).distinct(), "clusters")
     if not clusters.isEmpty():
         reached = joined(common.stage(cluster_links(clusters, tokens, reps, percent), "links"))
         split = still_open(split)
