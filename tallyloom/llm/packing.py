@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -26,7 +27,9 @@ TOKENIZER = "word_bpe_49k.json"
 # Documents that one packing task handles; a task leaves at most a few sequences part-filled.
 DOCS_PER_GROUP = 16_384
 # Words remembered per worker; beyond, the memory starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
+
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
 class WordTokens:
@@ -50,30 +53,44 @@ class WordTokens:
     def learn(self, fresh: list[str]) -> None:
         if len(self.index) + len(fresh) > REMEMBERED:
             raise OverflowError
-        found = [e.ids for e in self.tokenizer.encode_batch(fresh, add_special_tokens=False)]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
         base = len(self.index)
         self.index.update((w, base + i) for i, w in enumerate(fresh))
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for f in found for i in f), np.uint32, int(sizes.sum()))])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))])
+
+    def split(self, text: str) -> list[str]:
+        raw = text.encode()
+        # A-Z are lowered by the tokenizer anyway; a text that could spell a special token is left as it is.
+        if b"<|" not in raw:
+            raw = raw.translate(_LOWER)
+        return raw.replace(b"\n", b" ").decode().split(" ")
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        fresh = list(set().union(*split).difference(self.index))
-        try:
-            self.learn(fresh)
-        except OverflowError:
-            self.reset()
-            if len(texts) > 1:
-                half = len(texts) // 2
-                return self.batch(texts[:half]) + self.batch(texts[half:])
-            if len(set(split[0])) > REMEMBERED:
-                return [np.array(self.tokenizer.encode(texts[0], add_special_tokens=False).ids, np.uint32)]
-            self.learn(list(set(split[0])))
-        out, get = [], self.index.__getitem__
+        split = [self.split(t) for t in texts]
+        flat = [w for parts in split for w in parts]
+        at = np.fromiter(map(self.index.get, flat, repeat(-1)), np.int64, len(flat))
+        missing = np.flatnonzero(at < 0).tolist()
+        if missing:
+            try:
+                self.learn(list({flat[i] for i in missing}))
+            except OverflowError:
+                self.reset()
+                if len(texts) > 1:
+                    half = len(texts) // 2
+                    return self.batch(texts[:half]) + self.batch(texts[half:])
+                if len(set(flat)) > REMEMBERED:
+                    return [np.array(self.tokenizer.encode(texts[0], add_special_tokens=False).ids, np.uint32)]
+                return self.batch(texts)
+            get = self.index.__getitem__
+            at[missing] = [get(flat[i]) for i in missing]
+        out, lo = [], 0
         for parts in split:
-            at = np.fromiter(map(get, parts), np.int64, len(parts))
-            begin, size = self.first[at], self.first[at + 1] - self.first[at]
+            word = at[lo : lo + len(parts)]
+            lo += len(parts)
+            begin = self.first[word]
+            size = self.first[word + 1] - begin
             total = int(size.sum())
             where = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(total)
             out.append(self.ids[where])

@@ -23,7 +23,7 @@ from tallyloom.llm.words import pieces
 CHUNK, STEP, BLOCK, WIDTH = 512, 448, 8, 8
 FILTERS, HIDDEN, PAD = 32, 16, 256
 # Documented bound of the training sample: texts per label, and chunks per text.
-SAMPLE_TEXTS, SAMPLE_CHUNKS = 2000, 6
+SAMPLE_TEXTS, SAMPLE_CHUNKS = 1500, 6
 REJECT_BELOW = 0.3
 
 
@@ -191,8 +191,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, fold: tuple[
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fold: tuple[int, int] | None = (5, 0), most: int = SAMPLE_TEXTS) -> Network:
-    """Network fitted on a bounded sample of labelled texts; of a long text at most 16,000 characters from its ends and middle are used to fit."""
-    crop = F.expr("case when length(text) <= 16000 then text else concat(left(text, 6000), substring(text, length(text) div 2 - 2000, 4000), right(text, 6000)) end")
+    """Network fitted on a bounded sample of labelled texts; of a long text at most 3,600 characters from its ends and middle are used to fit."""
+    crop = F.expr("case when length(text) <= 3600 then text else concat(left(text, 1200), substring(text, length(text) div 2 - 600, 1200), right(text, 1200)) end")
     rows = training_sample(docs, labels, label, fold, most).select("doc_id", crop.alias("text"), "_label").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"], r["_label"]))
     known = labels.where(F.col(label).isin(0, 1))
