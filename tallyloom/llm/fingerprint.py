@@ -91,11 +91,12 @@ def merge_by(sketched: DataFrame, keys: list[str], k: int = SKETCH_SIZE) -> Data
     Hashes become rows that are cut to the k smallest distinct ones per key
     before and after the shuffle, so a hot key never meets in one task whole.
     """
-    hexes = F.expr("transform(sequence(0, octet_length(_sketch) div 8 - 1), i -> hex(reverse(substring(_sketch, i * 8 + 1, 8))))")
+    turned = lambda h: "concat(" + ", ".join(f"substring({h}, {2 * i + 1}, 2)" for i in range(7, -1, -1)) + ")"
+    hexes = F.expr(f"transform(transform(sequence(0, octet_length(_sketch) div 8 - 1), i -> substring(hex(_sketch), i * 16 + 1, 16)), h -> {turned('h')})")
     rows = sketched.where("octet_length(_sketch) > 0").select(*keys, F.explode(hexes).alias("_hash")).distinct()
     rank = Window.partitionBy(*keys).orderBy("_hash")
     kept = rows.withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= k)
-    packed = F.expr("unhex(array_join(transform(array_sort(collect_list(_hash)), h -> hex(reverse(unhex(h)))), ''))")
+    packed = F.expr(f"unhex(array_join(transform(array_sort(collect_list(_hash)), h -> {turned('h')}), ''))")
     merged = kept.groupBy(*keys).agg(packed.alias("_found"))
     every = sketched.select(*keys).distinct()
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in keys]
