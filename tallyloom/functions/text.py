@@ -233,16 +233,17 @@ def image_name(external_id: Column, newsletter_id: Column) -> Column:
 
 
 def partition_key(col: Column) -> Column:
-    """A date as ``yyyyMMdd``; other text without ``-`` and ``/``, eight characters."""
+    """A date as ``yyyyMMdd``; any other key whole, so that different keys stay different partitions."""
     text = col.cast("string")
     day = F.date_format(F.substring(text, 1, 10).try_cast("date"), "yyyyMMdd")
     is_day = text.rlike(r"^\d{4}-\d{2}-\d{2}")
-    return F.coalesce(F.when(is_day, day), F.substring(F.translate(text, "-/", ""), 1, 8))
+    return F.coalesce(F.when(is_day, day), text)
 
 
-def row_key(*cols: Column) -> Column:
-    """Non-null parts joined by ``_``."""
-    return F.concat_ws("_", *[c.cast("string") for c in cols])
+def row_key(*cols: Column, row: Column | None = None) -> Column:
+    """Non-null parts joined by ``_``; without any, ``row-`` and the hash of the whole ``row``, so such rows don't meet under one key."""
+    joined = F.concat_ws("_", *[c.cast("string") for c in cols])
+    return joined if row is None else F.when(F.coalesce(*cols).isNull(), F.concat(F.lit("row-"), row)).otherwise(joined)
 
 
 def post_url(col: Column) -> Column:

@@ -231,7 +231,7 @@ def load_days_last10(spark, sf_dir):
     return out.withColumn("load_day", day_text(F.col("load_day")))
 
 
-_NAMES = "region nation customer supplier part orders lineitem events documents labels pages conversations".split()
+_NAMES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 @query(" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS rows FROM {n}" for n in _NAMES))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,11 +42,14 @@ def shuffle_partitions(input_bytes: int, target_bytes: int = 128 << 20, at_least
 def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
-    Only where ``spark.checkpoint.dir`` is unset (tests on one machine) a local
-    folder is made and recorded in the session, so later calls agree.
+    Only where ``spark.checkpoint.dir`` is unset and all work is done in this
+    process (tests) a local folder is made and recorded in the session, so later calls
+    agree; a cluster without the setting is refused.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tallyloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

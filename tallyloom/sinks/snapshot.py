@@ -26,7 +26,7 @@ from tallyloom.sinks.spec import LoadSpec
 from tallyloom.sinks.stats import LoadStats
 
 _COMMIT = (
-    "version bigint, state string, batch_id string, locations array<string>, dropped array<string>, floor string, rows_from_api bigint, rows_inserted bigint,"
+    "version bigint, state string, batch_id string, locations array<string>, dropped array<string>, rows_from_api bigint, rows_inserted bigint,"
     " rows_updated bigint, rows_skipped bigint, rows_filtered bigint"
 )
 
@@ -76,9 +76,7 @@ class SnapshotTable:
             return frame
         part = ref(self.partition_by)
         if entry.dropped:
-            frame = frame.filter(~part.isin([F.lit(v).cast(self._part_type) for v in entry.dropped]))
-        if entry.floor:
-            frame = frame.filter(part >= F.lit(entry.floor).cast(self._part_type))
+            frame = frame.filter(~F.coalesce(part.isin([F.lit(v).cast(self._part_type) for v in entry.dropped]), F.lit(False)))
         return frame.select(*map(ref, self.schema.fieldNames()))
 
     @property
@@ -93,10 +91,9 @@ class SnapshotTable:
         locations: list[str],
         stats: LoadStats,
         dropped: list[str] | None = None,
-        floor: str | None = None,
     ) -> None:
         values = [stats.rows_from_api, stats.rows_inserted, stats.rows_updated, stats.rows_skipped, stats.rows_filtered]
-        row = [version, state, batch_id, F.array(*map(F.lit, locations)), F.array(*map(F.lit, dropped or [])), floor, *values]
+        row = [version, state, batch_id, F.array(*map(F.lit, locations)), F.array(*map(F.lit, dropped or [])), *values]
         cols = [(v if isinstance(v, Column) else F.lit(v)).cast(t).alias(n) for v, (n, t) in zip(row, _COMMIT_FIELDS)]
         self.spark.range(0, 1, 1, 1).select(*cols).write.mode("append").json(f"{self.path}/commits")
 
@@ -119,7 +116,7 @@ class SnapshotTable:
         if dropped:
             revived = {str(r[0]) for r in rows.select(ref(self.partition_by).cast("string")).distinct().collect()}
             dropped = [v for v in dropped if v not in revived]
-        self._log(version, "committed", batch_id, [base], stats, dropped, entry.floor if entry else None)
+        self._log(version, "committed", batch_id, [base], stats, dropped)
 
     def load(self, batch: DataFrame, spec: LoadSpec, batch_id: str, as_of: date | None = None) -> LoadStats:
         """K1: run one load and return its counters.
@@ -173,17 +170,23 @@ class SnapshotTable:
         entry = self.current()
         if entry is not None:
             gone = sorted({*entry.dropped, *map(str, values)})
-            self._log(entry.version + 1, "committed", batch_id, list(entry.locations), LoadStats(), gone, entry.floor)
+            self._log(entry.version + 1, "committed", batch_id, list(entry.locations), LoadStats(), gone)
 
     def expire(self, column: str, as_of: date, days: int, batch_id: str) -> None:
-        """A version without rows older than ``days``; by the partition column it only moves the floor."""
+        """A version without the rows that are older than ``days`` now; what is loaded later stays.
+
+        By the partition column the partitions of those days leave the table and nothing is rewritten;
+        rows without a day stay.
+        """
         entry = self.current()
         if entry is None:
             return
         version = entry.version + 1
         if column == self.partition_by:
-            floor = max(filter(None, [entry.floor, str(as_of - timedelta(days=days))]))
-            self._log(version, "committed", batch_id, list(entry.locations), LoadStats(), list(entry.dropped), floor)
+            cutoff = F.lit(str(as_of - timedelta(days=days))).cast(self._part_type)
+            # One value per day of the table.
+            old = self.read().filter(ref(column) < cutoff).select(ref(column).cast("string")).distinct().collect()
+            self.drop_partitions([r[0] for r in old], batch_id)
             return
         kept = apply_retention(self.read(), column, as_of, days)
         label = f"v{version:06d}-expire"

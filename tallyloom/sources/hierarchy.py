@@ -39,7 +39,7 @@ def account_tree(clients: DataFrame, seed) -> DataFrame:
         frontier = managers.join(expanded, "manager_id", "left_anti")
         level = cut_lineage(edges.join(frontier, "manager_id", "left_semi").withColumn("depth", F.lit(depth)))
         found = found.unionByName(level)
-        expanded = expanded.unionByName(frontier)
+        expanded = cut_lineage(expanded.unionByName(frontier))
     return found.groupBy("id").agg(
         F.max_by("manager_id", F.struct("depth", "manager_id")).alias("via_manager"),
         F.min("depth").alias("depth"),

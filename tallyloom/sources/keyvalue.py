@@ -29,7 +29,9 @@ def to_entities(df: DataFrame, partition_col: str, row_cols: Sequence[str]) -> D
         elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
         cols.append(c.cast("string").alias(field.name))
-    keys = [partition_key(ref(partition_col)).alias("PartitionKey"), row_key(*map(ref, row_cols)).alias("RowKey")]
+    # A row without any key part gets the hash of all its columns; equal rows are then one entity.
+    whole = F.md5(F.to_json(F.struct(*map(ref, df.columns))).cast("binary"))
+    keys = [partition_key(ref(partition_col)).alias("PartitionKey"), row_key(*[ref(c).cast("string") for c in row_cols], row=whole).alias("RowKey")]
     return df.select(*keys, *cols)
 
 
@@ -57,7 +59,7 @@ class KeyValueTable:
 
     def count(self, partition: str) -> DataFrame:
         """A18."""
-        return self.read(f"PartitionKey = '{partition}'").agg(F.count(F.lit(1)).alias("rows"))
+        return self.read().filter(ref("PartitionKey") == F.lit(partition)).agg(F.count(F.lit(1)).alias("rows"))
 
     def delete_partition(self, partition: str, batch_id: str) -> None:
         """K13."""

@@ -24,6 +24,11 @@ def stream_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str
     return reader.load(path)
 
 
+def query_id(batch: DataFrame, checkpoint: str) -> str:
+    """The query's own id, as its checkpoint holds it: epochs of a new checkpoint are other batches, whatever the query's name."""
+    return batch.sparkSession.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
 def load_stream(
     stream: DataFrame,
     table: SnapshotTable,
@@ -39,7 +44,7 @@ def load_stream(
     """
 
     def load(batch: DataFrame, epoch: int) -> None:
-        table.load(transform(batch) if transform else batch, spec, f"{name}-{epoch}")
+        table.load(transform(batch) if transform else batch, spec, f"{name}-{query_id(batch, checkpoint)}-{epoch}")
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
@@ -72,7 +77,7 @@ def upsert_updates(stream: DataFrame, table: SnapshotTable, spec: LoadSpec, chec
     """Changed aggregate rows upserted by key, so the table always shows the current state."""
 
     def load(batch: DataFrame, epoch: int) -> None:
-        table.load(batch, spec, f"{name}-{epoch}")
+        table.load(batch, spec, f"{name}-{query_id(batch, checkpoint)}-{epoch}")
 
     writer = stream.writeStream.outputMode("update").foreachBatch(load).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

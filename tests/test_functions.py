@@ -47,7 +47,7 @@ from tallyloom.functions import dates, html, numbers, text
         (text.copy_field, "a\\b|c", "a\\\\b\\|c"),
         (text.copy_field, None, "None"),
         (text.partition_key, "2024-01-15", "20240115"),
-        (text.partition_key, "ab/cd-efghijk", "abcdefgh"),
+        (text.partition_key, "ab/cd-efghijk", "ab/cd-efghijk"),
         (text.post_url, "urn:li:share:1", "https://www.linkedin.com/feed/update/urn:li:share:1"),
     ],
 )

@@ -253,3 +253,33 @@ def test_merge_into_needs_a_capable_table(spark):
     spark.sql("create or replace temp view merge_target as select 1L k, 's' s, 1L n, date'2024-01-01' load_date")
     with pytest.raises(Exception):
         merge.merge_into(frame(spark, BATCH), "merge_target", spec("upsert"))
+
+
+def test_load_after_expiry_stays(spark, tmp_path):
+    """Retention is a delete at one moment: older days that are loaded later are read, rows without a day stay."""
+    from datetime import date
+
+    from pyspark.sql import types as T
+
+    from tallyloom.sinks.snapshot import SnapshotTable
+    from tallyloom.sinks.spec import LoadSpec
+
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("day", T.DateType())])
+    table = SnapshotTable(spark, str(tmp_path / "t"), schema, partition_by="day")
+    spec = LoadSpec("t", ["id"], "upsert", partition_by="day")
+    table.load(spark.createDataFrame([("a", date(2024, 1, 1)), ("b", date(2024, 6, 1)), ("n", None)], schema), spec, "one")
+    table.expire("day", date(2024, 6, 30), 90, "expire")
+    assert {r["id"] for r in table.read().collect()} == {"b", "n"}
+    assert table.load(spark.createDataFrame([("c", date(2024, 1, 1))], schema), spec, "two").rows_inserted == 1
+    assert {r["id"] for r in table.read().collect()} == {"b", "c", "n"}
+
+
+def test_keys_with_one_start_stay_apart(spark, tmp_path):
+    from tallyloom.sources.keyvalue import KeyValueTable, to_entities
+
+    rows = spark.createDataFrame([("campaign_a", "1"), ("campaign_b", "1"), ("campaign_b", None), ("o'b", None)], "p string, r string")
+    table = KeyValueTable(spark, str(tmp_path / "kv"), ["p", "r"])
+    table.write(to_entities(rows, "p", ["r"]), "one")
+    assert table.read().count() == 4 and table.count("o'b").first()["rows"] == 1
+    table.delete_partition("campaign_a", "drop")
+    assert table.read().count() == 3

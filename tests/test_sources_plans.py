@@ -190,7 +190,7 @@ def test_every_table_plans(spark):
     for platform, tables in PLATFORMS.items():
         for name, table in tables.items():
             if platform == "microsoft":
-                schema = ", ".join(f"{c} string" for c in report_csv.REPORT_COLUMNS[table.landing])
+                schema = ", ".join(f"{c} string" for c in report_csv.default_columns(table.landing))
             else:
                 schema = LANDING[table.landing]
             out = table.transform(spark.createDataFrame([], schema), ctx)
