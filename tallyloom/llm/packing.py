@@ -29,6 +29,8 @@ DOCS_PER_GROUP = 16_384
 # Words remembered per worker; beyond, the memory starts anew.
 REMEMBERED = 1_000_000
 
+_MARKS = {".", ","}
+_LETTERS = set("abcdefghijklmnopqrstuvwxyz")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -47,18 +49,46 @@ class WordTokens:
 
     def reset(self) -> None:
         self.index: dict[str, int] = {}
-        self.first = np.zeros(1, np.int64)  # where each word's ids begin
-        self.ids = np.zeros(0, np.uint32)
+        self.first = np.zeros(1 << 12, np.int64)  # where each word's ids begin
+        self.ids = np.zeros(1 << 14, np.uint32)
+        self._add([".", ","], [e.ids for e in self.tokenizer.encode_batch_fast([".", ","], add_special_tokens=False)])
+
+    def _add(self, fresh: list[str], found: list[list[int]]) -> None:
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self._append(fresh, sizes, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())))
+
+    def _append(self, fresh: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        base = len(self.index)
+        self.index.update(zip(fresh, range(base, base + len(fresh)), strict=True))
+        begin = int(self.first[base])
+        # Room is doubled, so that learning costs what is learned.
+        while base + len(fresh) >= len(self.first):
+            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
+        while begin + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.first[base + 1 : base + 1 + len(fresh)] = begin + np.cumsum(sizes)
+        self.ids[begin : begin + len(ids)] = ids
+
+    def gather(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in order, and how many each has."""
+        begin = self.first[word]
+        size = self.first[word + 1] - begin
+        return self.ids[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))], size
 
     def learn(self, fresh: list[str]) -> None:
-        if len(self.index) + len(fresh) > REMEMBERED:
+        """A final full stop or comma behind a letter is a piece of its own, so such a word is its stem and the mark."""
+        marked = [w for w in fresh if w[-1:] in _MARKS and w[-2:-1] in _LETTERS]
+        stems = dict.fromkeys(w[:-1] for w in marked)
+        stems.update(dict.fromkeys(set(fresh).difference(marked)))
+        todo = [w for w in stems if w not in self.index]
+        if len(self.index) + len(todo) + len(marked) > REMEMBERED:
             raise OverflowError
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
-        base = len(self.index)
-        self.index.update((w, base + i) for i, w in enumerate(fresh))
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))])
+        if todo:
+            self._add(todo, [e.ids for e in self.tokenizer.encode_batch_fast(todo, add_special_tokens=False)])
+        if marked:
+            known = self.index
+            ids, size = self.gather(np.array([i for w in marked for i in (known[w[:-1]], known[w[-1]])], np.int64))
+            self._append(marked, size[0::2] + size[1::2], ids)
 
     def split(self, text: str) -> list[str]:
         raw = text.encode()
@@ -80,20 +110,15 @@ class WordTokens:
                 if len(texts) > 1:
                     half = len(texts) // 2
                     return self.batch(texts[:half]) + self.batch(texts[half:])
-                if len(set(flat)) > REMEMBERED:
+                if 2 * len(set(flat)) + 2 > REMEMBERED:
                     return [np.array(self.tokenizer.encode(texts[0], add_special_tokens=False).ids, np.uint32)]
                 return self.batch(texts)
             get = self.index.__getitem__
             at[missing] = [get(flat[i]) for i in missing]
         out, lo = [], 0
         for parts in split:
-            word = at[lo : lo + len(parts)]
+            out.append(self.gather(at[lo : lo + len(parts)])[0])
             lo += len(parts)
-            begin = self.first[word]
-            size = self.first[word + 1] - begin
-            total = int(size.sum())
-            where = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(total)
-            out.append(self.ids[where])
         return out
 
 
