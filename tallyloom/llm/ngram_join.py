@@ -37,8 +37,8 @@ FREQUENT = 24
 TOKEN_BITS = 1 << 26
 # Rounds of further pivots before the rest is verified.
 PIVOT_ROUNDS = 1
-# Lists of so many members whose components differ are compared in blocks of BLOCK sets inside tasks, without rows for pairs.
-HOT_LIST, BLOCK = 48, 256
+# Open lists of so many members are compared in blocks of BLOCK sets inside tasks, without rows for pairs; shorter ones make at most 3 pairs a member.
+HOT_LIST, BLOCK = 8, 256
 _U = np.uint64
 
 
