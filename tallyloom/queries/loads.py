@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -188,6 +189,40 @@ def load_partitioned(spark, sf_dir):
     return table.read()
 
 
+class _Interrupted(SnapshotTable):
+    """A writer that is lost when its rows are staged and moved but not committed."""
+
+    def _log(self, version, state, *rest):
+        if state == "committed":
+            raise InterruptedError(state)
+        super()._log(version, state, *rest)
+
+
+@query("""
+WITH target AS (SELECT o_custkey AS id, CAST(year(o_orderdate) AS VARCHAR) AS year, count(*) AS clicks FROM orders GROUP BY 1, 2),
+batch AS (SELECT l_suppkey AS id, CAST(year(l_shipdate) AS VARCHAR) AS year, count(*) AS clicks FROM lineitem GROUP BY 1, 2)
+SELECT coalesce(t.id, b.id) AS id, coalesce(t.year, b.year) AS year, coalesce(t.clicks, 0) + 2 * coalesce(b.clicks, 0) AS clicks
+FROM target t FULL JOIN batch b ON t.id = b.id AND t.year = b.year
+""")
+def load_after_crash(spark, sf_dir):
+    """K1, K6: an increment breaks before its commit, another batch loads, the broken one is repeated; each counts once."""
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("year", T.StringType()), T.StructField("clicks", T.LongType())])
+    table = SnapshotTable(spark, scratch_path(spark, "crashed"), schema, "year")
+    spec = LoadSpec("t", ("id", "year"), "increment", increment=("clicks",), partition_by="year")
+
+    def counts(name, key, day):
+        grouped = tab(spark, sf_dir, name).groupBy(ref(key).alias("id"), F.year(day).cast("string").alias("year"))
+        return grouped.agg(F.count(F.lit(1)).alias("clicks"))
+
+    lines = counts("lineitem", "l_suppkey", "l_shipdate")
+    table.load(counts("orders", "o_custkey", "o_orderdate"), spec, "base")
+    with suppress(InterruptedError):
+        _Interrupted(spark, table.path, schema, "year").load(lines, spec, "first")
+    table.load(lines, spec, "second")
+    table.load(lines, spec, "first")
+    return table.read()
+
+
 @query("""
 SELECT o_orderstatus AS "PartitionKey", CAST(o_orderkey AS VARCHAR) AS "RowKey", o_orderstatus AS status, CAST(o_orderkey AS VARCHAR) AS id,
        CASE WHEN o_orderpriority = '5-LOW' THEN 'late' ELSE o_orderpriority END AS priority

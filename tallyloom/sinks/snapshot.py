@@ -4,9 +4,10 @@ Without a table format a path cannot be overwritten while it is read. Here a
 load writes a new directory and a one-row commit entry names the directories
 that make up the table from then on. A partitioned table rewrites the touched
 partitions only: merged rows are staged, then moved in by dynamic partition
-overwrite; the staged entry lets a broken run finish. Dropping partitions is a
-commit entry that readers prune by. Replays of a committed
-batch id change nothing. One writer per table at a time.
+overwrite. The staged entry is the point from which the load counts: readers see its
+rows at once, whether or not they are moved, and the next writer of any batch moves and
+commits them first. Dropping partitions is a commit entry that readers prune by. Replays
+of a committed batch id change nothing. One writer per table at a time.
 """
 
 from __future__ import annotations
@@ -30,6 +31,9 @@ _COMMIT = (
     " rows_updated bigint, rows_skipped bigint, rows_filtered bigint"
 )
 
+# Touched partitions that a scan of the target lists by value; with more it is joined to them.
+LISTED_PARTITIONS = 1000
+
 _COMMIT_FIELDS = [tuple(f.split()) for f in _COMMIT.split(",")]
 
 
@@ -48,7 +52,7 @@ class SnapshotTable:
             return self.spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in _COMMIT_FIELDS])
 
     def _state(self, batch_id: str = "") -> Row:
-        """The last commit, and the commit and staging of one batch, in one look at the log."""
+        """The last commit, the commit of one batch and the last staging, in one look at the log."""
         entry = F.struct(*[n for n, _ in _COMMIT_FIELDS])
         committed, mine = F.col("state") == "committed", F.col("batch_id") == batch_id
 
@@ -58,15 +62,40 @@ class SnapshotTable:
         return self.commits().agg(
             newest(committed).alias("current"),
             newest(committed & mine).alias("done"),
-            newest((F.col("state") == "staged") & mine).alias("staged"),
+            newest(F.col("state") == "staged").alias("staged"),
         ).first()
 
+    @staticmethod
+    def _pending(state: Row) -> Row | None:
+        """The staged load that no commit has followed."""
+        version = state.current.version if state.current else 0
+        return state.staged if state.staged is not None and state.staged.version > version else None
+
+    def _settled(self, batch_id: str) -> Row:
+        """The state once a load that broke after its staging is committed."""
+        state = self._state(batch_id)
+        left = self._pending(state)
+        if left is None:
+            return state
+        self._overwrite_partitions(state.current, left.version, left.batch_id, left.locations[0], LoadStats.from_row(left))
+        return self._state(batch_id)
+
     def current(self) -> Row | None:
         return self._state().current
 
     def read(self) -> DataFrame:
-        """The table as of the last commit; an empty one before the first."""
-        return self._read(self.current())
+        """The table as of the last load; an empty one before the first."""
+        state = self._state()
+        left = self._pending(state)
+        if left is None:
+            return self._read(state.current)
+        staged = self.spark.read.schema(self.schema).parquet(left.locations[0])
+        return self._meeting(self._read(state.current), staged, "left_anti").unionByName(staged)
+
+    def _meeting(self, rows: DataFrame, others: DataFrame, how: str) -> DataFrame:
+        """Rows whose partition the others have (``left_semi``) or lack (``left_anti``)."""
+        values = others.select(ref(self.partition_by).alias("__part")).distinct()
+        return rows.join(values, ref(self.partition_by).eqNullSafe(F.col("__part")), how)
 
     def _read(self, entry: Row | None) -> DataFrame:
         if entry is None or not entry.locations:
@@ -114,7 +143,8 @@ class SnapshotTable:
         writer.option("partitionOverwriteMode", "dynamic").parquet(base)
         dropped = list(entry.dropped) if entry else []
         if dropped:
-            revived = {str(r[0]) for r in rows.select(ref(self.partition_by).cast("string")).distinct().collect()}
+            part = ref(self.partition_by).cast("string")
+            revived = {r[0] for r in rows.select(part.alias("v")).filter(F.col("v").isin(dropped)).distinct().collect()}
             dropped = [v for v in dropped if v not in revived]
         self._log(version, "committed", batch_id, [base], stats, dropped)
 
@@ -124,15 +154,11 @@ class SnapshotTable:
         An empty batch is a no-op, so a replace does not empty the table, unless
         the spec allows it (trap T28).
         """
-        state = self._state(batch_id)
+        state = self._settled(batch_id)
         if state.done is not None:
             return LoadStats.from_row(state.done)
         entry = state.current
         version = (entry.version if entry else 0) + 1
-        if state.staged is not None and state.staged.version == version:
-            stats = LoadStats.from_row(state.staged)
-            self._overwrite_partitions(entry, version, batch_id, state.staged.locations[0], stats)
-            return stats
         batch = align_to_schema(batch, self.schema, spec.keys, as_of)
         target = self._read(entry)
         stats = LoadStats.from_row(load_counts(batch, target, spec).first())
@@ -146,9 +172,7 @@ class SnapshotTable:
             self._log(version, "committed", batch_id, [location], stats)
             return stats
         if self.partition_by:
-            touched = [r[0] for r in new.select(ref(self.partition_by)).distinct().collect()]
-            merged = merge_rows(new, target.filter(ref(self.partition_by).isin(touched)), spec)
-            location = self._write(merged, f"stage/{label}")
+            location = self._write(merge_rows(new, self._touched(target, new), spec), f"stage/{label}")
             self._log(version, "staged", batch_id, [location], stats)
             self._overwrite_partitions(entry, version, batch_id, location, stats)
             return stats
@@ -160,6 +184,13 @@ class SnapshotTable:
         self._log(version, "committed", batch_id, locations, stats)
         return stats
 
+    def _touched(self, target: DataFrame, new: DataFrame) -> DataFrame:
+        """Target rows of the partitions that the new rows touch; a short list of values prunes the scan."""
+        values = [r[0] for r in new.select(ref(self.partition_by)).distinct().limit(LISTED_PARTITIONS + 1).collect()]
+        if len(values) > LISTED_PARTITIONS or None in values:
+            return self._meeting(target, new, "left_semi")
+        return target.filter(ref(self.partition_by).isin(values))
+
     def _write_full(self, rows: DataFrame, label: str) -> str:
         location = f"{self.path}/data/{label}"
         rows.hint("rebalance", self.partition_by).write.mode("overwrite").partitionBy(self.partition_by).parquet(location)
@@ -167,8 +198,9 @@ class SnapshotTable:
 
     def drop_partitions(self, values: list, batch_id: str) -> None:
         """Partitions leave the table; nothing is rewritten."""
-        entry = self.current()
-        if entry is not None:
+        state = self._settled(batch_id)
+        entry = state.current
+        if entry is not None and state.done is None:
             gone = sorted({*entry.dropped, *map(str, values)})
             self._log(entry.version + 1, "committed", batch_id, list(entry.locations), LoadStats(), gone)
 
@@ -178,8 +210,9 @@ class SnapshotTable:
         By the partition column the partitions of those days leave the table and nothing is rewritten;
         rows without a day stay.
         """
-        entry = self.current()
-        if entry is None:
+        state = self._settled(batch_id)
+        entry = state.current
+        if entry is None or state.done is not None:
             return
         version = entry.version + 1
         if column == self.partition_by:

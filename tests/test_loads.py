@@ -283,3 +283,32 @@ def test_keys_with_one_start_stay_apart(spark, tmp_path):
     assert table.read().count() == 4 and table.count("o'b").first()["rows"] == 1
     table.delete_partition("campaign_a", "drop")
     assert table.read().count() == 3
+
+
+@pytest.mark.parametrize("listed", [1000, 0])
+def test_broken_load_counts_once(spark, monkeypatch, listed):
+    """A load is whole from its staging on: other batches build on it, readers see it moved or not."""
+    from tallyloom.sinks import snapshot
+
+    monkeypatch.setattr(snapshot, "LISTED_PARTITIONS", listed)
+    t = open_table(spark, PART, "d")
+    sp = LoadSpec("t", ("d", "k"), "increment", increment=("n",), partition_by="d")
+    t.load(part_frame(spark, [(1, 1, 100), (2, 1, 7)]), sp, "base")
+    move = SnapshotTable._overwrite_partitions
+    for moved, name in ((False, "a"), (True, "b")):
+        with monkeypatch.context() as m:
+
+            def die(self, *args, moved=moved):
+                if moved:
+                    m.setattr(SnapshotTable, "_log", lambda *a, **k: None)
+                    move(self, *args)
+                raise OSError("lost")
+
+            m.setattr(SnapshotTable, "_overwrite_partitions", die)
+            with pytest.raises(OSError):
+                t.load(part_frame(spark, [(1, 1, 10)]), sp, name)
+        want = 110 if name == "a" else 121
+        assert rows(t.read()) == [(date(2024, 1, 1), 1, want), (date(2024, 1, 2), 1, 7)]
+        t.load(part_frame(spark, [(1, 1, 1)]), sp, f"other-{name}")
+        assert t.load(part_frame(spark, [(1, 1, 10)]), sp, name).rows_updated == 1
+    assert rows(t.read()) == [(date(2024, 1, 1), 1, 122), (date(2024, 1, 2), 1, 7)]
