@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tallyloom.functions.text import BLANKS
+
 # --- Fixed values -----------------------------------------------------------
 PLACEHOLDERS = [r"\{\{.*?\}\}", r"\[\[.*?\]\]", r"<mj-raw>.*?</mj-raw>"]
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -36,8 +38,8 @@ def strip_placeholders_by(col: Column, company: Column, patterns: dict[str, list
 
 def squeeze_whitespace(col: Column) -> Column:
     """H2: blanks between tags out, runs of spaces to one, trimmed."""
-    between = F.regexp_replace(col, r">\s+<", "><")
-    return F.regexp_replace(F.regexp_replace(between, r" +", " "), r"^\s+|\s+$", "")
+    between = F.regexp_replace(col, f">[{BLANKS}]+<", "><")
+    return F.regexp_replace(F.regexp_replace(between, r" +", " "), f"^[{BLANKS}]+|[{BLANKS}]+$", "")
 
 
 def body_of(col: Column) -> Column:

@@ -59,7 +59,10 @@ EMOJI_RANGES = {
         (0x200D, 0x200D),
     ],
 }
-SHORT_LINK = r"(?i)https?://bit\.ly/\S+"
+# Blanks beyond ASCII, to stand inside a character class: blank and separator characters of Unicode.
+WIDE_BLANKS = r"\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+BLANKS = rf"\s\x{{B}}{WIDE_BLANKS}"
+SHORT_LINK = rf"(?i)https?://bit\.ly/[^{BLANKS}]+"
 ACCOUNT_URN = "urn:li:sponsoredAccount:"
 CONVERSION_PREFIX = "offsite_conversion.custom."
 POST_URL = "https://www.linkedin.com/feed/update/"
@@ -141,7 +144,7 @@ def strip_emoji(col: Column, profile: str = "basic") -> Column:
 
 def keep_latin(col: Column) -> Column:
     """C11: ASCII letters, digits, blanks and common punctuation."""
-    return F.regexp_replace(col, r"""[^a-zA-Z0-9\s\-.,;:!?()\[\]'"]+""", "")
+    return F.regexp_replace(col, rf"""[^a-zA-Z0-9{BLANKS}\-.,;:!?()\[\]'"]+""", "")
 
 
 def ascii_only(col: Column) -> Column:
@@ -167,7 +170,7 @@ def clean_label(col: Column, profile: str = "pipe") -> Column:
 
 def audience_label(col: Column) -> Column:
     """C13."""
-    return F.regexp_replace(col, r"[^a-zA-Z0-9\s\-_]", "")
+    return F.regexp_replace(col, rf"[^a-zA-Z0-9{BLANKS}\-_]", "")
 
 
 def drop_vertical_prefix(col: Column) -> Column:
@@ -177,7 +180,7 @@ def drop_vertical_prefix(col: Column) -> Column:
 
 def keep_word_chars(col: Column) -> Column:
     r"""C14: letters and digits of any script, ``_``, blanks, ``-`` and pipe."""
-    return F.regexp_replace(col, r"[^a-z A-Z0-9_\s\-|\p{L}\p{N}]", "")
+    return F.regexp_replace(col, rf"[^a-z A-Z0-9_{BLANKS}\-|\p{{L}}\p{{N}}]", "")
 
 
 def clean_post_text(col: Column) -> Column:

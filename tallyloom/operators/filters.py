@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import years_back_start
+from tallyloom.functions.text import BLANKS
 from tallyloom.operators.columns import present, ref
 
 # --- Fixed values -----------------------------------------------------------
@@ -62,7 +63,7 @@ def client_accounts(df: DataFrame, enabled_only: bool = True) -> DataFrame:
 
 def has_content(col: Column) -> Column:
     """text that is not blank."""
-    return F.coalesce(F.length(F.regexp_replace(col, r"^\s+|\s+$", "")) > 0, F.lit(False))
+    return F.coalesce(col.rlike(f"[^{BLANKS}]"), F.lit(False))
 
 
 def policy_violations(df: DataFrame, statuses: Sequence[str] = VIOLATION_STATUSES) -> DataFrame:

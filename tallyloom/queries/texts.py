@@ -11,7 +11,7 @@ from tallyloom.queries.registry import day_text, query, tab
 from tallyloom.sources.keyvalue import to_entities
 
 _DECORATED = """
-WITH d AS (SELECT doc_id, text || CASE lang WHEN 'en' THEN ' 😀 ok|pipe é' WHEN 'de' THEN ' 漢字 ü_x' WHEN 'fr' THEN chr(13) || chr(10) || 'l' || chr(10) || '☀️|'
+WITH d AS (SELECT doc_id, text || CASE lang WHEN 'en' THEN ' 😀 ok|pipe é' WHEN 'de' THEN ' 漢字' || chr(160) || 'ü_x' || chr(8195) WHEN 'fr' THEN chr(13) || chr(10) || 'l' || chr(10) || '☀️|'
                                     ELSE ' 𝐀 ñ "q"' END AS t FROM documents)
 """
 
@@ -19,7 +19,7 @@ WITH d AS (SELECT doc_id, text || CASE lang WHEN 'en' THEN ' 😀 ok|pipe é' WH
 def _decorated(spark, sf_dir):
     tail = (
         F.when(F.col("lang") == "en", " \U0001f600 ok|pipe é")
-        .when(F.col("lang") == "de", " 漢字 ü_x")
+        .when(F.col("lang") == "de", " 漢字\u00a0ü_x\u2003")
         .when(F.col("lang") == "fr", "\r\nl\n☀️|")
         .otherwise(' \U0001d400 ñ "q"')
     )
@@ -27,7 +27,9 @@ def _decorated(spark, sf_dir):
 
 
 _BASIC = text.emoji_pattern("basic")
-_LATIN = r"""[^a-zA-Z0-9\s\-.,;:!?()\[\]''"]+"""
+# Blanks of every script, spelled out for the SQL side.
+_BLANK = r"\t\n\v\f\r\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_LATIN = rf"""[^a-zA-Z0-9{_BLANK}\-.,;:!?()\[\]''"]+"""
 
 
 @query(_DECORATED + rf"""
@@ -52,8 +54,8 @@ def strip_emoji(spark, sf_dir):
 @query(_DECORATED + rf"""
 SELECT doc_id, md5(replace(t, '|', '-')) AS plain, md5(regexp_replace(replace(t, '|', '-'), '{_BASIC}', '', 'g')) AS social,
        md5(replace(regexp_replace(regexp_replace(t, '{_BASIC}', '', 'g'), '{_LATIN}', '', 'g'), '|', '-')) AS latin,
-       md5(regexp_replace(t, '[^a-zA-Z0-9\s\-_]', '', 'g')) AS audience,
-       md5(regexp_replace(t, '[^\p{{L}}\p{{N}}_\s\-|]', '', 'g')) AS words
+       md5(regexp_replace(t, '[^a-zA-Z0-9{_BLANK}\-_]', '', 'g')) AS audience,
+       md5(regexp_replace(t, '[^\p{{L}}\p{{N}}_{_BLANK}\-|]', '', 'g')) AS words
 FROM d
 """)
 def text_clean(spark, sf_dir):
@@ -83,20 +85,20 @@ def post_text_clean(spark, sf_dir):
 
 
 _LINKED = """
-WITH d AS (SELECT doc_id, text || ' https://bit.ly/' || source || CASE WHEN lang = 'en' THEN ' HTTP://BIT.LY/' || doc_id || ' https://bit.ly/' || source ELSE '' END
+WITH d AS (SELECT doc_id, text || ' https://bit.ly/' || source || CASE WHEN lang = 'en' THEN chr(160) || 'HTTP://BIT.LY/' || doc_id || chr(8195) || 'https://bit.ly/' || source ELSE '' END
                   AS t FROM documents)
 """
 
 
 def _linked(spark, sf_dir):
     doc = F.col("doc_id").cast("string")
-    more = F.when(F.col("lang") == "en", F.concat(F.lit(" HTTP://BIT.LY/"), doc, F.lit(" https://bit.ly/"), F.col("source"))).otherwise("")
+    more = F.when(F.col("lang") == "en", F.concat(F.lit("\u00a0HTTP://BIT.LY/"), doc, F.lit("\u2003https://bit.ly/"), F.col("source"))).otherwise("")
     return tab(spark, sf_dir, "documents").select("doc_id", F.concat("text", F.lit(" https://bit.ly/"), "source", more).alias("t"))
 
 
-@query(_LINKED + r"""
-, u AS (SELECT doc_id, unnest(regexp_extract_all(t, '(?i)https?://bit\.ly/\S+')) AS link FROM d),
-m AS (SELECT doc_id, regexp_extract_all(t, '(?i)https?://bit\.ly/\S+') AS links FROM d)
+@query(_LINKED + rf"""
+, u AS (SELECT doc_id, unnest(regexp_extract_all(t, '(?i)https?://bit\.ly/[^{_BLANK}]+')) AS link FROM d),
+m AS (SELECT doc_id, regexp_extract_all(t, '(?i)https?://bit\.ly/[^{_BLANK}]+') AS links FROM d)
 SELECT m.doc_id, link, CAST(list_position(list_distinct_ordered, link) - 1 AS INTEGER) AS pos, regexp_replace(link, '^https?://', '') AS link_id
 FROM (SELECT doc_id, links, list_filter(links, lambda x, i : list_position(links, x) = i) AS list_distinct_ordered FROM m) m,
      unnest(list_distinct_ordered) AS t2(link)
@@ -107,9 +109,9 @@ def link_extract(spark, sf_dir):
     return rows.withColumn("link_id", text.link_id(F.col("link")))
 
 
-@query(_LINKED + r"""
-SELECT doc_id, regexp_matches(t, '(?i)https?://bit\.ly/\S+') AS has_link,
-       CAST(len(list_distinct(regexp_extract_all(t, '(?i)https?://bit\.ly/\S+'))) AS INTEGER) AS links FROM d
+@query(_LINKED + rf"""
+SELECT doc_id, regexp_matches(t, '(?i)https?://bit\.ly/[^{_BLANK}]+') AS has_link,
+       CAST(len(list_distinct(regexp_extract_all(t, '(?i)https?://bit\.ly/[^{_BLANK}]+'))) AS INTEGER) AS links FROM d
 """)
 def link_counts(spark, sf_dir):
     """C17, F15."""
@@ -199,13 +201,13 @@ def date_build(spark, sf_dir):
 
 
 _PAGE = r"""
-WITH p AS (SELECT page_id, regexp_replace(html, '</body>', '<p>{{name}}</p>  <mj-raw>' || chr(10) || 'x</mj-raw>[[y]] </body>') AS h FROM pages)
+WITH p AS (SELECT page_id, regexp_replace(html, '</body>', '<p>{{name}}</p>' || chr(160) || ' <mj-raw>' || chr(10) || 'x</mj-raw>[[y]] </body>') AS h FROM pages)
 """
 _STRIP = r"regexp_replace(regexp_replace(regexp_replace(h, '(?s)\{\{.*?\}\}', '', 'g'), '(?s)\[\[.*?\]\]', '', 'g'), '(?s)<mj-raw>.*?</mj-raw>', '', 'g')"
 
 
 def _pages(spark, sf_dir):
-    mark = "<p>{{name}}</p>  <mj-raw>\nx</mj-raw>[[y]] </body>"
+    mark = "<p>{{name}}</p>\u00a0 <mj-raw>\nx</mj-raw>[[y]] </body>"
     at = F.expr("locate('</body>', html)")
     marked = F.when(at > 0, F.concat(F.expr("substring(html, 1, locate('</body>', html) - 1)"), F.lit(mark), F.expr("substring(html, locate('</body>', html) + 7)")))
     return tab(spark, sf_dir, "pages").select("page_id", F.coalesce(marked, F.col("html")).alias("h"))
@@ -214,7 +216,7 @@ def _pages(spark, sf_dir):
 @query(_PAGE + rf"""
 , s AS (SELECT page_id, {_STRIP} AS c FROM p)
 SELECT page_id, md5(c) AS stripped,
-       md5(regexp_replace(regexp_replace(regexp_replace(c, '>\s+<', '><', 'g'), ' +', ' ', 'g'), '^\s+|\s+$', '', 'g')) AS squeezed,
+       md5(regexp_replace(regexp_replace(regexp_replace(c, '>[{_BLANK}]+<', '><', 'g'), ' +', ' ', 'g'), '^[{_BLANK}]+|[{_BLANK}]+$', '', 'g')) AS squeezed,
        md5(CASE WHEN regexp_extract(c, '(?is)<body\b.*?</body\s*>') <> '' THEN regexp_extract(c, '(?is)<body\b.*?</body\s*>') ELSE c END) AS body
 FROM s
 """)

@@ -200,3 +200,15 @@ def test_balance(raw, want):
 def test_repair_udf(spark):
     df = spark.createDataFrame([("<p>a",), (None,)], "h string")
     assert [r[0] for r in df.select(html.repair_markup("h")).collect()] == ["<p>a</p>", None]
+
+
+@pytest.mark.parametrize("blank", ["\u00a0", "\u2003", "\u3000", "\u0085", "\v"])
+def test_blanks_beyond_ascii(spark, blank):
+    """Cleaners keep them, links end at them, trims and blank tests take them."""
+    from tallyloom.functions import html, text
+    from tallyloom.operators.filters import has_content
+
+    c, link = F.col("c"), F.col("l")
+    df = spark.createDataFrame([(f"a{blank}b", f"https://bit.ly/x{blank}next", f"{blank}<p>{blank}<b>{blank}", blank)], "c string, l string, h string, e string")
+    got = df.select(text.keep_latin(c), text.audience_label(c), text.keep_word_chars(c), text.short_links(link), html.squeeze_whitespace(F.col("h")), has_content(F.col("e")), has_content(c)).first()
+    assert tuple(got) == (f"a{blank}b",) * 3 + (["https://bit.ly/x"], "<p><b>", False, True)
