@@ -323,12 +323,13 @@ def nested_to_json(df: DataFrame) -> DataFrame:
     return df.select(*[(F.to_json(ref(f.name)) if isinstance(f.dataType, nested) else ref(f.name)).alias(f.name) for f in df.schema.fields])
 
 
-def sms_message(df: DataFrame) -> DataFrame:
-    """Nested SMS text, and the name else the subject."""
+def sms_message(df: DataFrame, *more: Column) -> DataFrame:
+    """Nested SMS text, the name else the subject, and further columns of the record."""
     return df.select(
         "message_id",
         F.col("message")["smsText"].alias("sms_text"),
         F.coalesce(F.nullif(F.col("name"), F.lit("")), F.col("subject")).alias("campaign_name"),
+        *more,
     )
 
 

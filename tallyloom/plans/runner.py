@@ -128,9 +128,15 @@ def snapshot_targets(spark: SparkSession, root: str) -> Callable[[str, DataFrame
     return open_table
 
 
-def run_tenants(tenants: Sequence[str], run: Callable[[str], RunResult]) -> dict[str, LoadStats]:
-    """Counters as ``tenant.table`` where tenants must stay separate runs; failed tables are left out."""
-    stats: dict[str, LoadStats] = {}
-    for tenant in tenants:
-        stats |= {f"{tenant}.{name}": s for name, s in run(tenant).loaded.items()}
-    return stats
+def run_tenants(tenants: Sequence[str], run: Callable[[str], RunResult]) -> dict[str, RunResult]:
+    """The result of each tenant where tenants must stay separate runs."""
+    return {tenant: run(tenant) for tenant in tenants}
+
+
+def tenant_totals(runs: Mapping[str, RunResult], platform: str, execution_id: str) -> RunResult:
+    """One result over all tenants, loaded and failed tables as ``tenant.table``; its status tells partial success."""
+    total = RunResult(platform, execution_id, min(r.start for r in runs.values()))
+    for tenant, result in runs.items():
+        total.loaded |= {f"{tenant}.{name}": s for name, s in result.loaded.items()}
+        total.failed |= {f"{tenant}.{name}": message for name, message in result.failed.items()}
+    return total

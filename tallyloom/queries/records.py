@@ -375,8 +375,7 @@ def message_contents(spark, sf_dir):
         F.lit("subject").alias("subject"),
         F.when(nation < 12, english).otherwise(italian).alias("names"),
     )
-    local = raw.select("message_id", localized_name(F.col("names")).alias("local_name"))
-    return nested.sms_message(raw).join(local, "message_id")
+    return nested.sms_message(raw, localized_name(F.col("names")).alias("local_name"))
 
 
 @query("""

@@ -56,7 +56,7 @@ def dedupe_stream(stream: DataFrame, keys: Sequence[str], ts: str, delay: str =
 
 
 def daily_metrics(stream: DataFrame, entity: Sequence[str], ts: str, metric: str, delay: str = "1 day") -> DataFrame:
-    """Event count and metric sum per entity and day; a day is emitted once it is past the watermark."""
+    """Event count and metric sum per entity and day; appended, a day is emitted once it is past the watermark; in update mode with each change."""
     grouped = stream.withWatermark(ts, delay).groupBy(F.window(ref(ts), "1 day").alias("w"), *map(ref, entity))
     totals = grouped.agg(F.count(F.lit(1)).alias("events"), F.sum(ref(metric)).alias(metric))
     return totals.select(F.col("w.start").alias("day_start"), *map(ref, entity), "events", ref(metric))

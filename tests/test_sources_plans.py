@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.plans import monitoring
-from tallyloom.plans.runner import RunResult, run_order, run_platform, run_tenants, snapshot_targets
+from tallyloom.plans.runner import RunResult, run_order, run_platform, run_tenants, snapshot_targets, tenant_totals
 from tallyloom.plans.steps import Context, Step, run_steps
 from tallyloom.plans.tables import FACEBOOK_TABLES, GOOGLE_TABLES, LINKEDIN_TABLES, MICROSOFT_TABLES, ORGANIC_TABLES, PLATFORMS
 from tallyloom.schemas import LANDING
@@ -282,8 +282,11 @@ def test_scoped_tenants(spark):
         scope = ("customer_id_google", [tenant])
         return run_platform("google", GOOGLE_TABLES, lambda t: tenant_rows(tenant, n), targets, CTX, run_id, ["google_ads_cost_by_device"], scope)
 
-    stats = run_tenants(["A", "B"], lambda t: run(t, 3, f"{t}1"))
-    assert stats["A.google_ads_cost_by_device"].rows_inserted == 3
+    runs = run_tenants(["A", "B"], lambda t: run(t, 3, f"{t}1"))
+    assert tenant_totals(runs, "google", "x").loaded["A.google_ads_cost_by_device"].rows_inserted == 3
+    lost = RunResult("google", "C1", CTX.run_ts, failed={"google_ads_cost_by_device": "OSError: lost"})
+    total = tenant_totals({**runs, "C": lost}, "google", "x")
+    assert total.status == "partial_success" and set(total.failed) == {"C.google_ads_cost_by_device"} and total.totals.rows_inserted == 6
     run("A", 1, "A2")
     some = GOOGLE_TABLES["google_ads_cost_by_device"].transform(tenant_rows("A", 1), CTX)
     sink = targets("google_ads_cost_by_device", some, GOOGLE_TABLES["google_ads_cost_by_device"])
