@@ -32,7 +32,6 @@ _AGGS = {
     "min": F.min,
     "max": F.max,
     "count": F.count,
-    "first": lambda c: F.first(c, ignorenulls=True),
 }
 
 
@@ -57,12 +56,14 @@ def entity_rollup(
     agg: str | Mapping[str, str] = "sum",
     entity_ids: Sequence[str] = ENTITY_IDS,
     keep_null_keys: bool = False,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """A1: daily rows to one row per entity.
 
     Dates and other columns go; rows with a null key are left out unless kept
     (trap T3); text metrics are read as numbers (trap T4); a sum of nothing is 0.
-    ``agg`` is one method or one per metric.
+    ``agg`` is one method or one per metric; ``first`` is the first non-null value
+    in ``order``, the least one where the order ties.
     """
     keys = list(group) if group else entity_columns(df, entity_ids)
     if not keys:
@@ -77,8 +78,17 @@ def entity_rollup(
         return ref(name) if name in numeric else to_number(ref(name))
 
     method = {n: agg if isinstance(agg, str) else agg.get(n, "sum") for n in names}
+    if "first" in method.values() and not order:
+        raise ValueError("entity_rollup: first needs an order")
+
+    def total(name: str) -> Column:
+        c = value(name)
+        if method[name] == "first":
+            return F.min_by(c, F.when(c.isNotNull(), F.struct(*map(ref, order), c)))
+        return _AGGS[method[name]](c)
+
     rows = df if keep_null_keys else df.filter(reduce(lambda a, b: a & b, [ref(k).isNotNull() for k in keys]))
-    return rows.groupBy(*map(ref, keys)).agg(*[_AGGS[method[n]](value(n)).alias(n) for n in names])
+    return rows.groupBy(*map(ref, keys)).agg(*[total(n).alias(n) for n in names])
 
 
 def add_ratios(

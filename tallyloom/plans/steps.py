@@ -382,11 +382,11 @@ def highest_level(df, ctx, id_column="id"):
 
 
 @step("aggregate_by_entity", "aggregate_metrics_by_entity")
-def by_entity(df, ctx, group_columns=None, metric_columns=None, agg_method="sum"):
+def by_entity(df, ctx, group_columns=None, metric_columns=None, agg_method="sum", order=()):
     """Summed metrics; click rates and unit costs are recomputed from the sums (trap T4)."""
     keys = group_columns or aggregate.entity_columns(df)
     metrics = list(metric_columns or aggregate.metric_columns(df, keys))
-    out = aggregate.entity_rollup(df, keys, metrics, agg_method)
+    out = aggregate.entity_rollup(df, keys, metrics, agg_method, order=order)
     if agg_method != "sum":
         return out
     from tallyloom.functions.numbers import ratio

@@ -206,3 +206,10 @@ def test_partition_rows_and_sort(spark):
     df = spark.createDataFrame([("a", 2), ("a", 1), ("b", 3)], "p string, v int")
     assert rows(aggregate.partition_rows(df, "p", "a")) == [(2,)]
     assert [r.v for r in aggregate.sort_by(df, ["v", "absent"], False).collect()] == [3, 2, 1]
+
+
+def test_first_in_rollup_needs_an_order(spark):
+    df = spark.createDataFrame([("1", 2, 5), ("1", 1, None), ("1", 3, 4)], "ad_id string, seq int, clicks int")
+    assert rows(aggregate.entity_rollup(df, ["ad_id"], ["clicks"], "first", order=["seq"])) == [("1", 5)]
+    with pytest.raises(ValueError):
+        aggregate.entity_rollup(df, ["ad_id"], ["clicks"], "first")
