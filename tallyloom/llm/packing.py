@@ -9,6 +9,8 @@ demand and residual); where none fits, a new sequence opens.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from itertools import chain, repeat
@@ -29,8 +31,9 @@ DOCS_PER_GROUP = 16_384
 # Words remembered per worker; beyond, the memory starts anew.
 REMEMBERED = 1_000_000
 
-_MARKS = {".", ","}
-_LETTERS = set("abcdefghijklmnopqrstuvwxyz")
+# Letters that no normal form changes, and the marks behind them, which are a part of their own.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_WORDS_AT_ONCE = 1 << 16
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -38,25 +41,42 @@ class WordTokens:
     """Token ids of texts, by words that are tokenized once and remembered.
 
     Exact for tokenizers that treat white space as a border and drop it: a text's
-    ids are then those of its parts between plain spaces and line feeds.
+    ids are then those of its parts between plain spaces and line feeds. New words of
+    Latin letters go to the same vocabulary and merges many at a time: such a tokenizer keeps
+    a run of letters whole, lowers it, and marks the last id of a part as a word end.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = None
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for part, i in vocabulary.items() if part.endswith("</w>")]] = True
         self.reset()
 
     def reset(self) -> None:
         self.index: dict[str, int] = {}
         self.first = np.zeros(1 << 12, np.int64)  # where each word's ids begin
         self.ids = np.zeros(1 << 14, np.uint32)
-        self._add([".", ","], [e.ids for e in self.tokenizer.encode_batch_fast([".", ","], add_special_tokens=False)])
 
-    def _add(self, fresh: list[str], found: list[list[int]]) -> None:
+    def _add(self, fresh: list[str]) -> None:
+        """Any words, each by itself."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         self._append(fresh, sizes, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())))
 
+    def _add_letters(self, fresh: list[str]) -> None:
+        """Words of Latin letters, as one text of lower-case words."""
+        for lo in range(0, len(fresh), _WORDS_AT_ONCE):
+            some = fresh[lo : lo + _WORDS_AT_ONCE]
+            ids = np.array(self.letters.encode_batch_fast([" ".join(some).lower()], add_special_tokens=False)[0].ids, np.uint32)
+            self._append(some, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1), ids)
+
     def _append(self, fresh: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
         base = len(self.index)
         self.index.update(zip(fresh, range(base, base + len(fresh)), strict=True))
@@ -76,19 +96,23 @@ class WordTokens:
         return self.ids[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))], size
 
     def learn(self, fresh: list[str]) -> None:
-        """A final full stop or comma behind a letter is a piece of its own, so such a word is its stem and the mark."""
-        marked = [w for w in fresh if w[-1:] in _MARKS and w[-2:-1] in _LETTERS]
-        stems = dict.fromkeys(w[:-1] for w in marked)
-        stems.update(dict.fromkeys(set(fresh).difference(marked)))
-        todo = [w for w in stems if w not in self.index]
-        if len(self.index) + len(todo) + len(marked) > REMEMBERED:
+        """Marks behind letters are a part of their own, so such a word is its stem and the marks."""
+        plain = [(w, *m.groups()) for w in fresh if (m := _PLAIN.fullmatch(w))]
+        marked = [row for row in plain if row[2]]
+        stems = [w for w in dict.fromkeys(stem for _, stem, _ in plain) if w not in self.index]
+        whole = set(fresh).difference(row[0] for row in plain)
+        whole.update(marks for _, _, marks in marked)
+        whole.difference_update(self.index)
+        if len(self.index) + len(stems) + len(whole) + len(marked) > REMEMBERED:
             raise OverflowError
-        if todo:
-            self._add(todo, [e.ids for e in self.tokenizer.encode_batch_fast(todo, add_special_tokens=False)])
+        if stems:
+            self._add_letters(stems)
+        if whole:
+            self._add(list(whole))
         if marked:
             known = self.index
-            ids, size = self.gather(np.array([i for w in marked for i in (known[w[:-1]], known[w[-1]])], np.int64))
-            self._append(marked, size[0::2] + size[1::2], ids)
+            ids, size = self.gather(np.array([i for _, stem, marks in marked for i in (known[stem], known[marks])], np.int64))
+            self._append([row[0] for row in marked], size[0::2] + size[1::2], ids)
 
     def split(self, text: str) -> list[str]:
         raw = text.encode()
@@ -110,7 +134,7 @@ class WordTokens:
                 if len(texts) > 1:
                     half = len(texts) // 2
                     return self.batch(texts[:half]) + self.batch(texts[half:])
-                if 2 * len(set(flat)) + 2 > REMEMBERED:
+                if 3 * len(set(flat)) > REMEMBERED:
                     return [np.array(self.tokenizer.encode(texts[0], add_special_tokens=False).ids, np.uint32)]
                 return self.batch(texts)
             get = self.index.__getitem__
