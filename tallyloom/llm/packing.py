@@ -13,11 +13,12 @@ import os
 import re
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import chain, repeat
+from itertools import chain, pairwise, repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +35,6 @@ REMEMBERED = 1_000_000
 # Letters that no normal form changes, and the marks behind them, which are a part of their own.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _WORDS_AT_ONCE = 1 << 16
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
 class WordTokens:
@@ -97,53 +97,57 @@ class WordTokens:
 
     def learn(self, fresh: list[str]) -> None:
         """Marks behind letters are a part of their own, so such a word is its stem and the marks."""
-        plain = [(w, *m.groups()) for w in fresh if (m := _PLAIN.fullmatch(w))]
-        marked = [row for row in plain if row[2]]
-        stems = [w for w in dict.fromkeys(stem for _, stem, _ in plain) if w not in self.index]
-        whole = set(fresh).difference(row[0] for row in plain)
-        whole.update(marks for _, _, marks in marked)
-        whole.difference_update(self.index)
-        if len(self.index) + len(stems) + len(whole) + len(marked) > REMEMBERED:
+        known = self.index
+        stems: dict[str, None] = {}
+        whole: dict[str, None] = {}
+        marked: list[tuple[str, str, str]] = []
+        for word in fresh:
+            if not (found := _PLAIN.fullmatch(word)):
+                whole[word] = None
+            elif not (marks := found[2]):
+                stems[word] = None
+            else:
+                marked.append((word, stem := found[1], marks))
+                if stem not in known:
+                    stems[stem] = None
+                if marks not in known:
+                    whole[marks] = None
+        if len(known) + len(stems) + len(whole) + len(marked) > REMEMBERED:
             raise OverflowError
         if stems:
-            self._add_letters(stems)
+            self._add_letters(list(stems))
         if whole:
             self._add(list(whole))
         if marked:
-            known = self.index
             ids, size = self.gather(np.array([i for _, stem, marks in marked for i in (known[stem], known[marks])], np.int64))
             self._append([row[0] for row in marked], size[0::2] + size[1::2], ids)
 
-    def split(self, text: str) -> list[str]:
-        raw = text.encode()
-        # A-Z are lowered by the tokenizer anyway; a text that could spell a special token is left as it is.
-        if b"<|" not in raw:
-            raw = raw.translate(_LOWER)
-        return raw.replace(b"\n", b" ").decode().split(" ")
+    def split(self, texts: list[str]) -> pa.ListArray:
+        """Parts of each text. A-Z are lowered by the tokenizer anyway; a text that could spell a special token is left as it is."""
+        found = pa.array(texts, pa.string())
+        found = pc.if_else(pc.match_substring(found, "<|"), found, pc.ascii_lower(found))
+        return pc.split_pattern(pc.replace_substring(found, "\n", " "), " ")
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.split(t) for t in texts]
-        flat = [w for parts in split for w in parts]
-        at = np.fromiter(map(self.index.get, flat, repeat(-1)), np.int64, len(flat))
+        split = self.split(texts)
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        at = np.fromiter(map(self.index.get, distinct, repeat(-1)), np.int64, len(distinct))
         missing = np.flatnonzero(at < 0).tolist()
         if missing:
             try:
-                self.learn(list({flat[i] for i in missing}))
+                self.learn([distinct[i] for i in missing])
             except OverflowError:
                 self.reset()
                 if len(texts) > 1:
                     half = len(texts) // 2
                     return self.batch(texts[:half]) + self.batch(texts[half:])
-                if 3 * len(set(flat)) > REMEMBERED:
+                if 3 * len(distinct) > REMEMBERED:
                     return [np.array(self.tokenizer.encode(texts[0], add_special_tokens=False).ids, np.uint32)]
                 return self.batch(texts)
-            get = self.index.__getitem__
-            at[missing] = [get(flat[i]) for i in missing]
-        out, lo = [], 0
-        for parts in split:
-            out.append(self.gather(at[lo : lo + len(parts)])[0])
-            lo += len(parts)
-        return out
+            at[missing] = [self.index[distinct[i]] for i in missing]
+        word = at[words.indices.to_numpy()]
+        return [self.gather(word[lo:hi])[0] for lo, hi in pairwise(split.offsets.to_pylist())]
 
 
 _loaded: dict[str, WordTokens] = {}
