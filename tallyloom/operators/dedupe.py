@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.operators.columns import ref, require
-from tallyloom.operators.skew import SALTS, spread_join
+from tallyloom.operators.skew import spread_join
 
 _RN = "__rn"
 
@@ -83,18 +83,17 @@ def keep_highest_level(df: DataFrame, id_col: str, level: str = "level") -> Data
     return top_k(df, [id_col], [ref(level).try_cast("bigint").desc_nulls_last(), *ties], 1)
 
 
-def latest_load(df: DataFrame, load: str, per: Sequence[str] = (), salts: int = SALTS) -> DataFrame:
+def latest_load(df: DataFrame, load: str, per: Sequence[str] = ()) -> DataFrame:
     """Rows of the last load, overall or per source.
 
-    The maximum is aggregated first and joined back. As a big source may hold
-    most rows in its last load, rows spread over ``salts`` by a hash of the whole
-    row (the same again when a task repeats) and the maxima are copied.
+    The maximum is aggregated first, staged and joined back. A big source may hold
+    most rows in its last load; its partition is split by size.
     """
     if not per:
         newest = df.agg(F.max(ref(load))).scalar()
         return df.filter(ref(load) == newest)
     newest = df.groupBy(*map(ref, per)).agg(F.max(ref(load)).alias(load))
-    return spread_join(df, newest, [*per, load], "left_semi", salts)
+    return spread_join(df, newest, [*per, load], "left_semi")
 
 
 def number_in_order(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.columns import ref
+from tallyloom.session import staged
 
 SALTS = 8
 
@@ -17,11 +18,11 @@ def row_salt(df: DataFrame, salts: int) -> Column:
     return F.pmod(F.xxhash64(*map(ref, df.columns)), F.lit(salts)).cast("int")
 
 
-def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join where a key may hold much of the left side and the right side is aggregated or joined on it.
 
-    AQE splits a hot partition only between bare shuffles, which such a right
-    side is not. Rows of the left spread over ``salts``; the right is copied.
+    AQE splits a hot partition by its measured size, but only between bare
+    shuffles, which such a right side is not. So the right is staged first; no row
+    of either side is copied but those of hot partitions, and a small right broadcasts.
     """
-    copies = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.withColumn("__salt", row_salt(left, salts)).join(copies, [*keys, "__salt"], how).drop("__salt")
+    return left.join(staged(right, "spread"), list(keys), how)

@@ -14,6 +14,7 @@ from tallyloom.functions.numbers import acceptance_rate, safe_int
 from tallyloom.operators.filters import check_constraints, has_content, year_window
 from tallyloom.operators.lookup import anti_existing, enrich_or_keep, semi_recent
 from tallyloom.operators.nested import stat_value
+from tallyloom.session import staged
 from tallyloom.sinks.merge import load_counts, merge_rows, prepare_batch
 from tallyloom.sinks.snapshot import SnapshotTable
 from tallyloom.sinks.spec import LoadSpec
@@ -92,8 +93,8 @@ def sms_campaigns(messages: DataFrame, statistics: DataFrame, contents: DataFram
     return check_constraints(rows, campaign_rules())
 
 
-def sms_links(campaigns: DataFrame, clicks: DataFrame | None, run_date: date) -> DataFrame:
-    """One row per distinct link of a text; click data where the lookup has it.
+def sms_links(campaigns: DataFrame, clicks: DataFrame | None, run_date: date) -> tuple[DataFrame, DataFrame]:
+    """One row per distinct link of a text, click data where the lookup has it; and the rejected links with their reasons.
 
     ``clicks`` holds bitlink_id, bitly_long_url and total_clicks.
     """
@@ -107,17 +108,21 @@ def sms_links(campaigns: DataFrame, clicks: DataFrame | None, run_date: date) ->
     if clicks is not None:
         keyed = rows.withColumn("bitlink_id", text.link_id(F.col("bitly_short_url")))
         rows = enrich_or_keep(keyed, clicks, ["bitlink_id"], ["bitly_long_url", "total_clicks"]).drop("bitlink_id")
-    return check_constraints(rows, link_rules())[0]
+    return check_constraints(rows, link_rules())
 
 
 def run_sms(
     campaigns: DataFrame, clicks: DataFrame | None, campaign_table: SnapshotTable, link_table: SnapshotTable, batch_id: str, run_date: date
 ) -> dict[str, LoadStats]:
-    """New campaigns are inserted, their links upserted; known campaigns keep their links until a refresh."""
+    """New campaigns are inserted, their links upserted; known campaigns keep their links until a refresh.
+
+    Rejected links count as filtered.
+    """
     fresh = anti_existing(campaigns, campaign_table.read(), ["message_id"])
-    links = sms_links(fresh, clicks, run_date)
+    links, rejected = sms_links(staged(fresh, "sms-fresh"), clicks, run_date)
+    refused = rejected.count()
     # Links go first: both read the campaigns known before this run.
-    link_stats = link_table.load(links, LINKS, batch_id, run_date)
+    link_stats = link_table.load(links, LINKS, batch_id, run_date) + LoadStats(rows_from_api=refused, rows_filtered=refused)
     return {"sms_campaign": campaign_table.load(campaigns, CAMPAIGNS, batch_id, run_date), "sms_link": link_stats}
 
 
@@ -132,6 +137,6 @@ def refreshed_links(campaigns: DataFrame, links: DataFrame, clicks: DataFrame, a
 
 
 def refresh_clicks(campaigns: DataFrame, links: DataFrame, clicks: DataFrame, as_of: date, days: int = 90) -> tuple[DataFrame, DataFrame]:
-    """K17 as plans: (links after the refresh, its counters)."""
-    batch = refreshed_links(campaigns, links, clicks, as_of, days)
+    """K17 as plans: (links after the refresh, its counters). The batch is staged, so that both read it."""
+    batch = staged(refreshed_links(campaigns, links, clicks, as_of, days), "sms-refresh")
     return merge_rows(prepare_batch(batch, LINKS), links, LINKS), load_counts(batch, links, LINKS)

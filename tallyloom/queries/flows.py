@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyloom.plans import monitoring, newsletter, sms
 from tallyloom.queries.registry import day_text, query, r4, tab
 from tallyloom.schemas import SUMMARY
-from tallyloom.session import scratch_path
+from tallyloom.session import scratch_path, staged
 from tallyloom.sources.summaries import read_summaries, write_summaries
 
 _DAY = date(2024, 2, 1)
@@ -102,10 +102,32 @@ l AS (SELECT k.message_id, k.activity_id, bitly_short_url, CASE WHEN nat THEN 'h
 @query(_LINKS + "SELECT message_id, activity_id, bitly_short_url, bitly_long_url, CAST(total_clicks AS BIGINT) AS total_clicks, '2024-02-01' AS load_date FROM l")
 def sms_link_rows(spark, sf_dir):
     """One row per link, click data where known."""
-    out = sms.sms_links(_sms(spark, sf_dir), _clicks(spark, sf_dir), _DAY)
+    out, _ = sms.sms_links(_sms(spark, sf_dir), _clicks(spark, sf_dir), _DAY)
     return out.withColumn("load_date", day_text(F.col("load_date")))
 
 
+@query(_SMS + """
+SELECT 'campaign' AS kind, 'sms_text too long' AS reason, count(*) AS n FROM c WHERE (c_custkey + 1) % 7 = 0 HAVING count(*) > 0
+UNION ALL
+SELECT 'link', 'clicks negative', count(*) FROM c JOIN nation ON n_nationkey = c_nationkey
+WHERE n_regionkey <> 2 AND n_nationkey < 3 AND (c_custkey + 1) % 7 <> 0 HAVING count(*) > 0
+""")
+def sms_rejects(spark, sf_dir):
+    """Rejected campaigns and links of a run, counted by reason."""
+    long = F.when(F.col("message_id") % 7 == 0, F.repeat("sms_text", 60)).otherwise(F.col("sms_text"))
+    messages = sms.sms_messages(_renders(spark, sf_dir), _campaigns(spark, sf_dir), _DAY)
+    campaigns, bad = sms.sms_campaigns(messages, _statistics(spark, sf_dir), _contents(spark, sf_dir).withColumn("sms_text", long), _DAY)
+    _, bad_links = sms.sms_links(campaigns, _clicks(spark, sf_dir, -103), _DAY)
+    both = [df.select(F.lit(kind).alias("kind"), F.explode("reject_reasons").alias("reason")) for kind, df in (("campaign", bad), ("link", bad_links))]
+    return both[0].unionByName(both[1]).groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _loaded_sms(spark, sf_dir):
+    """Campaigns and links as tables, which they are by the time of a refresh."""
+    campaigns = staged(_sms(spark, sf_dir), "sms-campaigns")
+    return campaigns, staged(sms.sms_links(campaigns, _clicks(spark, sf_dir), _DAY)[0], "sms-links")
+
+
 @query(_LINKS + """
 SELECT message_id, activity_id, bitly_short_url, bitly_long_url, CAST(CASE WHEN sendout_date >= TIMESTAMP '2024-01-03' AND found THEN total_clicks + 7 ELSE total_clicks END AS BIGINT) AS total_clicks,
        CASE WHEN sendout_date >= TIMESTAMP '2024-01-03' THEN '2024-02-02' ELSE '2024-02-01' END AS load_date
@@ -113,8 +135,7 @@ FROM l
 """)
 def sms_click_refresh(spark, sf_dir):
     """Links of recent campaigns take new counts, older ones stay."""
-    campaigns = _sms(spark, sf_dir)
-    links = sms.sms_links(campaigns, _clicks(spark, sf_dir), _DAY)
+    campaigns, links = _loaded_sms(spark, sf_dir)
     after, _ = sms.refresh_clicks(campaigns, links, _clicks(spark, sf_dir, 7), date(2024, 2, 2), 30)
     return after.withColumn("load_date", day_text(F.col("load_date")))
 
@@ -125,8 +146,7 @@ FROM l WHERE sendout_date >= TIMESTAMP '2024-01-03'
 """)
 def sms_refresh_counts(spark, sf_dir):
     """Counters of the refresh."""
-    campaigns = _sms(spark, sf_dir)
-    links = sms.sms_links(campaigns, _clicks(spark, sf_dir), _DAY)
+    campaigns, links = _loaded_sms(spark, sf_dir)
     return sms.refresh_clicks(campaigns, links, _clicks(spark, sf_dir, 7), date(2024, 2, 2), 30)[1]
 
 

@@ -60,6 +60,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/tallyloom/{label}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Written to the shared folder and read again: computed once however often it is used, and a bare scan to joins."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder; survives the loss of executors."""
     spark = df.sparkSession
