@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tallyloom.queries.registry import ORACLES, QUERIES
 
-for _name in ("rollups", "shaping", "selection", "joining", "texts", "records", "loads", "flows", "streams"):
+for _name in ("rollups", "shaping", "selection", "joining", "texts", "records", "loads", "flows", "platforms", "streams"):
     import_module(f"{__name__}.{_name}")
 
 __all__ = ["ORACLES", "QUERIES"]
