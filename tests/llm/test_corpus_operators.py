@@ -233,6 +233,19 @@ def test_packing_round_trip(spark, docs, plain):
     assert packing.pack_documents(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("remembered", [1_000_000, 300])
+def test_word_tokens_equal_the_tokenizer(monkeypatch, remembered):
+    """Also where the memory is too small for the words of one text, and starts anew."""
+    monkeypatch.setattr(packing, "REMEMBERED", remembered)
+    words = packing.WordTokens(packing.default_path())
+    rng = random.Random(5)
+    odd = "ÀÉ Straße. x<|endoftext|>y Foo<|ENDOFTEXT|> don't it's'' a'm z!!'s ÿ÷× n\u0303a é. İI ſ K c\u3000d \t\x85q_q __ 12ab34 'll ABC$$$ É!! ≮ a≮\u0338"
+    texts = [odd, "", " ", "\n\n", *(" ".join("".join(rng.choices("abÉ.,!'é1<|\n", k=rng.randint(0, 6))) for _ in range(rng.randint(0, 200))) for _ in range(60))]
+    want = [e.ids for e in words.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for lo in range(0, len(texts), 8):
+        assert [found.tolist() for found in words.batch(texts[lo : lo + 8])] == want[lo : lo + 8]
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_packing_keeps_every_capacity(rule):
     lengths = np.random.default_rng(1).integers(1, 60, 500)
