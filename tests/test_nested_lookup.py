@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from tallyloom.operators import lookup, nested
+from tallyloom.operators import lookup, nested, skew
 from tallyloom.schemas import LANDING, POST
 from tallyloom.sources.hierarchy import account_tree, expand_accounts
 
@@ -169,6 +169,32 @@ def test_salted_lookup_equals_plain(spark):
     assert rows(got.select("k", "id", "out")) == rows(want.select("k", "id", "out"))
 
 
+def test_spread_join_splits_a_hot_key(spark):
+    """By Spark, from sizes it measured: no row is multiplied by a fixed number of salts."""
+    tight = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in tight}
+    try:
+        for k, v in tight.items():
+            spark.conf.set(k, v)
+        left = spark.range(0, 40000, 1, 8).select(F.when(F.col("id") % 4 != 0, 0).otherwise(F.col("id") % 50).alias("k"), "id")
+        right = left.groupBy("k").agg(F.max("id").alias("top"))
+        got = skew.spread_join(left, right, ["k"])
+        assert len(got.collect()) == 40000
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan and "Generate" not in plan
+        assert rows(got.filter("id < 40").select("id", "k", "top")) == rows(left.filter("id < 40").join(right, "k").select("id", "k", "top"))
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_hierarchy(spark):
     edges = spark.createDataFrame(
         [("s", "m1", True), ("s", "c1", False), ("m1", "c2", False), ("m1", "m2", True), ("m2", "c3", False), ("m2", "m1", True)],
