@@ -9,6 +9,7 @@ combined by a logistic layer into one probability. The network sees bytes only.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +23,7 @@ from tallyloom.llm.words import pieces
 
 CHUNK, STEP, BLOCK, WIDTH = 512, 448, 8, 8
 FILTERS, HIDDEN, PAD = 32, 16, 256
-# Documented bound of the training sample: texts per label, and chunks per text.
+# Documented bound of the training sample: texts per label, and random chunks per text that the network is fitted to.
 SAMPLE_TEXTS, SAMPLE_CHUNKS = 1500, 6
 REJECT_BELOW = 0.3
 
@@ -81,15 +82,32 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def probabilities(net: Network, texts: pa.Array) -> np.ndarray:
-    """One probability per text, over all its bytes."""
-    out = [np.zeros(0)]
+def summaries(net: Network, texts: pa.Array) -> np.ndarray:
+    """Mean, lowest and highest chunk score and 1 of each text, over all its bytes."""
+    out = [np.zeros((0, 4))]
     for _, _, data, offsets in pieces(texts, 1 << 20):
         codes, counts = chunked(data, offsets)
-        out.append(_sigmoid(_summary(chunk_scores(net, codes), counts) @ net.combine))
+        out.append(_summary(chunk_scores(net, codes), counts))
     return np.concatenate(out)
 
 
+def probabilities(net: Network, texts: pa.Array) -> np.ndarray:
+    """One probability per text, over all its bytes."""
+    return _sigmoid(summaries(net, texts) @ net.combine)
+
+
+def drawn(texts: pa.Array) -> list[list[bytes]]:
+    """Bytes of at most SAMPLE_CHUNKS chunks of each text, from all over the whole text; the text alone decides which."""
+    out = []
+    for _, _, data, offsets in pieces(texts, 1 << 20):
+        for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            raw = data[lo:hi].tobytes()
+            count = max(1, -(-(len(raw) - (CHUNK - STEP)) // STEP))
+            pick = np.arange(count) if count <= SAMPLE_CHUNKS else np.sort(np.random.default_rng(zlib.crc32(raw)).choice(count, SAMPLE_CHUNKS, replace=False))
+            out.append([raw[k * STEP : k * STEP + CHUNK] for k in pick.tolist()])
+    return out
+
+
 class _Adam:
     def __init__(self, rate: float):
         self.rate, self.step, self.state = rate, 0, {}
@@ -102,10 +120,25 @@ class _Adam:
 
 
 def train(texts: list[str], labels: list[int], prior: float, epochs: int = 8, seed: int = 7) -> Network:
-    """Fit on whole-text labels: each chunk of a text carries its label; then the combination of chunk scores is fitted per text.
+    """Fit on whole-text labels: chunks of a text carry its label; then the combination of chunk scores is fitted to every third text, over all its chunks.
 
     ``prior``: share of label 1 among all labelled rows, to which the sample is weighted.
     """
+    column, y = pa.array(texts, pa.string()), np.array(labels, np.float64)
+    held = np.arange(len(y)) % 3 == 2
+    net = train_chunks([c for c, h in zip(drawn(column), held, strict=True) if not h], y[~held], prior, epochs, seed)
+    return combined(net, summaries(net, column)[held], y[held], prior)
+
+
+def combined(net: Network, features: np.ndarray, y: np.ndarray, prior: float) -> Network:
+    """The network with its combination fitted to the summaries of texts that its chunk scores were not fitted to; unchanged without both labels."""
+    if len(set(y.tolist())) > 1:
+        net.combine = _logistic(features, y, prior)
+    return net
+
+
+def train_chunks(chunks: list[list[bytes]], labels: np.ndarray, prior: float, epochs: int = 8, seed: int = 7) -> Network:
+    """Network whose chunk scores are fitted to the chunks drawn from each text, with the text's label."""
     rng = np.random.default_rng(seed)
     net = Network(
         embed=rng.normal(0, 0.5, (257, WIDTH)).astype(np.float32),
@@ -118,20 +151,14 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 8, se
         combine=np.array([0.0, 0.0, 0.0, np.log(max(prior, 1e-3) / max(1 - prior, 1e-3))]),
     )
     net.embed[PAD] = 0
-    y = np.array(labels, np.float64)
-    if len(set(labels)) < 2:
+    if len(set(labels.tolist())) < 2:
         return net
-    encoded = [t.encode() for t in texts]
-    ends = np.cumsum([0, *map(len, encoded)])
-    codes, counts = chunked(np.frombuffer(b"".join(encoded), np.uint8), ends)
-    starts = np.cumsum(counts) - counts
-    pick = np.concatenate([s + (np.arange(c) if c <= SAMPLE_CHUNKS else np.sort(rng.choice(c, SAMPLE_CHUNKS, replace=False))) for s, c in zip(starts, counts, strict=True)])
-    owner = np.repeat(np.arange(len(counts)), counts)[pick]
-    x, target = codes[pick], y[owner].astype(np.float32)
-    # The last third of the texts fits the combination, so chunk scores there are not those of texts fitted to.
-    fit = owner % 3 != 2
-    rows = np.flatnonzero(fit)
-    share = max(1e-3, target[rows].mean())
+    flat = [c for own in chunks for c in own]
+    # A drawn chunk is cut to one chunk again, by itself.
+    x, _ = chunked(np.frombuffer(b"".join(flat), np.uint8), np.cumsum([0, *map(len, flat)]))
+    target = np.repeat(labels, [len(own) for own in chunks]).astype(np.float32)
+    rows = np.arange(len(x))
+    share = max(1e-3, target.mean())
     weight = np.where(target > 0, 0.5 / share, 0.5 / max(1e-3, 1 - share)).astype(np.float32)
     adam = _Adam(0.004)
     for _ in range(epochs):
@@ -161,9 +188,6 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 8, se
             g_embed[PAD] = 0
             for name, grad in (("embed", g_embed), ("filters", g_filters), ("bias", dp.sum(0)), ("dense", pooled.T @ dh), ("dense_bias", dh.sum(0)), ("out", h.T @ d), ("out_bias", np.array([d.sum()]))):
                 adam.update(name, getattr(net, name), grad.astype(np.float32))
-    held = np.arange(len(y)) % 3 == 2
-    features = _summary(chunk_scores(net, codes), counts)
-    net.combine = _logistic(features[held], y[held], prior)
     return net
 
 
@@ -180,26 +204,57 @@ def _logistic(x: np.ndarray, y: np.ndarray, prior: float) -> np.ndarray:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, fold: tuple[int, int] | None = (5, 0), most: int = SAMPLE_TEXTS) -> DataFrame:
-    """(text, label) of at most ``most`` rows per label value, chosen by a hash of the id; rows of the held-out fold are left out."""
+    """(doc_id, text, _label, _held) of at most ``most`` rows per label value, chosen by a hash of the id; rows of the held-out fold are left out.
+
+    Texts are whole. Every third row of a label is held from the chunk scores' fit, for that of their combination.
+    """
     known = labels.select("doc_id", F.col(label).cast("int").alias("_label")).where("doc_id is not null and _label in (0, 1)")
     if fold:
         known = known.where(common.bucket_of(F.col("doc_id"), fold[0]) != fold[1])
     rank = Window.partitionBy("_label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.distinct().withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= most).select("doc_id", "_label")
+    chosen = known.distinct().withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= most).select("doc_id", "_label", (F.col("_n") % 3 == 2).alias("_held"))
     # Twice ``most`` rows at the very most, whatever the size of the tables.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text is not null").select("doc_id", "text", "_label")
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text is not null").select("doc_id", "text", "_label", "_held")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fold: tuple[int, int] | None = (5, 0), most: int = SAMPLE_TEXTS) -> Network:
-    """Network fitted on a bounded sample of labelled texts; of a long text at most 3,600 characters from its ends and middle are used to fit."""
-    crop = F.expr("case when length(text) <= 3600 then text else concat(left(text, 1200), substring(text, length(text) div 2 - 600, 1200), right(text, 1200)) end")
-    rows = training_sample(docs, labels, label, fold, most).select("doc_id", crop.alias("text"), "_label").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"], r["_label"]))
+    """Network fitted on a bounded sample of labelled texts, which stay whole and in their tasks.
+
+    To the driver come SAMPLE_CHUNKS chunks a text at most, from all over it, and of each
+    held text the mean, lowest and highest score of all its chunks.
+    """
+    common.small_batches(docs.sparkSession)
     known = labels.where(F.col(label).isin(0, 1))
     if fold:
         known = known.where(common.bucket_of(F.col("doc_id"), fold[0]) != fold[1])
     prior = known.agg(F.avg(F.col(label).cast("double"))).first()[0]
-    return train([r["text"] for r in rows], [r["_label"] for r in rows], 0.5 if prior is None else prior)
+    prior = 0.5 if prior is None else prior
+    sample = common.stage(training_sample(docs, labels, label, fold, most), "training")
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array(drawn(batch.column("text")), pa.list_(pa.binary()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_label"), found], ["doc_id", "_label", "chunks"])
+
+    id_type = sample.schema["doc_id"].dataType.simpleString()
+    rows = sample.where("not _held").mapInArrow(draw, f"doc_id {id_type}, _label int, chunks array<binary>").collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["_label"], r["chunks"]))
+    net = train_chunks([[bytes(c) for c in r["chunks"]] for r in rows], np.array([r["_label"] for r in rows], np.float64), prior)
+
+    def summarize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mean, low, high, _ = summaries(net, batch.column("text")).T
+            yield pa.RecordBatch.from_arrays([batch.column("_label"), *map(pa.array, (mean, low, high))], ["_label", "mean", "low", "high"])
+
+    def whole(texts: DataFrame) -> np.ndarray:
+        seen = texts.mapInArrow(summarize, "_label int, mean double, low double, high double").collect()
+        return np.array(sorted(map(tuple, seen)), np.float64).reshape(-1, 4)
+
+    found = whole(sample.where("_held"))
+    if len(set(found[:, 0])) < 2:
+        # Too few texts to hold any back.
+        found = whole(sample)
+    return combined(net, np.column_stack([found[:, 1:], np.ones(len(found))]), found[:, 0], prior)
 
 
 def score(docs: DataFrame, net: Network, text: str = "text", column: str = "score") -> DataFrame:

@@ -153,6 +153,21 @@ def test_odd_texts_are_scored(spark, docs):
     assert langid.identify(empty(spark), langid.train([], [])).count() == 0
 
 
+def test_quality_is_fitted_to_whole_long_texts(spark):
+    """Ends and middle of all texts are alike; what tells them apart lies between."""
+    rng = random.Random(8)
+    say = lambda words, size: " ".join(rng.choices(words, k=size))[:size]
+    shared, kinds = ["same", "text", "here"], (["good", "prose", "reads"], ["zzz", "###", "junk!"])
+    text = lambda k, size: say(shared, 1300) + say(kinds[k], size) + say(shared, 1400) + say(kinds[k], size) + say(shared, 1300)
+    rows = [(i, text(i % 2, rng.choice([3000, 6000, 40000])), 1 - i % 2) for i in range(120)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(5)
+    net = quality.fit(frame.select("doc_id", "text"), frame.select("doc_id", "quality"), fold=None)
+    probability = quality.probabilities(net, __import__("pyarrow").array([t for _, t, _ in rows]))
+    assert np.mean([(p >= 0.5) == y for p, (_, _, y) in zip(probability, rows, strict=True)]) > 0.95
+    twin = quality.fit(frame.select("doc_id", "text").repartition(2), frame.select("doc_id", "quality"), fold=None)
+    assert np.allclose(twin.combine, net.combine, atol=1e-3)
+
+
 @pytest.mark.parametrize("name, module", [("op4_mixing", mixing), ("op9_line_dedup", line_dedup)])
 def test_equals_sql(spark, docs, name, module):
     frame = docs.select(*[c.split()[0] for c in SCHEMA.split(",")]).toPandas()
