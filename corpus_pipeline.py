@@ -45,12 +45,19 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: that of the least doc_id. Of repeated rows of one id and text one stays."""
-    found = ngram_join.jaccard_components(docs.select("doc_id", "text"))
-    kept = common.stage(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(), "kept")
-    marked = docs.join(kept.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(1))
-    return marked.withColumn("_n", F.row_number().over(same)).where("_n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One document of each near-duplicate group: that of the least doc_id, rows without one last.
+
+    Ids may repeat or be null: documents are told apart by id and text. Of repeated rows of one
+    id and text one stays. Texts without words are in no group.
+    """
+    slim = _slim(docs).withColumn("_key", F.xxhash64("doc_id", "text"))
+    found = ngram_join.jaccard_components(slim.select(F.col("_key").alias("doc_id"), "text"))
+    groups = found.select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "_key")
+    first = groups.join(slim.select("doc_id", "_key").distinct(), "_key").groupBy("component_id").agg(F.min(place).alias("_first"))
+    kept = common.stage(first.select("_first._key"), "kept")
+    same = Window.partitionBy("_key").orderBy(F.lit(1))
+    return _restored(slim.join(kept, "_key", "left_semi").withColumn("_n", F.row_number().over(same)).where("_n = 1"), docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

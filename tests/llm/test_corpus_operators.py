@@ -329,3 +329,25 @@ def test_pipeline_stages(spark, docs):
     kept = {r["doc_id"] for r in corpus_pipeline.near_duplicate_stage(spark, docs, sf).collect()}
     assert kept == {r["component_id"] for r in ngram_join.jaccard_components(docs).collect()}
     assert corpus_pipeline.run(spark, sf).count() > 100
+
+
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    """Linked rows are one group whatever their ids: without one, or with the id of another text."""
+    rng = random.Random(12)
+    text = lambda: " ".join(rng.choices([f"w{i}" for i in range(300)], k=80))
+    near = lambda t: t + " " + " ".join(rng.choices("abc", k=4))
+    a, b, c, d, e, f = (text() for _ in range(6))
+    rows = [(5, a), (None, near(a)), (None, b), (None, near(b)), (None, b), (7, c), (7, near(c)), (8, d), (9, near(d)), (9, e), (None, f), (10, f), (10, f), (None, None), (None, ""), (11, ""), (11, None), (12, " ")]
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], SCHEMA).repartition(4)
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicate_stage(spark, frame, "").collect()]
+    sets = [shingles(t) for _, t in rows]
+    root = groups(list(range(len(rows))), lambda x, y: len(sets[x] & sets[y]) > 0 and 100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y]))
+    whole = {}
+    for k, row in enumerate(rows):
+        whole.setdefault(root[k], set()).add(row)
+    # Groups of each test text: {a}, {b}, {c}, {d}, {e}, {f}, and each text without words alone.
+    assert len(whole) == 11 and len(kept) == len(set(kept)) == 11
+    for members in whole.values():
+        ids = [i for i, _ in members if i is not None]
+        own = [row for row in kept if row in members]
+        assert len(own) == 1 and own[0][0] == (min(ids) if ids else None)
