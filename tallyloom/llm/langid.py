@@ -75,21 +75,37 @@ def codewords(classes: int, seed: int = 11) -> np.ndarray:
     return best if best is not None else code
 
 
-def _features(texts: list[str]) -> np.ndarray:
-    x = np.zeros((len(texts), 1 << TABLE_BITS), np.float32)
-    for row, text in zip(x, texts, strict=True):
-        raw = text.encode()
-        ids, count = gram_ids(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
-        row += np.bincount(ids, minlength=len(row)).astype(np.float32) * (SCALE / max(1, int(count[0])))
+def gram_shares(texts: pa.Array) -> list[tuple[bytes, bytes]]:
+    """Table slots (2 bytes each) that the n-grams of each whole text fall into, and their scaled shares (4 bytes each)."""
+    out = []
+    for _, _, data, offsets in pieces(texts, 1 << 19):
+        for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            ids, count = gram_ids(data[lo:hi], np.array([0, hi - lo]))
+            found = np.bincount(ids, minlength=1 << TABLE_BITS)
+            slots = np.flatnonzero(found)
+            shares = found[slots].astype(np.float32) * (SCALE / max(1, int(count[0])))
+            out.append((slots.astype("<u2").tobytes(), shares.astype("<f4").tobytes()))
+    return out
+
+
+def _features(shares: list[tuple[bytes, bytes]]) -> np.ndarray:
+    x = np.zeros((len(shares), 1 << TABLE_BITS), np.float32)
+    for row, (slots, values) in zip(x, shares, strict=True):
+        row[np.frombuffer(slots, "<u2")] = np.frombuffer(values, "<f4")
     return x
 
 
 def train(texts: list[str], languages: list[str], steps: int = 60) -> Model:
+    """Model fitted to whole texts."""
+    return train_shares(gram_shares(pa.array(texts, pa.string())), languages, steps)
+
+
+def train_shares(shares: list[tuple[bytes, bytes]], languages: list[str], steps: int = 60) -> Model:
     """Logistic classifiers of all bits at once (full-batch Adam on mean n-gram counts); every third text is kept for the bits' trust."""
     known = sorted(set(languages))
     codes = codewords(len(known))
     at = np.array([known.index(x) for x in languages], np.int64)
-    x = _features(texts)
+    x = _features(shares)
     y = codes[at].astype(np.float32) if len(at) else np.zeros((0, codes.shape[1] if codes.size else 1), np.float32)
     bits = y.shape[1]
     w, b = np.zeros((1 << TABLE_BITS, bits), np.float32), np.zeros(bits, np.float32)
@@ -147,18 +163,27 @@ def margins(model: Model, column: pa.Array) -> np.ndarray:
 def fit(docs: DataFrame, fold: tuple[int, int] | None = (3, 1), most: int = SAMPLE_TEXTS) -> Model:
     """Model of all languages in ``lang``, from at most ``most`` texts of each outside the held-out fold, chosen by a hash of the id.
 
-    Of a long text at most 8,000 characters from its ends and middle are used to fit.
+    The n-grams of whole texts are counted in tasks; of a text at most 8,192 counts come to the driver.
     """
-    crop = F.expr("case when length(text) <= 8000 then text else concat(left(text, 3000), substring(text, length(text) div 2 - 1000, 2000), right(text, 3000)) end")
+    common.small_batches(docs.sparkSession)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = gram_shares(batch.column("text"))
+            made = [pa.array([f[k] for f in found], pa.binary()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), *made], ["doc_id", "lang", "slots", "shares"])
+
     known = docs.where("text is not null and lang is not null and doc_id is not null")
     if fold:
         known = known.where(common.bucket_of(F.col("doc_id"), fold[0]) != fold[1])
     rank = Window.partitionBy("lang").orderBy("_h", "doc_id")
     ids = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("_h")).withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= most).select("doc_id", "lang")
     # ``most`` rows per language, whatever the size of the table.
-    rows = known.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", crop.alias("text")).collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["lang"], r["text"]))
-    return train([r["text"] for r in rows], [r["lang"] for r in rows])
+    chosen = known.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", "text")
+    id_type = chosen.schema["doc_id"].dataType.simpleString()
+    rows = chosen.mapInArrow(count, f"doc_id {id_type}, lang string, slots binary, shares binary").collect()
+    rows = sorted((r["doc_id"], r["lang"], bytes(r["slots"]), bytes(r["shares"])) for r in rows)
+    return train_shares([r[2:] for r in rows], [r[1] for r in rows])
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -351,3 +351,16 @@ def test_near_duplicates_with_null_and_repeated_ids(spark):
         ids = [i for i, _ in members if i is not None]
         own = [row for row in kept if row in members]
         assert len(own) == 1 and own[0][0] == (min(ids) if ids else None)
+
+
+def test_language_is_fitted_to_whole_long_texts(spark):
+    """Ends and middle of all texts are alike; what tells the languages apart lies between."""
+    rng = random.Random(9)
+    say = lambda words, size: " ".join(rng.choices(words, k=size))[:size]
+    shared, kinds = ["same", "text", "here"], {c: [c * 2, c * 3, c * 5] for c in "dkowz"}
+    text = lambda lang: say(shared, 3100) + say(kinds[lang], 4000) + say(shared, 2200) + say(kinds[lang], 4000) + say(shared, 3100)
+    rows = [(i, text(lang), lang) for i, lang in enumerate("dkowz" * 12)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5), fold=None)
+    fresh = [say(kinds[lang], 400) for _, _, lang in rows]
+    found, _, _ = langid.decode(model, langid.margins(model, __import__("pyarrow").array(fresh)))
+    assert np.mean([model.languages[k] == lang for k, (_, _, lang) in zip(found, rows, strict=True)]) > 0.95
