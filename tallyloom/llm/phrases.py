@@ -1,9 +1,9 @@
 """Phrase collocation mining on sorted count streams.
 
-Counts grow level by level: words, then pairs of frequent words, then windows of
-up to four words all of whose pairs are frequent. No phrase is more frequent than
-its parts, so no frequent one is lost. The frequent phrases then form one stream of
-counts. It is laid out twice, in prefix order (word by word from the left) and
+Counts grow level by level: words, pairs of frequent words, triples of frequent
+pairs are counted by hash, which rules out rare ones, and then the longest windows
+left are counted as they are. No phrase is more frequent than its parts, and no
+hash less than its phrases, so no frequent one is lost. They form one stream of counts. It is laid out twice, in prefix order (word by word from the left) and
 in suffix order (from the right), each cut into ranges over tasks. In prefix order
 the parts that a phrase starts with stand before it and its extensions to the
 right behind it, so one pass in lockstep over the nested phrases, holding four
@@ -38,6 +38,8 @@ TOP = 2_000
 NO_LANGUAGE = "und"
 # Tokens counted at a time: bounds the arrays of a very long text.
 BLOCK = 1 << 20
+# Bits of a hash that is counted: fewer make smaller rows, and only rule out less where they coincide.
+HASH_BITS = 40
 # Characters that end a piece, and the token that stands for them (a word holds no line feed).
 _BREAKS = r"[.,;:!?\x0A-\x0D]"
 _BREAK = "\n"
@@ -59,106 +61,93 @@ def _hashes(values: pa.Array) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(v) for v in values.to_pylist()), _U, len(values))
 
 
-def phrase_hashes(langs: np.ndarray, parts: list[np.ndarray]) -> np.ndarray:
-    """64-bit hash of (language, words) from the hashes of each."""
-    out = mix(langs + _U(len(parts)))
-    for part in parts:
-        out = mix(out ^ part) + part
-    return out
+def chains(h: np.ndarray, seed: np.ndarray, is_word: np.ndarray, joined: np.ndarray, filters: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per level 1, 2, ...: the hash of (language, words) of the window at each token, and whether it counts.
 
+    ``filters`` mark the frequent hashes of the first levels; one level more is given. A window counts
+    if it is marked, or on the last level if both its windows of the level before do.
+    """
+    value, counts = mix(seed + h), is_word
+    for level in range(len(filters) + 1):
+        if level:
+            counts = np.append(counts[:-1] & counts[1:] & joined[:-1], False)
+            value = mix(value * _U(3) + np.append(h[level:], np.zeros(min(level, len(h)), _U)))
+        if level < len(filters):
+            counts = counts & common.bits_at(filters[level], value)
+        yield value, counts
+
+
+def blocks(text: pa.Array, lang: pa.Array, spare: int) -> Iterator[tuple]:
+    """Stretches of ``BLOCK`` tokens with ``spare`` more behind: word codes, their vocabulary, language codes, languages, and what chains() takes."""
+    coded, owner = tokens(text)
+    names = pc.fill_null(lang, NO_LANGUAGE).cast(pa.string()).dictionary_encode()
+    names_of, seeds = names.indices.to_numpy(zero_copy_only=False).astype(np.int64), _hashes(names.dictionary)
+    codes, vocabulary = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+    hashes, end = _hashes(vocabulary), pc.index(vocabulary, pa.scalar(_BREAK, vocabulary.type)).as_py()
+    for lo in range(0, len(codes), BLOCK):
+        ids, own = codes[lo : lo + BLOCK + spare], owner[lo : lo + BLOCK + spare]
+        tongue = names_of[own]
+        yield ids, vocabulary, tongue, names.dictionary, (hashes[ids], seeds[tongue], ids != end, np.append(own[:-1] == own[1:], False))
 
-def _windows(ids: np.ndarray, next_to: np.ndarray, longest: int) -> np.ndarray:
-    """Words in the window that starts at each token: as far as neighbours hold together, ``longest`` at most."""
-    length = np.ones(len(ids), np.int64)
-    reach = np.ones(len(ids), bool)
-    for k in range(1, longest):
-        reach[: len(ids) - k + 1] &= next_to[k - 1 :]
-        reach[len(ids) - k :] = False
-        length += reach
-    return length
 
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    for batch in batches:
+        text, lang = batch.column("text"), batch.column("lang")
+        for lo, hi, _, _ in words.pieces(text):
+            yield text.slice(lo, hi - lo), lang.slice(lo, hi - lo)
 
-def count_batch(text: pa.Array, lang: pa.Array, longest: int, least: int, bits: bytes | None) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase, n): windows of ``least`` to ``longest`` words, counted per block.
 
-    ``bits`` marks the frequent phrases of the level before: words for ``longest`` 2,
-    pairs above. A window ends where one is not frequent.
-    """
-    coded, owner = tokens(text)
-    names = pc.fill_null(lang, NO_LANGUAGE).dictionary_encode()
-    names_of = names.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    all_ids, vocabulary = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
-    size = len(vocabulary) + 1
-    end = pc.index(vocabulary, pa.scalar(_BREAK, vocabulary.type)).as_py()
-    hashes, lang_hashes = (_hashes(vocabulary), _hashes(names.dictionary)) if bits is not None else (None, None)
-    for lo in range(0, len(all_ids), BLOCK):
-        ids, own = all_ids[lo : lo + BLOCK + longest - 1], owner[lo : lo + BLOCK + longest - 1]
-        is_word, tongue = ids != end, names_of[own]
-        if bits is not None and longest == 2:
-            is_word &= common.bits_at(bits, phrase_hashes(lang_hashes[tongue], [hashes[ids]]))
-        next_to = np.zeros(len(ids), bool)
-        next_to[:-1] = is_word[:-1] & is_word[1:] & (own[:-1] == own[1:])
-        if bits is not None and longest > 2:
-            next_to[:-1] &= common.bits_at(bits, phrase_hashes(lang_hashes[tongue[:-1]], [hashes[ids[:-1]], hashes[ids[1:]]]))
-        length = _windows(ids, next_to, longest)
-        at = np.flatnonzero((length >= least) & is_word)
-        at = at[at < BLOCK]
-        # Place k of a window: its word plus one, or 0 behind its end. Two places make one number, then two numbers one.
-        place = [np.where(length[at] > k, ids[np.minimum(at + k, len(ids) - 1)] + 1, 0) for k in range(longest)]
-        front, front_of = np.unique(tongue[at] * size + place[0], return_inverse=True)
-        for part in place[1:]:
-            front, front_of = np.unique(front_of * size + part, return_inverse=True)
-        _, first, n = np.unique(front_of, return_index=True, return_counts=True)
-        columns = [vocabulary.take(pa.array(p[first] - 1, mask=p[first] == 0)) for p in place]
-        phrase = pc.binary_join_element_wise(*columns, " ", null_handling="skip") if longest > 1 else columns[0]
-        yield pa.RecordBatch.from_arrays([names.dictionary.take(pa.array(tongue[at][first])).cast(pa.string()), phrase.cast(pa.string()), pa.array(n)], ["lang", "phrase", "n"])
-
-
-def count_windows(docs: DataFrame, longest: int, least: int, bits: bytes | None = None) -> DataFrame:
-    """Counts of windows over all texts; batches are counted in tasks, then partially by task, then shuffled."""
-    sent = docs.sparkSession.sparkContext.broadcast(bits)
+def frequent_hashes(docs: DataFrame, least: int, filters: list[bytes]) -> bytes:
+    """Bitmap of the hashes of the next level that occur ``least`` times. It has a fixed size; a full one prunes less and changes no result."""
+    sent = docs.sparkSession.sparkContext.broadcast(filters)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text, lang = batch.column("text"), batch.column("lang")
-            for lo, hi, _, _ in words.pieces(text):
-                yield from count_batch(text.slice(lo, hi - lo), lang.slice(lo, hi - lo), longest, least, sent.value)
+        for text, lang in _texts(batches):
+            for _, _, _, _, arrays in blocks(text, lang, len(sent.value)):
+                *_, (value, counts) = chains(*arrays, sent.value)
+                hashes, n = np.unique(value[:BLOCK][counts[:BLOCK]] & _U((1 << HASH_BITS) - 1), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], ["h", "n"])
 
-    return docs.select("text", "lang").mapInArrow(count, COUNTED).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    counted = docs.select("text", "lang").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return common.bitmap(counted.where(F.col("n") >= least), common.slot_of(F.col("h")))
 
 
-def _marked(frequent: DataFrame) -> bytes:
-    """Fixed-size bitmap of these phrases; a full one prunes less and changes no count."""
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = [_hashes(part) for part in _columns(batch.column("phrase"))]
-            value = phrase_hashes(_hashes(batch.column("lang")), parts) if len(batch) else np.zeros(0, _U)
-            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64))], ["h"])
-
-    return common.bitmap(frequent.select("lang", "phrase").mapInArrow(hashed, "h long"), common.slot_of(F.col("h")))
+def window_counts(docs: DataFrame, filters: list[bytes]) -> DataFrame:
+    """(lang, phrase, n): the longest phrase that counts at each word, with its number; the empty phrase has the number of all words."""
+    sent = docs.sparkSession.sparkContext.broadcast(filters)
+    longest = len(filters) + 1
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for text, lang in _texts(batches):
+            for ids, vocabulary, tongue, names, arrays in blocks(text, lang, len(filters)):
+                length = np.sum([counts for _, counts in chains(*arrays, sent.value)], axis=0)[:BLOCK]
+                every = np.bincount(tongue[:BLOCK][arrays[2][:BLOCK]], minlength=len(names))
+                yield pa.RecordBatch.from_arrays([names, pa.array([""] * len(names), pa.string()), pa.array(every)], ["lang", "phrase", "n"])
+                at = np.flatnonzero(length)
+                # Place k of a window: its word plus one, or 0 behind its end. Two numbers become one at a time.
+                place = [np.where(length[at] > k, ids[np.minimum(at + k, len(ids) - 1)] + 1, 0) for k in range(longest)]
+                whole = tongue[at]
+                for part in place:
+                    _, whole = np.unique(whole * (len(vocabulary) + 1) + part, return_inverse=True)
+                _, first, n = np.unique(whole, return_index=True, return_counts=True)
+                columns = [vocabulary.take(pa.array(p[first] - 1, mask=p[first] == 0)) for p in place]
+                phrase = pc.binary_join_element_wise(*columns, " ", null_handling="skip")
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(tongue[at][first])), phrase.cast(pa.string()), pa.array(n)], ["lang", "phrase", "n"])
 
-def _columns(phrases: pa.Array) -> list[pa.Array]:
-    split = pc.split_pattern(phrases, " ")
-    width = len(split[0]) if len(split) else 0
-    return [pc.list_element(split, k) for k in range(width)]
+    return docs.select("text", "lang").mapInArrow(count, COUNTED).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
-    """(lang, phrase, n) of all phrases of 1 to ``longest`` words that occur ``least`` times, and (lang, n) of all words."""
-    counted = common.stage(count_windows(docs, 1, 1), "word-counts")
-    totals = counted.groupBy("lang").agg(F.sum("n").alias("words"))
-    single = counted.where(F.col("n") >= least)
-    pairs = common.stage(count_windows(docs, 2, 2, _marked(single)).where(F.col("n") >= least), "pair-counts")
-    levels = single.unionByName(pairs)
-    if longest > 2:
-        windows = count_windows(docs, longest, 3, _marked(pairs))
-        # A window counts for each of its beginnings of three words and more.
-        starts = F.expr("transform(sequence(3, size(split(phrase, ' '))), k -> substring_index(phrase, ' ', k))")
-        longer = windows.select("lang", F.explode(starts).alias("phrase"), "n").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-        levels = levels.unionByName(longer.where(F.col("n") >= least))
-    return levels, totals
+    """(lang, phrase, n) of all phrases of 1 to ``longest`` words that occur ``least`` times, and (lang, words), the number of all words."""
+    filters: list[bytes] = []
+    for _ in range(longest - 1):
+        filters.append(frequent_hashes(docs, least, filters))
+    windows = common.stage(window_counts(docs, filters), "windows")
+    totals = windows.where("phrase = ''").select("lang", F.col("n").alias("words"))
+    # A window counts for each phrase that it starts with.
+    starts = F.expr("transform(sequence(1, size(split(phrase, ' '))), k -> substring_index(phrase, ' ', k))")
+    counted = windows.where("phrase != ''").select("lang", F.explode(starts).alias("phrase"), "n").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return counted.where(F.col("n") >= least), totals
 
 
 def in_lockstep(stream: DataFrame, reverse: bool, parts: str, extension: str) -> DataFrame:
@@ -235,7 +224,6 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, longest: i
     if longest < 2:
         raise ValueError("phrases of two words at least")
     levels, totals = frequent_phrases(docs, least, longest)
-    totals = common.stage(totals, "totals")
     left = in_lockstep(levels, False, "left", "right_extension")
     both = in_lockstep(left, True, "right", "left_extension")
     kept = both.where(F.size(F.split("phrase", " ")) > 1).where(F.lit(ABSORBED[1]) * F.greatest("left_extension", "right_extension") < F.lit(ABSORBED[0]) * F.col("n"))
