@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.session import scratch_path
@@ -52,6 +52,25 @@ def bucket_of(doc_id: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(modulus))
 
 
+def sampled_ids(known: DataFrame, by: str, most: int) -> DataFrame:
+    """(doc_id, ``by``, _n) of at most ``most`` ids for each value of ``by``, chosen by a hash; _n counts them from 1.
+
+    An id that repeats counts once a value; equal hashes go by id. Most ids are ruled
+    out by hash before any is ranked, so a task ranks a few times ``most``, whatever a value's share of the table.
+    """
+    sized = known.groupBy(by).agg(F.approx_count_distinct("doc_id").alias("_ids"))
+    drawn = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(1 << 30)) < F.lit(4.0 * most * (1 << 30)) / F.col("_ids")
+    ids = known.select("doc_id", by).join(sized, by).where(drawn).select("doc_id", by).distinct()
+    rank = Window.partitionBy(by).orderBy(F.xxhash64("doc_id"), "doc_id")
+    return ids.withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= most)
+
+
+def sampled_texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``chosen`` with the least text of its ids; repeats are dropped in the tasks that read them. ``chosen`` is bounded by sampled_ids()."""
+    keys = [c for c in chosen.columns if c in docs.columns]
+    return docs.join(F.broadcast(chosen), keys).where("text is not null").groupBy(*chosen.columns).agg(F.min("text").alias("text"))
+
+
 def binaries(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     """One binary value per row out of a flat array and the number of its elements per row."""
     ends = np.zeros(len(counts) + 1, np.int64)
