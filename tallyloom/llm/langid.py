@@ -14,15 +14,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import common
 from tallyloom.llm.words import BLANK, pieces
 
 TABLE_BITS = 13
-# Documented bound of the training sample: texts per language.
-SAMPLE_TEXTS = 600
+# Documented bound of the training sample: texts per language, and of all languages together.
+SAMPLE_TEXTS, SAMPLE_TOTAL = 600, 12_000
 AMBIGUOUS_BELOW = 0.8
 SCALE = 40.0
 UNKNOWN = "und"
@@ -95,6 +95,12 @@ def _features(shares: list[tuple[bytes, bytes]]) -> np.ndarray:
     return x
 
 
+def _stretches(rows: np.ndarray, size: int = 512) -> Iterator[np.ndarray]:
+    """Row numbers, as many at a time as are laid out at once (16 MB)."""
+    for lo in range(0, len(rows), size):
+        yield rows[lo : lo + size]
+
+
 def train(texts: list[str], languages: list[str], steps: int = 60) -> Model:
     """Model fitted to whole texts."""
     return train_shares(gram_shares(pa.array(texts, pa.string())), languages, steps)
@@ -105,27 +111,31 @@ def train_shares(shares: list[tuple[bytes, bytes]], languages: list[str], steps:
     known = sorted(set(languages))
     codes = codewords(len(known))
     at = np.array([known.index(x) for x in languages], np.int64)
-    x = _features(shares)
     y = codes[at].astype(np.float32) if len(at) else np.zeros((0, codes.shape[1] if codes.size else 1), np.float32)
     bits = y.shape[1]
     w, b = np.zeros((1 << TABLE_BITS, bits), np.float32), np.zeros(bits, np.float32)
-    held = np.arange(len(x)) % 3 == 2
+    held = np.arange(len(y)) % 3 == 2
     fitted = np.flatnonzero(~held)
     if len(known) > 1:
         counts = np.bincount(at[fitted], minlength=len(known)).astype(np.float32)
-        weight = (1 / (len(known) * np.maximum(counts, 1)))[at[fitted]][:, None]
-        xs, ys = x[fitted], y[fitted]
+        weight = (1 / (len(known) * np.maximum(counts, 1)))[at][:, None]
         moments = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(b), np.zeros_like(b)]
         for step in range(1, steps + 1):
-            d = -ys * weight / (1 + np.exp(np.clip(ys * (xs @ w + b), -30, 30)))
-            for k, (value, grad) in enumerate(((w, xs.T @ d + 1e-5 * w), (b, d.sum(0)))):
+            grads = [1e-5 * w, np.zeros_like(b)]
+            for rows in _stretches(fitted):
+                x = _features([shares[i] for i in rows.tolist()])
+                d = -y[rows] * weight[rows] / (1 + np.exp(np.clip(y[rows] * (x @ w + b), -30, 30)))
+                grads[0] += x.T @ d
+                grads[1] += d.sum(0)
+            for k, (value, grad) in enumerate(zip((w, b), grads, strict=True)):
                 m, v = moments[2 * k], moments[2 * k + 1]
                 m += 0.1 * (grad - m)
                 v += 0.01 * (grad * grad - v)
                 value -= 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     trust = np.ones(bits)
     if held.any() and len(known) > 1:
-        right = np.clip(((x[held] @ w + b) * y[held] > 0).mean(0), 0.5, 0.999)
+        agreed = sum(((_features([shares[i] for i in rows.tolist()]) @ w + b) * y[rows] > 0).sum(0) for rows in _stretches(np.flatnonzero(held)))
+        right = np.clip(agreed / held.sum(), 0.5, 0.999)
         trust = np.log(right / (1 - right)) + 1e-3
         trust /= trust.sum() / bits
     return Model(known, codes, w, b, trust)
@@ -163,6 +173,7 @@ def margins(model: Model, column: pa.Array) -> np.ndarray:
 def fit(docs: DataFrame, fold: tuple[int, int] | None = (3, 1), most: int = SAMPLE_TEXTS) -> Model:
     """Model of all languages in ``lang``, from at most ``most`` texts of each outside the held-out fold, chosen by a hash of the id.
 
+    Of many languages there are fewer texts each, SAMPLE_TOTAL in all. An id that repeats gives one text a language.
     The n-grams of whole texts are counted in tasks; of a text at most 8,192 counts come to the driver.
     """
     common.small_batches(docs.sparkSession)
@@ -176,10 +187,9 @@ def fit(docs: DataFrame, fold: tuple[int, int] | None = (3, 1), most: int = SAMP
     known = docs.where("text is not null and lang is not null and doc_id is not null")
     if fold:
         known = known.where(common.bucket_of(F.col("doc_id"), fold[0]) != fold[1])
-    rank = Window.partitionBy("lang").orderBy("_h", "doc_id")
-    ids = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("_h")).withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= most).select("doc_id", "lang")
-    # ``most`` rows per language, whatever the size of the table.
-    chosen = known.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", "text")
+    languages = max(1, known.agg(F.countDistinct("lang")).first()[0])
+    ids = common.sampled_ids(known, "lang", max(1, min(most, SAMPLE_TOTAL // languages)))
+    chosen = common.sampled_texts(known.select("doc_id", "lang", "text"), ids)
     id_type = chosen.schema["doc_id"].dataType.simpleString()
     rows = chosen.mapInArrow(count, f"doc_id {id_type}, lang string, slots binary, shares binary").collect()
     rows = sorted((r["doc_id"], r["lang"], bytes(r["slots"]), bytes(r["shares"])) for r in rows)
@@ -216,7 +226,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 @common.query()
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Language of all documents; languages outside the held-out fold are learned from."""
+    """Language of all documents; languages outside the held-out fold are learned from. A row without doc_id is not held out; repeated rows are told alike."""
     docs = common.table(spark, sf_dir, "documents")
     found = identify(docs.select("doc_id", "text"), fit(docs))
-    return found.select("doc_id", (common.bucket_of(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score", "ambiguous")
+    return found.select("doc_id", F.coalesce(common.bucket_of(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")

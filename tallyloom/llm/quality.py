@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import common
@@ -40,18 +40,27 @@ class Network:
     combine: np.ndarray  # weights of mean, lowest, highest chunk score, and the constant
 
 
-def chunked(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Chunks (rows of byte codes, padded) of all texts, and chunks per text; an empty text is one chunk of padding."""
+def chunk_places(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte of each chunk of all texts, the end of its text, and chunks per text."""
     sizes = np.diff(offsets)
     counts = np.maximum(1, -(-(sizes - (CHUNK - STEP)) // STEP))
-    owner = np.repeat(np.arange(len(sizes)), counts)
-    nth = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    at = nth[:, None] * STEP + np.arange(CHUNK)
-    inside = at < sizes[owner][:, None]
+    nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.repeat(offsets[:-1], counts) + nth * STEP, np.repeat(offsets[1:], counts), counts
+
+
+def codes_at(data: np.ndarray, firsts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Byte codes of chunks, a row each, padded behind the text's end; an empty text is one chunk of padding."""
+    at = firsts[:, None] + np.arange(CHUNK)
+    inside = at < ends[:, None]
     codes = np.full(at.shape, PAD, np.int16)
-    where = (at + offsets[:-1][owner][:, None])[inside]
-    codes[inside] = data[where]
-    return codes, counts
+    codes[inside] = data[at[inside]]
+    return codes
+
+
+def chunked(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all chunks of all texts, and chunks per text."""
+    firsts, ends, counts = chunk_places(offsets)
+    return codes_at(data, firsts, ends), counts
 
 
 def _responses(net: Network, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -63,13 +72,16 @@ def _responses(net: Network, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return blocks, pre
 
 
-def chunk_scores(net: Network, codes: np.ndarray, rows: int = 512) -> np.ndarray:
+def chunk_scores(net: Network, data: np.ndarray, offsets: np.ndarray, rows: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """Score of each chunk of all texts, and chunks per text; ``rows`` chunks are laid out at a time, however long a text is."""
+    firsts, ends, counts = chunk_places(offsets)
     out = []
-    for lo in range(0, len(codes), rows):
-        pooled = np.maximum(_responses(net, codes[lo : lo + rows])[1].max(axis=1), 0)
+    for lo in range(0, len(firsts), rows):
+        codes = codes_at(data, firsts[lo : lo + rows], ends[lo : lo + rows])
+        pooled = np.maximum(_responses(net, codes)[1].max(axis=1), 0)
         hidden = np.maximum(pooled @ net.dense + net.dense_bias, 0)
         out.append(hidden @ net.out + net.out_bias[0])
-    return np.concatenate(out) if out else np.zeros(0, np.float32)
+    return np.concatenate(out) if out else np.zeros(0, np.float32), counts
 
 
 def _summary(scores: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -86,8 +98,7 @@ def summaries(net: Network, texts: pa.Array) -> np.ndarray:
     """Mean, lowest and highest chunk score and 1 of each text, over all its bytes."""
     out = [np.zeros((0, 4))]
     for _, _, data, offsets in pieces(texts, 1 << 20):
-        codes, counts = chunked(data, offsets)
-        out.append(_summary(chunk_scores(net, codes), counts))
+        out.append(_summary(*chunk_scores(net, data, offsets)))
     return np.concatenate(out)
 
 
@@ -206,15 +217,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, prior: float) -> np.ndarray:
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, fold: tuple[int, int] | None = (5, 0), most: int = SAMPLE_TEXTS) -> DataFrame:
     """(doc_id, text, _label, _held) of at most ``most`` rows per label value, chosen by a hash of the id; rows of the held-out fold are left out.
 
-    Texts are whole. Every third row of a label is held from the chunk scores' fit, for that of their combination.
+    An id that repeats gives one text a label; an id labelled 0 and 1 stands under both. Texts are whole. Every third row of a label is held from the chunk scores' fit, for that of their combination.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("_label")).where("doc_id is not null and _label in (0, 1)")
     if fold:
         known = known.where(common.bucket_of(F.col("doc_id"), fold[0]) != fold[1])
-    rank = Window.partitionBy("_label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.distinct().withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= most).select("doc_id", "_label", (F.col("_n") % 3 == 2).alias("_held"))
-    # Twice ``most`` rows at the very most, whatever the size of the tables.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text is not null").select("doc_id", "text", "_label", "_held")
+    chosen = common.sampled_ids(known, "_label", most)
+    return common.sampled_texts(docs.select("doc_id", "text"), chosen).select("doc_id", "text", "_label", (F.col("_n") % 3 == 2).alias("_held"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fold: tuple[int, int] | None = (5, 0), most: int = SAMPLE_TEXTS) -> Network:
@@ -277,7 +286,7 @@ def score(docs: DataFrame, net: Network, text: str = "text", column: str = "scor
 
 @common.query()
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quality of all documents; labels outside the held-out fold are learned from."""
+    """Quality of all documents; labels outside the held-out fold are learned from. A row without doc_id is not held out; repeated rows are scored alike."""
     docs, labels = common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")
     scored = score(docs.select("doc_id", "text"), fit(docs, labels))
-    return scored.select("doc_id", (common.bucket_of(F.col("doc_id"), 5) == 0).alias("held_out"), "score", F.when(F.col("score") >= REJECT_BELOW, 1).otherwise(0).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(common.bucket_of(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= REJECT_BELOW, 1).otherwise(0).cast("int").alias("predicted"))

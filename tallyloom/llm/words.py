@@ -34,17 +34,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE = mix(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15))
 _LOWERED = _BYTE.copy()
 _LOWERED[65:91] = _BYTE[97:123]
-_powers = [np.ones(1, _U), np.ones(1, _U)]
+# Bytes, and likewise words, that are hashed at a time: longer runs go through in stretches, so arrays and tables keep their size.
+STRETCH = 1 << 17
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """B^0..B^(n-1) and their inverses modulo 2^64; grown by doubling and kept."""
-    for k, base in enumerate((_BASE, _INVERSE)):
-        table = _powers[k]
-        while len(table) < n:
-            table = np.concatenate([table, table * _U(pow(base, len(table), 1 << 64))])
-        _powers[k] = table
-    return _powers[0][:n], _powers[1][:n]
+def _powers(base: int, n: int) -> np.ndarray:
+    """base^0..base^(n-1) modulo 2^64, by doubling."""
+    table = np.ones(1, _U)
+    while len(table) < n:
+        table = np.concatenate([table, table * _U(pow(base, len(table), 1 << 64))])
+    return table[:n]
+
+
+_POWER, _UNPOWER = _powers(_BASE, STRETCH + 256), _powers(_INVERSE, STRETCH + 256)
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -62,7 +64,7 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def pieces(column: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def pieces(column: pa.Array, most: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows [lo, hi) of about ``most`` bytes at most (a longer text stands alone), with bytes and offsets from 0."""
     if not len(column):
         return
@@ -75,33 +77,57 @@ def pieces(column: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, int, np
         lo = hi
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes in reading order, words per text, first byte and end of each word."""
-    n = len(offsets) - 1
-    if not len(data):
-        none = np.zeros(0, np.int64)
-        return np.zeros(0, _U), np.zeros(n, np.int64), none, none
-    ink = ~BLANK[data]
+def _stretch(data: np.ndarray, breaks: np.ndarray, table: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unscrambled hash, first byte and end of the words of a stretch; no word crosses ``breaks``."""
+    ink = ~blank[data]
     begin = ink.copy()
     begin[1:] &= ~ink[:-1]
-    firsts = offsets[:-1][offsets[:-1] < offsets[1:]]
-    begin[firsts] = ink[firsts]
-    starts = np.flatnonzero(begin)
+    begin[breaks] = ink[breaks]
     last = ink.copy()
     last[:-1] &= ~ink[1:]
-    lasts = firsts[1:] - 1
-    last[lasts] = ink[lasts]
-    ends = np.flatnonzero(last) + 1
-    power, inverse = _power_tables(len(data))
-    total = (_LOWERED if lower else _BYTE)[data]
-    total *= power
-    np.cumsum(total, out=total)
-    value = total[ends - 1]
-    inner = starts > 0
-    value[inner] -= total[starts[inner] - 1]
-    value *= inverse[starts]
-    counts = np.diff(np.searchsorted(starts, offsets))
-    return mix(value + (ends - starts).astype(_U)), counts, starts, ends
+    before = breaks[breaks > 0] - 1
+    last[before] = ink[before]
+    starts, ends = np.flatnonzero(begin), np.flatnonzero(last) + 1
+    sums = np.zeros(len(data) + 1, _U)
+    np.cumsum(table[data] * _POWER[: len(data)], out=sums[1:])
+    return (sums[ends] - sums[starts]) * _UNPOWER[starts], starts, ends
+
+
+def word_stretches(data: np.ndarray, offsets: np.ndarray, lower: bool = False, blank: np.ndarray = BLANK) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Hash, first byte and end of the words of all texts, in stretches of STRETCH bytes.
+
+    A word that goes on in the next stretch is held back and joined there.
+    """
+    table = _LOWERED if lower else _BYTE
+    firsts = offsets[:-1][offsets[:-1] < offsets[1:]]
+    held: tuple[_U, int, int] | None = None
+    for lo in range(0, len(data), STRETCH):
+        breaks = firsts[np.searchsorted(firsts, lo) : np.searchsorted(firsts, lo + STRETCH)] - lo
+        part = data[lo : lo + STRETCH]
+        value, starts, ends = _stretch(part, breaks, table, blank)
+        starts, ends = starts + lo, ends + lo
+        if held is not None:
+            if len(starts) and starts[0] == held[2] and not (len(breaks) and breaks[0] == 0):
+                joined = (int(held[0]) + int(value[0]) * pow(_BASE, int(starts[0]) - held[1], 1 << 64)) & _MASK
+                value[0], starts[0] = _U(joined), held[1]
+            else:
+                value, starts, ends = np.append(_U(held[0]), value), np.append(held[1], starts), np.append(held[2], ends)
+            held = None
+        if len(ends) and ends[-1] == lo + len(part) and lo + len(part) < len(data):
+            held = (value[-1], int(starts[-1]), int(ends[-1]))
+            value, starts, ends = value[:-1], starts[:-1], ends[:-1]
+        if len(starts):
+            yield mix(value + (ends - starts).astype(_U)), starts, ends
+    if held is not None:
+        yield mix(np.array([held[0] + _U(held[2] - held[1])], _U)), np.array([held[1]]), np.array([held[2]])
+
+
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes in reading order, words per text, first byte and end of each word."""
+    found = list(word_stretches(data, offsets, lower, blank))
+    none = np.zeros(0, np.int64)
+    hashes, starts, ends = (np.concatenate(part) for part in zip(*found, strict=True)) if found else (np.zeros(0, _U), none, none)
+    return hashes, np.diff(np.searchsorted(starts, offsets)), starts, ends
 
 
 def windows(hashes: np.ndarray, counts: np.ndarray, k: int, short: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,28 +135,31 @@ def windows(hashes: np.ndarray, counts: np.ndarray, k: int, short: bool = False)
 
     ``short``: a text of 1 to k - 1 words gives one window of all its words, whose hash differs from those of full windows.
     """
-    total = len(hashes)
-    base = np.cumsum(counts) - counts
-    owner = np.repeat(np.arange(len(counts)), counts)
-    place = np.arange(total) - base[owner]
-    left = counts[owner] - place
-    keep = left >= k
-    width = np.full(total, k, np.int64)
+    if k > 256:
+        raise ValueError("windows of at most 256 words")
+    made = np.maximum(0, counts - k + 1)
     if short:
-        whole = (place == 0) & (counts[owner] < k)
-        keep |= whole
-        width[whole] = counts[owner][whole]
-    at = np.flatnonzero(keep)
-    power, inverse = _power_tables(total + 1)
-    sums = np.zeros(total + 1, _U)
-    np.cumsum(hashes * power[:total], out=sums[1:])
-    value = (sums[at + width[at]] - sums[at]) * inverse[at]
-    value += width[at].astype(_U) * _U(0xD6E8FEB86659FD93)
-    return mix(value), owner[at], place[at]
+        made[(counts > 0) & (counts < k)] = 1
+    owner = np.repeat(np.arange(len(counts), dtype=np.int32), made)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(made) - made, made)
+    at = np.repeat(np.cumsum(counts) - counts, made) + place
+    width = np.minimum(counts, k)
+    value = np.empty(len(at), _U)
+    for lo in range(0, len(hashes), STRETCH):
+        first, last = np.searchsorted(at, [lo, lo + STRETCH])
+        part = hashes[lo : lo + STRETCH + k - 1]
+        sums = np.zeros(len(part) + 1, _U)
+        np.cumsum(part * _POWER[: len(part)], out=sums[1:])
+        here, wide = at[first:last] - lo, width[owner[first:last]]
+        value[first:last] = mix((sums[here + wide] - sums[here]) * _UNPOWER[here] + wide.astype(_U) * _U(0xD6E8FEB86659FD93))
+    return value, owner, place
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of the lower-cased (A-Z) words of each text, ascending per text, and how many each text has."""
+    if len(offsets) == 2:
+        value = _one_set(data, offsets, k)
+        return value, np.array([len(value)], np.int64)
     hashes, counts, _, _ = words(data, offsets, lower=True)
     value, owner, _ = windows(hashes, counts, k, short=True)
     order = np.lexsort((value, owner))
@@ -139,3 +168,20 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = 5) -> tuple[np.
     fresh[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
     value, owner = value[fresh], owner[fresh]
     return value, np.bincount(owner, minlength=len(counts)).astype(np.int64)
+
+
+def _one_set(data: np.ndarray, offsets: np.ndarray, k: int) -> np.ndarray:
+    """Shingles of a single, perhaps very long text: only their hashes are kept, stretch after stretch."""
+    rest, found = np.zeros(0, _U), []
+    for hashes, _, _ in word_stretches(data, offsets, lower=True):
+        run = np.concatenate([rest, hashes])
+        found.append(np.unique(windows(run, np.array([len(run)]), k)[0]))
+        rest = run[-(k - 1) :] if k > 1 else run[:0]
+    if not sum(map(len, found)) and len(rest):
+        return windows(rest, np.array([len(rest)]), k, short=True)[0]
+    whole = np.concatenate(found) if found else rest
+    found.clear()
+    whole.sort()
+    fresh = np.ones(len(whole), bool)
+    fresh[1:] = whole[1:] != whole[:-1]
+    return whole[fresh]
