@@ -16,6 +16,7 @@ phrase, at most three a range; their counts are handed to the range.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,65 +37,97 @@ ABSORBED = (4, 5)
 SCALE = 2_000_000
 TOP = 2_000
 NO_LANGUAGE = "und"
-# Tokens counted at a time: bounds the arrays of a very long text.
-BLOCK = 1 << 20
+# Bytes of one text that are counted at a time.
+STRETCH = 1 << 22
 # Bits of a hash that is counted: fewer make smaller rows, and only rule out less where they coincide.
 HASH_BITS = 40
-# Characters that end a piece, and the token that stands for them (a word holds no line feed).
-_BREAKS = r"[.,;:!?\x0A-\x0D]"
-_BREAK = "\n"
+_KEPT = np.uint64((1 << HASH_BITS) - 1)
+# Bytes that end a piece, and those that end a word.
+_BREAKS = np.zeros(256, bool)
+_BREAKS[list(b".,;:!?\n\x0b\x0c\r")] = True
+_BLANKS = _BREAKS.copy()
+_BLANKS[list(b" \t")] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 _U = np.uint64
 COUNTED = "lang string, phrase string, n long"
 
 
-def tokens(text: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
-    """Words of all texts in reading order, lower-cased (A-Z), with a break token where a piece ends, and the text of each."""
-    text = pc.ascii_lower(pc.fill_null(text, ""))
-    text = pc.replace_substring(pc.replace_substring_regex(text, _BREAKS, f" {_BREAK} "), "\t", " ")
-    parts = pc.split_pattern(text, " ")
-    flat, owner = parts.flatten(), pc.list_parent_indices(parts)
-    filled = pc.not_equal(flat, "")
-    return flat.filter(filled).dictionary_encode(), owner.filter(filled).to_numpy().astype(np.int64)
-
-
-def _hashes(values: pa.Array) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(v) for v in values.to_pylist()), _U, len(values))
+@dataclass
+class Tokens:
+    """Words of a few texts in reading order, lower-cased (A-Z)."""
+
+    hashes: np.ndarray
+    tongue: np.ndarray  # number of the language in ``names``
+    names: pa.Array
+    seeds: np.ndarray  # hash of the word's language
+    joined: np.ndarray  # whether the next word is in the same piece of the same text
+    starts: np.ndarray
+    ends: np.ndarray
+    data: np.ndarray
+    own: int  # words whose windows are counted here; the others begin the next stretch
+
+    def spelled(self, at: np.ndarray) -> pa.Array:
+        """The words at these places."""
+        sizes = self.ends[at] - self.starts[at]
+        first = np.cumsum(sizes) - sizes
+        letters = _LOWER[self.data[np.repeat(self.starts[at] - first, sizes) + np.arange(int(sizes.sum()))]]
+        return common.binaries(letters, sizes).cast(pa.string())
+
+
+def _stretches(data: np.ndarray, offsets: np.ndarray, spare: int) -> Iterator[tuple[np.ndarray, tuple, int]]:
+    """Bytes, their words, and how many of these begin a window here. One long text comes in stretches that share ``spare`` words."""
+    lo, size = 0, STRETCH if len(offsets) == 2 else len(data)
+    while lo + size < len(data):
+        blanks = np.flatnonzero(_BLANKS[data[lo + size : lo + 2 * size]])
+        part = data[lo : lo + size + int(blanks[0])] if len(blanks) else data[:0]
+        found = words.words(part, np.array([0, len(part)]), lower=True, blank=_BLANKS)
+        if len(found[0]) <= spare:
+            size *= 2
+            continue
+        own = len(found[0]) - spare
+        yield part, found, own
+        lo, size = lo + int(found[2][own]), STRETCH
+    rest = data[lo:]
+    found = words.words(rest, offsets if not lo else np.array([0, len(rest)]), lower=True, blank=_BLANKS)
+    yield rest, found, len(found[0])
+
+
+def tokens(text: pa.Array, lang: pa.Array, spare: int) -> Iterator[Tokens]:
+    """Words of batches of texts; a word's hash depends on its bytes only."""
+    names = pc.fill_null(lang, NO_LANGUAGE).cast(pa.string()).dictionary_encode()
+    names_of = names.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    seeds = np.array([xxhash.xxh3_64_intdigest(name) for name in names.dictionary.to_pylist()], _U)
+    for lo, hi, whole, offsets in words.pieces(text):
+        for data, (hashes, counts, starts, ends), own in _stretches(whole, offsets, spare):
+            owner = np.repeat(np.arange(hi - lo), counts)
+            broken = np.cumsum(_BREAKS[data], dtype=np.int32)
+            joined = np.zeros(len(hashes), bool)
+            joined[:-1] = (owner[:-1] == owner[1:]) & (broken[ends[:-1] - 1] == broken[starts[1:]])
+            tongue = names_of[lo:hi][owner]
+            yield Tokens(hashes, tongue, names.dictionary, seeds[tongue], joined, starts, ends, data, own)
 
 
-def chains(h: np.ndarray, seed: np.ndarray, is_word: np.ndarray, joined: np.ndarray, filters: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Per level 1, 2, ...: the hash of (language, words) of the window at each token, and whether it counts.
+def chains(found: Tokens, filters: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per level 1, 2, ...: the hash of (language, words) of the window at each word, and whether it counts.
 
     ``filters`` mark the frequent hashes of the first levels; one level more is given. A window counts
     if it is marked, or on the last level if both its windows of the level before do.
     """
-    value, counts = mix(seed + h), is_word
+    h = found.hashes
+    value, counts = mix(found.seeds + h), np.ones(len(h), bool)
     for level in range(len(filters) + 1):
         if level:
-            counts = np.append(counts[:-1] & counts[1:] & joined[:-1], False)
+            counts = np.append(counts[:-1] & counts[1:] & found.joined[:-1], np.zeros(min(1, len(h)), bool))
             value = mix(value * _U(3) + np.append(h[level:], np.zeros(min(level, len(h)), _U)))
         if level < len(filters):
-            counts = counts & common.bits_at(filters[level], value)
+            counts = counts & common.bits_at(filters[level], value & _KEPT)
         yield value, counts
 
 
-def blocks(text: pa.Array, lang: pa.Array, spare: int) -> Iterator[tuple]:
-    """Stretches of ``BLOCK`` tokens with ``spare`` more behind: word codes, their vocabulary, language codes, languages, and what chains() takes."""
-    coded, owner = tokens(text)
-    names = pc.fill_null(lang, NO_LANGUAGE).cast(pa.string()).dictionary_encode()
-    names_of, seeds = names.indices.to_numpy(zero_copy_only=False).astype(np.int64), _hashes(names.dictionary)
-    codes, vocabulary = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
-    hashes, end = _hashes(vocabulary), pc.index(vocabulary, pa.scalar(_BREAK, vocabulary.type)).as_py()
-    for lo in range(0, len(codes), BLOCK):
-        ids, own = codes[lo : lo + BLOCK + spare], owner[lo : lo + BLOCK + spare]
-        tongue = names_of[own]
-        yield ids, vocabulary, tongue, names.dictionary, (hashes[ids], seeds[tongue], ids != end, np.append(own[:-1] == own[1:], False))
-
-
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+def _texts(batches: Iterator[pa.RecordBatch], filters: list[bytes]) -> Iterator[Tokens]:
     for batch in batches:
-        text, lang = batch.column("text"), batch.column("lang")
-        for lo, hi, _, _ in words.pieces(text):
-            yield text.slice(lo, hi - lo), lang.slice(lo, hi - lo)
+        yield from tokens(batch.column("text"), batch.column("lang"), len(filters))
 
 
 def frequent_hashes(docs: DataFrame, least: int, filters: list[bytes]) -> bytes:
@@ -102,37 +135,39 @@ def frequent_hashes(docs: DataFrame, least: int, filters: list[bytes]) -> bytes:
     sent = docs.sparkSession.sparkContext.broadcast(filters)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for text, lang in _texts(batches):
-            for _, _, _, _, arrays in blocks(text, lang, len(sent.value)):
-                *_, (value, counts) = chains(*arrays, sent.value)
-                hashes, n = np.unique(value[:BLOCK][counts[:BLOCK]] & _U((1 << HASH_BITS) - 1), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], ["h", "n"])
+        for found in _texts(batches, sent.value):
+            *_, (value, counts) = chains(found, sent.value)
+            hashes, n = np.unique(value[: found.own][counts[: found.own]] & _KEPT, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], ["h", "n"])
 
     counted = docs.select("text", "lang").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     return common.bitmap(counted.where(F.col("n") >= least), common.slot_of(F.col("h")))
 
 
 def window_counts(docs: DataFrame, filters: list[bytes]) -> DataFrame:
-    """(lang, phrase, n): the longest phrase that counts at each word, with its number; the empty phrase has the number of all words."""
+    """(lang, phrase, n): the longest phrase that counts at each word, with its number; the empty phrase has the number of all words.
+
+    Phrases are counted as text by Spark. Inside one batch of about half a MB, repeats of a phrase are
+    first told by its 64-bit hash.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(filters)
-    longest = len(filters) + 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for text, lang in _texts(batches):
-            for ids, vocabulary, tongue, names, arrays in blocks(text, lang, len(filters)):
-                length = np.sum([counts for _, counts in chains(*arrays, sent.value)], axis=0)[:BLOCK]
-                every = np.bincount(tongue[:BLOCK][arrays[2][:BLOCK]], minlength=len(names))
-                yield pa.RecordBatch.from_arrays([names, pa.array([""] * len(names), pa.string()), pa.array(every)], ["lang", "phrase", "n"])
-                at = np.flatnonzero(length)
-                # Place k of a window: its word plus one, or 0 behind its end. Two numbers become one at a time.
-                place = [np.where(length[at] > k, ids[np.minimum(at + k, len(ids) - 1)] + 1, 0) for k in range(longest)]
-                whole = tongue[at]
-                for part in place:
-                    _, whole = np.unique(whole * (len(vocabulary) + 1) + part, return_inverse=True)
-                _, first, n = np.unique(whole, return_index=True, return_counts=True)
-                columns = [vocabulary.take(pa.array(p[first] - 1, mask=p[first] == 0)) for p in place]
-                phrase = pc.binary_join_element_wise(*columns, " ", null_handling="skip")
-                yield pa.RecordBatch.from_arrays([names.take(pa.array(tongue[at][first])), phrase.cast(pa.string()), pa.array(n)], ["lang", "phrase", "n"])
+        for found in _texts(batches, sent.value):
+            every = np.bincount(found.tongue[: found.own], minlength=len(found.names))
+            yield pa.RecordBatch.from_arrays([found.names, pa.array([""] * len(found.names), pa.string()), pa.array(every)], ["lang", "phrase", "n"])
+            length, last = np.zeros(len(found.hashes), np.int64), np.zeros(len(found.hashes), _U)
+            for value, counts in chains(found, sent.value):
+                length += counts
+                last[counts] = value[counts]
+            at = np.flatnonzero(length[: found.own])
+            _, first, n = np.unique(last[at] + length[at].astype(_U), return_index=True, return_counts=True)
+            at = at[first]
+            for size in range(1, len(filters) + 2):
+                some = length[at] == size
+                parts = [found.spelled(at[some] + k) for k in range(size)]
+                phrase = pc.binary_join_element_wise(*parts, " ") if size > 1 else parts[0]
+                yield pa.RecordBatch.from_arrays([found.names.take(pa.array(found.tongue[at[some]])), phrase, pa.array(n[some])], ["lang", "phrase", "n"])
 
     return docs.select("text", "lang").mapInArrow(count, COUNTED).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
