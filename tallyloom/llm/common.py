@@ -87,6 +87,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of what finished jobs left: Spark removes their shuffle files and broadcasts when the driver collects its garbage, which it may put off for long."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def slot_of(value: Column) -> Column:
     """Bitmap slot of a 64-bit hash: its low bits."""
     return value.bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
@@ -94,10 +99,9 @@ def slot_of(value: Column) -> Column:
 
 def bitmap(df: DataFrame, slot: Column) -> bytes:
     """Slots present in ``df`` as bits. At most 2^18 rows of 64 slots each reach the driver."""
-    words = df.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("b")).collect()
+    words = df.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("b")).toArrow()
     out = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
-    for w, b in words:
-        out[w] = b
+    out[words["w"].to_numpy()] = words["b"].to_numpy()
     return out.astype("<i8").tobytes()
 
 

@@ -18,6 +18,8 @@ THRESHOLD = 1
 # Shorter lines are compared exactly only: an edit of few characters is another line.
 LEAST_CHARS = 20
 LAST_ID = (1 << 63) - 1
+# Bits of the filters in front of shuffles.
+FILTER_BITS = 20
 # Lines of one key that are compared pair by pair.
 FEW = 64
 _BLANK = " \t\r"
@@ -96,15 +98,15 @@ def _within(a: str, b: str, threshold: int) -> Column:
 
 def _slot(value: Column) -> tuple[Column, Column]:
     """Word and bit of a 64-bit hash in a bitmap."""
-    slot = common.slot_of(value)
+    slot = value.bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
     return F.shiftright(slot, 6), slot.bitwiseAND(F.lit(63)).cast("int")
 
 
 def _bitmap(members: DataFrame, column: str) -> Column:
-    """The hashes in ``column`` as a bitmap of 2 MB, which is a scalar subquery; a full one only filters less."""
+    """The hashes in ``column`` as a bitmap of 128 KB, which is a scalar subquery; a full one only filters less."""
     word, bit = _slot(F.col(column))
-    marked = common.stage(members.groupBy(word.alias("id")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("b")), "bits")
-    every = members.sparkSession.range(1 << (common.BITMAP_BITS - 6)).join(marked, "id", "left")
+    marked = members.groupBy(word.alias("id")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("b"))
+    every = members.sparkSession.range(1 << (FILTER_BITS - 6)).join(marked, "id", "left")
     dense = F.transform(F.sort_array(F.collect_list(F.struct("id", F.coalesce("b", F.lit(0)).alias("b")))), lambda w: w["b"])
     return common.stage(every.agg(dense.alias("bits")), "bitmap").scalar()
 

@@ -60,7 +60,10 @@ def codes_at(data: np.ndarray, firsts: np.ndarray, ends: np.ndarray) -> np.ndarr
 def chunked(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Codes of all chunks of all texts, and chunks per text."""
     firsts, ends, counts = chunk_places(offsets)
-    return codes_at(data, firsts, ends), counts
+    codes = np.empty((len(firsts), CHUNK), np.int16)
+    for lo in range(0, len(firsts), 512):
+        codes[lo : lo + 512] = codes_at(data, firsts[lo : lo + 512], ends[lo : lo + 512])
+    return codes, counts
 
 
 def _responses(net: Network, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
