@@ -31,6 +31,7 @@ def _restored(slim: DataFrame, docs: DataFrame, **changed) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality network, fitted on the labelled ones, does not reject. Without labels of both kinds none is."""
+    common.release(spark)
     net = quality.fit(docs, common.table(spark, sf_dir, "labels"))
     scored = quality.score(_slim(docs), net, column="_score")
     return _restored(scored.where(F.col("_score") >= quality.REJECT_BELOW), docs)
@@ -38,6 +39,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that an earlier one has; n_chars follows the text. A document all of whose lines are repeats goes."""
+    common.release(spark)
     cut = line_dedup.remove_lines(_slim(docs))
     whole = cut.where((F.col("n_removed") == 0) | F.exists(F.split("text", "\n"), lambda line: F.btrim(line, F.lit(" \t\r")) != ""))
     chars = F.when(F.col("n_removed") == 0, F.col("_others").getField("n_chars")).otherwise(F.length("text").cast("long")) if "n_chars" in docs.columns else F.lit(None)
@@ -50,6 +52,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Ids may repeat or be null: documents are told apart by id and text. Of repeated rows of one
     id and text one stays. Texts without words are in no group.
     """
+    common.release(spark)
     slim = _slim(docs).withColumn("_key", F.xxhash64("doc_id", "text"))
     found = ngram_join.jaccard_components(slim.select(F.col("_key").alias("doc_id"), "text"))
     groups = found.select(F.col("doc_id").alias("_key"), "component_id").distinct()
@@ -62,11 +65,13 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated and dropped towards the target weights of their sources, in a global random order."""
+    common.release(spark)
     return _restored(mixing.mix(_slim(docs)), docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents, placed in sequences of 4,096 tokens."""
+    common.release(spark)
     return packing.pack_documents(docs.select("doc_id", "text"))
 
 
