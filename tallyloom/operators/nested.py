@@ -152,6 +152,21 @@ def action_columns(df: DataFrame, actions: str, types: Sequence[str], prefix: st
     return df.withColumns({f"{prefix}{t}": value(t) for t in types})
 
 
+def action_remainder(df: DataFrame, actions: str, types: Sequence[str], out: str = "other_actions") -> DataFrame:
+    """The action types that have no column, as a map; last value wins, a missing value is 0, no actions give an empty map.
+
+    With ``action_columns`` no type is lost, and still each row reads its own array only.
+    """
+    rest = F.filter(ref(actions), lambda a: a["action_type"].isNotNull() & ~a["action_type"].isin(list(types)))
+    listed = df.withColumn("__rest", F.coalesce(rest, F.slice(ref(actions), 1, 0)))
+    keyed = listed.withColumn("__kinds", F.coalesce(F.array_distinct("__rest.action_type"), F.array().cast("array<string>")))
+
+    def last(kind: Column) -> Column:
+        return F.coalesce(last_where(F.col("__rest"), "action_type", kind, "value").try_cast("double"), F.lit(0.0))
+
+    return keyed.withColumn(out, F.map_from_arrays("__kinds", F.transform("__kinds", last))).drop("__rest", "__kinds")
+
+
 def actions_long(df: DataFrame, id_col: str, actions: str) -> DataFrame:
     """One row per action; rows without actions keep one empty row; no such column gives no rows."""
     if actions not in df.columns:

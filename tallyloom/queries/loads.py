@@ -239,3 +239,47 @@ def kv_table(spark, sf_dir):
     kv.write(to_entities(late, "status", ["id"]), "second")
     kv.delete_partition("P", "drop")
     return kv.read("RowKey is not null")
+
+
+_TENANTS = LoadSpec("ads", ("id", "tenant"), "upsert", order=("clicks",))
+
+
+def _tenant_lines(spark, sf_dir):
+    """Lines by supplier group as tenant; those of T3 have bad rows, the target holds every other number once."""
+    lines = tab(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+        F.concat(F.lit("T"), (F.col("l_suppkey") % 7).cast("string")).alias("tenant"),
+        F.when((F.col("l_suppkey") % 7 != 3) | (F.col("l_linenumber") != 7), F.col("l_linenumber")).cast("bigint").alias("clicks"),
+    )
+    return lines, lines.filter("id % 2 = 0").select("id", "tenant").distinct().withColumn("clicks", F.lit(0).cast("bigint"))
+
+
+_TENANT_SQL = """
+WITH lines AS (SELECT l_orderkey * 10 + l_linenumber AS id, 'T' || (l_suppkey % 7) AS tenant, CASE WHEN l_suppkey % 7 <> 3 OR l_linenumber <> 7 THEN l_linenumber END AS clicks FROM lineitem),
+bad AS (SELECT DISTINCT tenant FROM lines WHERE clicks IS NULL)
+"""
+
+
+@query(_TENANT_SQL + """
+SELECT tenant, CAST(count(*) AS BIGINT) AS rows_from_api,
+       CASE WHEN tenant IN (FROM bad) THEN 0 ELSE count(DISTINCT id) FILTER (id % 2 <> 0) END AS rows_inserted,
+       CASE WHEN tenant IN (FROM bad) THEN 0 ELSE count(DISTINCT id) FILTER (id % 2 = 0) END AS rows_updated,
+       count_if(clicks IS NULL) AS failed_rows, CASE WHEN tenant IN (FROM bad) THEN 'failed' ELSE 'success' END AS status
+FROM lines GROUP BY tenant
+""")
+def tenant_load_counts(spark, sf_dir):
+    """One load of all tenants; counters and status of each, a tenant with bad rows fails alone."""
+    batch, target = _tenant_lines(spark, sf_dir)
+    counts = merge.tenant_counts(batch, target, _TENANTS, "tenant", F.col("clicks").isNotNull())
+    return counts.select("tenant", "rows_from_api", "rows_inserted", "rows_updated", "failed_rows", "status")
+
+
+@query(_TENANT_SQL + """
+SELECT id, tenant, clicks FROM lines WHERE id % 3 <> 0 AND tenant NOT IN (FROM bad)
+UNION ALL SELECT DISTINCT id, tenant, 0 FROM lines WHERE id % 2 = 0 AND tenant IN (FROM bad)
+""")
+def tenant_replace(spark, sf_dir):
+    """Each sound tenant of the batch is replaced; a failed one keeps what it had."""
+    lines, target = _tenant_lines(spark, sf_dir)
+    kept, _ = merge.sound_tenants(lines.filter("id % 3 <> 0 OR clicks IS NULL"), "tenant", F.col("clicks").isNotNull())
+    return merge.replace_tenants(kept, target, "tenant")

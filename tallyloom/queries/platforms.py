@@ -49,7 +49,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS campaign_id, CASE WHEN o_orderstatus = 'F'
 FROM orders
 """)
 def platform_campaigns(spark, sf_dir):
-    """Campaigns land as JSON twice; the second run updates those that have ended."""
+    """Campaigns land as JSON twice; the second run updates those that have ended."""
     ended = _fb_campaigns(spark, sf_dir, F.when(F.col("o_orderstatus") == "F", "ENDED")).filter("status IS NOT NULL")
     landings = [{"fb_campaign": _fb_campaigns(spark, sf_dir, F.lit("ACTIVE"))}, {"fb_campaign": ended}]
     _, targets = _run(spark, "facebook", FACEBOOK_TABLES, landings, ["fb_ads_campaign"])

@@ -70,6 +70,18 @@ def actions_wide(spark, sf_dir):
     return out.drop("user_id", "actions")
 
 
+@query("""
+SELECT event_id, CASE WHEN event_type = 'error' THEN 0 ELSE 1 + CAST(event_type <> 'click' AS INT) END AS kinds,
+       CASE WHEN event_type = 'error' THEN 0.0 ELSE CASE WHEN event_type <> 'click' THEN value ELSE 0 END + CASE WHEN user_id > 50 THEN 2 ELSE 0 END END AS total
+FROM events
+""")
+def actions_remainder(spark, sf_dir):
+    """The types without a column of their own stay, in a map."""
+    out = nested.action_remainder(_with_actions(spark, sf_dir), "actions", ["click"])
+    total = F.aggregate(F.map_values("other_actions"), F.lit(0.0), lambda sum_, v: sum_ + v)
+    return out.select("event_id", F.size("other_actions").alias("kinds"), total.alias("total"))
+
+
 @query("""
 SELECT event_id AS ad_id, CAST(NULL AS VARCHAR) AS action_type, CAST(NULL AS VARCHAR) AS action_target_id, CAST(NULL AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS conversion_id
 FROM events WHERE event_type = 'error' UNION ALL

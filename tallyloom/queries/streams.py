@@ -71,6 +71,26 @@ def stream_daily_metrics(spark, sf_dir):
     return table.read()
 
 
+@query("""
+WITH rows AS (SELECT *, event_id % 2 AS part, (SELECT max(ts) FROM events WHERE event_id % 2 = 0) - INTERVAL 1 DAY AS mark FROM events)
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value,
+       count_if(part <> 0 AND date_trunc('day', ts) + INTERVAL 1 DAY <= mark) AS late_events
+FROM rows GROUP BY 1, 2
+""")
+def stream_late_rows(spark, sf_dir):
+    """Every other event arrives in a second batch, most of them later than the delay of one day; they are counted, kept and merged in."""
+    root = scratch_path(spark, "stream-late")
+    events = tab(spark, sf_dir, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), money(F.col("value")).alias("value"))
+    metrics = incremental.LateAware(spark, f"{root}/tables", events.schema, ["event_id"], ["event_type"], "ts", "value")
+    for part in (0, 1):
+        events.filter(F.col("event_id") % 2 == part).write.mode("append").parquet(f"{root}/landing")
+        metrics.start(incremental.stream_files(spark, f"{root}/landing", events.schema), f"{root}/state").awaitTermination()
+    metrics.correct()
+    late = metrics.late.read().groupBy(F.col("ts").cast("date").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("late_events"))
+    shown = metrics.daily.read().join(late, ["day", "event_type"], "left")
+    return shown.select(day_text(F.col("day")).alias("day"), "event_type", "events", F.col("value").cast("double").alias("value"), F.coalesce("late_events", F.lit(0)).cast("bigint").alias("late_events"))
+
+
 @query("SELECT strftime(ts, '%Y-%m-%d') AS date, event_type AS status, count(*) AS runs FROM events GROUP BY 1, 2")
 def stream_run_report(spark, sf_dir):
     """Changed counts are upserted, so the table is the live report."""

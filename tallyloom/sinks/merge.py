@@ -17,6 +17,7 @@ from tallyloom.operators.columns import ref, require
 from tallyloom.operators.dedupe import deduplicate
 from tallyloom.operators.lookup import anti_existing, key_side, same_key
 from tallyloom.operators.nulls import drop_null_rows
+from tallyloom.operators.skew import spread_join
 from tallyloom.sinks.spec import LOAD_DATES, LoadSpec
 
 
@@ -91,7 +92,9 @@ def merge_rows(new: DataFrame, target: DataFrame, spec: LoadSpec) -> DataFrame:
     if spec.mode == "upsert":
         return _with_updates(target, new, keys, {c: ref(f"__n_{c}") for c in spec.update})
     updates = {
-        c: F.coalesce(ref(c), F.lit(0)) + F.coalesce(ref(f"__n_{c}"), F.lit(0)) for c in spec.increment
+        # Cast: a sum of decimals is a wider type than the target's.
+        c: (F.coalesce(ref(c), F.lit(0)) + F.coalesce(ref(f"__n_{c}"), F.lit(0))).cast(target.schema[c].dataType)
+        for c in spec.increment
     }
     updates |= {c: ref(f"__n_{c}") for c in target.columns if c.lower() in LOAD_DATES}
     return _with_updates(target, new, keys, updates)
@@ -108,14 +111,15 @@ def merge_into(new: DataFrame, table: str, spec: LoadSpec) -> None:
     merge.whenMatched().update(changed).whenNotMatched().insertAll().merge()
 
 
-def load_counts(batch: DataFrame, target: DataFrame, spec: LoadSpec) -> DataFrame:
-    """The five counters and ``rows_written`` as one row.
+def load_counts(batch: DataFrame, target: DataFrame, spec: LoadSpec, by: str | None = None) -> DataFrame:
+    """The five counters and ``rows_written`` as one row, or one row for each value of ``by``, a column of the batch.
 
     Keys are counted before they meet the target, so the join sees each key
     once and ``inserted + updated + skipped + filtered = rows_from_api``.
     """
     keys = key_columns(batch, spec)
-    sizes = batch.groupBy(*map(ref, keys)).agg(F.count(F.lit(1)).alias("__rows"))
+    group = [by] if by else []
+    sizes = batch.groupBy(*map(ref, [*keys, *[c for c in group if c not in keys]])).agg(F.count(F.lit(1)).alias("__rows"))
     full = F.lit(True)
     if spec.keys:
         for k in keys:
@@ -128,11 +132,12 @@ def load_counts(batch: DataFrame, target: DataFrame, spec: LoadSpec) -> DataFram
     total = F.coalesce(F.sum("__rows"), F.lit(0))
     usable, known = F.count_if(full), F.count_if(full & F.col("__old"))
     zero = F.lit(0).cast("bigint")
-    counts = marked.agg(total.alias("rows_from_api"), usable.alias("__usable"), known.alias("__known"))
+    counts = marked.groupBy(*map(ref, group)).agg(total.alias("rows_from_api"), usable.alias("__usable"), known.alias("__known"))
     updated = zero if spec.mode in ("append", "replace") else F.col("__known")
     skipped = F.col("__known") if spec.mode == "append" else zero
     inserted = F.col("__usable") - F.col("__known")
     return counts.select(
+        *map(ref, group),
         "rows_from_api",
         inserted.alias("rows_inserted"),
         updated.alias("rows_updated"),
@@ -142,6 +147,34 @@ def load_counts(batch: DataFrame, target: DataFrame, spec: LoadSpec) -> DataFram
     )
 
 
+def sound_tenants(batch: DataFrame, tenant: str, sound: Column) -> tuple[DataFrame, DataFrame]:
+    """The rows of tenants all of whose rows are sound, and (tenant, rows, failed_rows) of the others, which load nothing.
+
+    All tenants are one plan: a bad one is left out by a join, not by a loop of runs. Rows of no
+    tenant fail together.
+    """
+    named = batch.withColumn("__tenant", F.coalesce(ref(tenant).cast("string"), F.lit("")))
+    bad = ~F.coalesce(sound & ref(tenant).isNotNull(), F.lit(False))
+    failed = named.groupBy("__tenant").agg(F.max(ref(tenant)).alias(tenant), F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("failed_rows")).filter("failed_rows > 0")
+    kept = spread_join(named, failed.select("__tenant"), ["__tenant"], "left_anti").drop("__tenant")
+    return kept, failed.drop("__tenant")
+
+
+def replace_tenants(new: DataFrame, target: DataFrame, tenant: str) -> DataFrame:
+    """A replace whose scope is the tenants in the batch; others keep their rows, and so do tenants that failed."""
+    scope = new.select(ref(tenant)).distinct()
+    return spread_join(target, scope, [tenant], "left_anti").unionByName(new.select(*map(ref, target.columns)))
+
+
+def tenant_counts(batch: DataFrame, target: DataFrame, spec: LoadSpec, tenant: str, sound: Column) -> DataFrame:
+    """Load counters of every tenant with its status; those of a failed tenant are zero but for the rows it sent and the bad ones."""
+    kept, failed = sound_tenants(batch, tenant, sound)
+    good = load_counts(kept, target, spec, tenant).withColumns({"failed_rows": F.lit(0).cast("bigint"), "status": F.lit("success")})
+    zero = F.lit(0).cast("bigint")
+    bad = failed.select(*[{"rows_from_api": ref("rows"), "failed_rows": ref("failed_rows"), "status": F.lit("failed"), tenant: ref(tenant)}.get(c, zero).alias(c) for c in good.columns])
+    return good.unionByName(bad)
+
+
 def apply_retention(df: DataFrame, column: str, as_of: date, days: int) -> DataFrame:
     """Rows of the last ``days`` days; a null date stays, as a delete by date would leave it."""
     return df.filter(ref(column).isNull() | (ref(column) >= F.lit(as_of - timedelta(days=days))))
