@@ -11,7 +11,9 @@ from dataclasses import dataclass, field, replace
 from datetime import datetime
 from graphlib import TopologicalSorter
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyloom.operators.columns import drop_columns
 from tallyloom.plans.steps import Context
@@ -113,12 +115,31 @@ def run_platform(
                 result.loaded[name] = LoadStats()
             else:
                 sink = target(spec.table, rows, table)
+                arrived = with_arrival(rows)
+                if spec.keys and not spec.order and ARRIVAL in arrived.columns:
+                    rows, spec = arrived, replace(spec, order=(ARRIVAL,))
                 result.loaded[name] = load_table(sink, rows, spec, execution_id, ctx.run_ts.date())
         except Exception as e:  # one table must not stop the others
             result.failed[name] = f"{type(e).__name__}: {e}".splitlines()[0]
     return result
 
 
+ARRIVAL = "__arrival"
+
+
+def with_arrival(rows: DataFrame) -> DataFrame:
+    """``rows`` with their order of arrival: time and name of the landing file, its block, and the place in what a task reads of it.
+
+    Spark keeps the file columns of a scan in reach through selects, filters and explodes, so
+    the steps need not carry them. Behind a roll-up or a join there is no arrival any more; such rows come back as they are.
+    """
+    source = F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("place"))
+    try:
+        return rows.withColumn(ARRIVAL, source)
+    except AnalysisException:
+        return rows
+
+
 def snapshot_targets(spark: SparkSession, root: str) -> Callable[[str, DataFrame, TableDef], SnapshotTable]:
     """Targets under a folder; the first load fixes a table's schema."""
 

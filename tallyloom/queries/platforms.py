@@ -58,6 +58,25 @@ def platform_campaigns(spark, sf_dir):
     )
 
 
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS campaign_id, CASE WHEN o_orderstatus = 'F' THEN 'ACTIVE' ELSE 'PAUSED' END AS status, o_orderpriority AS objective
+FROM orders
+""")
+def platform_arrival(spark, sf_dir):
+    """Of a key's repeats within one batch the last to arrive counts, here one whose value sorts before the first's."""
+    path, targets = scratch_path(spark, "arrival"), snapshot_targets(spark, scratch_path(spark, "arrival-targets"))
+    _fb_campaigns(spark, sf_dir, F.lit("PAUSED")).write.json(path)
+    later = _fb_campaigns(spark, sf_dir, F.when(F.col("o_orderstatus") == "F", "ACTIVE")).filter("status IS NOT NULL")
+    later.write.mode("append").json(path)
+    opened = {}
+
+    def target(name, rows, table):
+        return opened.setdefault(name, targets(name, rows, table))
+
+    run_platform("facebook", FACEBOOK_TABLES, lambda table: read_records(spark, path, table.landing), target, Context(RUN_TS), "arrival", ["fb_ads_campaign"])
+    return opened["fb_ads_campaign"].read().select("campaign_id", "status", "objective")
+
+
 @query("""
 SELECT 'fb_ads_campaign' AS name, TRUE AS success, count(*) AS rows_from_api, count(*) AS rows_inserted, 'partial_success' AS status FROM orders
 UNION ALL SELECT 'fb_ads_ad_set', FALSE, 0, 0, 'partial_success'

@@ -159,12 +159,14 @@ class SnapshotTable:
             return LoadStats.from_row(state.done)
         entry = state.current
         version = (entry.version if entry else 0) + 1
-        batch = align_to_schema(batch, self.schema, spec.keys, as_of)
+        # An order that is no column of the table ranks the batch and goes.
+        ranks = [batch.schema[c] for c in spec.order if c not in self.schema.names]
+        batch = align_to_schema(batch, T.StructType([*self.schema.fields, *ranks]), spec.keys, as_of)
         target = self._read(entry)
         stats = LoadStats.from_row(load_counts(batch, target, spec).first())
         if stats.rows_from_api == 0 and not (spec.allow_empty and spec.mode == "replace"):
             return LoadStats()
-        new = prepare_batch(batch, spec)
+        new = prepare_batch(batch, spec).drop(*[f.name for f in ranks])
         label = f"v{version:06d}-{re.sub('[^A-Za-z0-9]+', '-', batch_id)}"
         if self.partition_by and spec.mode == "replace":
             # May empty partitions, which a dynamic overwrite would keep.
