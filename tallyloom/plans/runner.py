@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators.columns import drop_columns
+from tallyloom.plans.compiled import keyed
 from tallyloom.plans.steps import Context
 from tallyloom.plans.tables import TableDef
 from tallyloom.schemas import SUMMARY
@@ -103,6 +104,8 @@ def run_platform(
         table = tables[name]
         try:
             rows = table.transform(read(table), ctx)
+            if table.guess_keys and not dry_run:
+                table = keyed(table, rows)
             spec = replace(table.load, table=target_name(name, test))
             if tenant and spec.mode == "replace":
                 spec = replace(spec, scope={tenant[0]: list(tenant[1])})

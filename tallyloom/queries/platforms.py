@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyloom.plans.compiled import compile_tables, load_config, planned
 from tallyloom.plans.runner import run_platform, snapshot_targets
 from tallyloom.plans.steps import Context
 from tallyloom.plans.tables import FACEBOOK_TABLES, GOOGLE_TABLES
 from tallyloom.queries.registry import RUN_TS, day_text, query, tab
 from tallyloom.session import scratch_path
-from tallyloom.sources.records import read_records
+from tallyloom.sinks.spec import target_name
+from tallyloom.sources.records import read_records, union_wide
 from tallyloom.sources.summaries import read_summaries, write_summaries
 
 
@@ -90,6 +92,61 @@ def platform_run_counts(spark, sf_dir):
     return read_summaries(spark, path, RUN_TS.date()).select("status", F.explode("tables").alias("t")).select("t.name", "t.success", "t.rows_from_api", "t.rows_inserted", "status")
 
 
+_CONFIG = """
+tables:
+  daily_spend:
+    processing:
+      - drop_null_rows: {columns: [campaign_id]}
+    upsert: {enabled: true}
+  click_totals:
+    landing: daily_spend
+    increment: {pk_columns: [campaign_id, date], increment_columns: [clicks]}
+    after: [daily_spend]
+  spend_alerts:
+    landing: daily_spend
+    avoid_insert_data: true
+  mixed_days:
+    upsert: {enabled: true}
+"""
+
+
+@query("""
+WITH days AS (SELECT o_custkey AS campaign_id, o_orderdate AS day, count(*) AS clicks FROM orders GROUP BY 1, 2)
+SELECT 'daily_spend_TEST' AS name, 'upsert' AS mode, 'campaign_id,date' AS keys, 'loaded' AS state, count(*) AS rows, CAST(sum(clicks) AS BIGINT) AS clicks FROM days WHERE campaign_id % 10 <> 0
+UNION ALL SELECT 'click_totals_TEST', 'increment', 'campaign_id,date', 'loaded', count(*), 2 * CAST(sum(clicks) AS BIGINT) FROM days WHERE campaign_id % 10 <> 0
+UNION ALL SELECT 'spend_alerts', 'append', '', 'alert', 2 * count(*), 2 * CAST(sum(clicks) AS BIGINT) FROM days
+UNION ALL SELECT 'mixed_days', 'upsert', 'campaign_id,date', 'failed', 0, 0
+""")
+def config_run(spark, sf_dir):
+    """A written config is compiled and run twice on test tables: modes from its sections, keys from column names, proved; one table's guess is wrong and fails alone."""
+    path, root = scratch_path(spark, "config"), scratch_path(spark, "config-tables")
+    spark.createDataFrame([(_CONFIG,)], "value string").coalesce(1).write.text(path)
+    tables = compile_tables(load_config(spark, path))
+    days = tab(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("campaign_id"), day_text(F.col("o_orderdate")).alias("date")).agg(F.count(F.lit(1)).alias("clicks"))
+    named = days.withColumn("campaign_id", F.when(F.col("campaign_id") % 10 != 0, F.col("campaign_id").cast("string")))
+    same_day = days.select(F.lit("1").alias("campaign_id"), F.lit("2024-01-01").alias("date"), F.col("campaign_id").alias("clicks"))
+    paths = {"daily_spend": scratch_path(spark, "daily-spend"), "mixed_days": scratch_path(spark, "mixed-days")}
+    named.write.json(paths["daily_spend"])
+    same_day.write.json(paths["mixed_days"])
+    landed = {k: spark.read.schema("campaign_id string, date string, clicks bigint").json(p) for k, p in paths.items()}
+    targets, opened = snapshot_targets(spark, root), {}
+
+    def target(name, rows, table):
+        return opened.setdefault(name, targets(name, rows, table))
+
+    for number in (1, 2):
+        result = run_platform("config", tables, lambda table: landed[table.landing], target, Context(RUN_TS), f"config-{number}", alerts=root, test=True)
+    shown = []
+    for name, mode, keys in planned(tables, landed, Context(RUN_TS)):
+        alert = tables[name].load.alert_only
+        state = "failed" if name in result.failed else "alert" if alert else "loaded"
+        test_name = target_name(name, True)
+        rows = spark.read.parquet(f"{root}/alerts/{name}") if alert else opened[test_name].read() if state == "loaded" else landed[tables[name].landing].limit(0)
+        totals = rows.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("clicks"), F.lit(0)).alias("clicks"))
+        shown.append(totals.select(F.lit(test_name if state == "loaded" else name).alias("name"), F.lit(mode).alias("mode"), F.lit(keys).alias("keys"), F.lit(state).alias("state"), "rows", "clicks"))
+    return union_wide(*shown)
+
+
 @query("""
 SELECT CAST(l_partkey AS VARCHAR) AS ad_id, l_returnflag AS device, CAST(min(l_linenumber) AS BIGINT) AS clicks, CAST(min(l_linenumber) AS DOUBLE) * 2 AS cost,
        CAST(l_partkey % 5 AS VARCHAR) AS customer_id_google

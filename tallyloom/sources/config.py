@@ -13,8 +13,12 @@ from tallyloom.sinks.spec import LoadSpec, choose_mode
 
 def read_config(path: str) -> dict[str, Any]:
     """A JSON file, or a YAML file where a YAML parser is installed."""
-    text = Path(path).read_text(encoding="utf-8")
-    if path.endswith(".json"):
+    return parse_config(Path(path).read_text(encoding="utf-8"))
+
+
+def parse_config(text: str) -> dict[str, Any]:
+    """JSON, or YAML where a YAML parser is installed."""
+    if text.lstrip().startswith("{"):
         return json.loads(text)
     try:
         import yaml
