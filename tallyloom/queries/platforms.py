@@ -11,6 +11,7 @@ from tallyloom.plans.tables import FACEBOOK_TABLES, GOOGLE_TABLES
 from tallyloom.queries.registry import RUN_TS, day_text, query, tab
 from tallyloom.session import scratch_path
 from tallyloom.sinks.spec import target_name
+from tallyloom.sources.files import Inbox
 from tallyloom.sources.records import read_records, union_wide
 from tallyloom.sources.summaries import read_summaries, write_summaries
 
@@ -165,3 +166,20 @@ def platform_device_costs(spark, sf_dir):
     return targets["google_ads_cost_by_device"].read().select(
         "ad_id", "device", F.col("clicks").cast("bigint").alias("clicks"), F.col("cost_micros").cast("double").alias("cost"), "customer_id_google"
     )
+
+
+@query("""
+SELECT CASE o_orderstatus WHEN 'F' THEN 1 ELSE 2 END AS run, o_orderpriority AS objective, count(*) AS rows FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1, 2
+""")
+def inbox_runs(spark, sf_dir):
+    """Files arrive before the first and the second run; each run reads the new ones, a third finds none."""
+    root, state = scratch_path(spark, "inbox"), scratch_path(spark, "inbox-state")
+    inbox, runs = Inbox(spark, root, state, "orders"), []
+    for run, status in ((1, "F"), (2, "O"), (3, None)):
+        if status:
+            _fb_campaigns(spark, sf_dir, F.col("o_orderstatus")).filter(F.col("status") == status).write.mode("append").json(root)
+        files = inbox.new_files("*.json")
+        rows = inbox.rows(files, "id string, status string, objective string")
+        runs.append(rows.groupBy("objective").agg(F.count(F.lit(1)).alias("rows")).withColumn("run", F.lit(run)))
+        inbox.done(files, f"run-{run}")
+    return union_wide(*runs).select("run", "objective", "rows")

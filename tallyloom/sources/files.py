@@ -7,6 +7,11 @@ from datetime import datetime
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tallyloom.session import staged
+from tallyloom.sinks.snapshot import SnapshotTable
+from tallyloom.sinks.spec import LoadSpec
 
 
 def list_files(spark: SparkSession, root: str, since: datetime | None = None, pattern: str | None = None) -> DataFrame:
@@ -21,6 +26,48 @@ def list_files(spark: SparkSession, root: str, since: datetime | None = None, pa
     return files.withColumn("name", F.substring_index("path", prefix, -1))
 
 
+SEEN = T.StructType([T.StructField("source", T.StringType()), T.StructField("name", T.StringType()), T.StructField("modified", T.TimestampType())])
+
+
+class Inbox:
+    """The files under ``root`` that no earlier run has read, after a stored high-water mark.
+
+    A run reads files no older than the newest one read so far, so the scan itself leaves the rest out, and
+    of those of just that time only names not read. ``done`` stores what a run has read, once for its batch id.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, state: str, source: str):
+        self.spark, self.root, self.source = spark, root.rstrip("/"), source
+        self.seen = SnapshotTable(spark, state, SEEN)
+
+    def _read_before(self) -> DataFrame:
+        return self.seen.read().filter(F.col("source") == self.source)
+
+    def new_files(self, pattern: str | None = None) -> DataFrame:
+        """As list_files(), new ones only; fixed when called."""
+        before = self._read_before()
+        mark = before.agg(F.max("modified")).first()[0]
+        listed = list_files(self.spark, self.root, mark, pattern)
+        latest = before.filter(F.col("modified") >= F.lit(mark)) if mark else before
+        return staged(listed.join(latest.select("name"), "name", "left_anti"), "new-files")
+
+    def rows(self, files: DataFrame, schema: T.StructType | str, fmt: str = "json") -> DataFrame:
+        """Rows of these files; other files are not opened."""
+        every = self.spark.read.schema(schema).option("recursiveFileLookup", "true").format(fmt).load(self.root)
+        span = files.agg(F.min("modificationTime").alias("lo"), F.max("modificationTime").alias("hi")).first()
+        if span["lo"] is None:
+            return every.limit(0)
+        names = F.col("_metadata.file_path").alias("__file")
+        timed = every.filter(F.col("_metadata.file_modification_time").between(F.lit(span["lo"]), F.lit(span["hi"]))).select("*", names)
+        base = lambda c: F.regexp_replace(c, "^file:/+", "/")
+        wanted = files.select(base(F.col("path")).alias("__base"))
+        return timed.withColumn("__base", base(F.col("__file"))).join(wanted, "__base", "left_semi").drop("__file", "__base")
+
+    def done(self, files: DataFrame, batch_id: str) -> None:
+        marks = files.select(F.lit(self.source).alias("source"), "name", F.col("modificationTime").alias("modified"))
+        self.seen.load(marks, LoadSpec("seen", ("source", "name"), "upsert", order=("modified",)), batch_id)
+
+
 def file_names(spark: SparkSession, root: str, suffix: str = "") -> DataFrame:
     """Distinct existing names."""
     names = list_files(spark, root).select(F.regexp_extract("path", r"[^/]+$", 0).alias("name"))
