@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 from tallyloom.plans.compiled import compile_tables, load_config, planned
 from tallyloom.plans.runner import run_platform, snapshot_targets
 from tallyloom.plans.steps import Context
-from tallyloom.plans.tables import FACEBOOK_TABLES, GOOGLE_TABLES
+from tallyloom.plans.tables import FACEBOOK_TABLES, GOOGLE_TABLES, LINKEDIN_TABLES, ORGANIC_TABLES
 from tallyloom.queries.registry import RUN_TS, day_text, query, tab
 from tallyloom.session import scratch_path
 from tallyloom.sinks.spec import target_name
 from tallyloom.sources.files import Inbox
-from tallyloom.sources.records import read_records, union_wide
+from tallyloom.sources.records import account_join, read_records, union_wide
 from tallyloom.sources.summaries import read_summaries, write_summaries
 
 
-def _run(spark, platform, tables, landings, only):
+def _run(spark, platform, tables, landings, only, dims=None):
     """One run for each landing, all on the same targets: the results and the open targets."""
     targets, opened, results = snapshot_targets(spark, scratch_path(spark, platform)), {}, []
 
@@ -32,7 +32,7 @@ def _run(spark, platform, tables, landings, only):
         def read(table, paths=paths):
             return read_records(spark, paths[table.landing], table.landing)
 
-        results.append(run_platform(platform, tables, read, target, Context(RUN_TS), f"run-{number}", only))
+        results.append(run_platform(platform, tables, read, target, Context(RUN_TS, dims or {}), f"run-{number}", only))
     return results, opened
 
 
@@ -183,3 +183,61 @@ def inbox_runs(spark, sf_dir):
         runs.append(rows.groupBy("objective").agg(F.count(F.lit(1)).alias("rows")).withColumn("run", F.lit(run)))
         inbox.done(files, f"run-{run}")
     return union_wide(*runs).select("run", "objective", "rows")
+
+
+@query("""
+SELECT CASE WHEN c_custkey % 2 = 0 THEN 'urn:li:sponsoredAccount:' ELSE '' END || c_custkey AS id, c_name AS name, c_mktsegment AS type,
+       CAST(CASE WHEN c_custkey % 5 = 0 AND c_custkey % 2 <> 0 THEN c_nationkey + 100 ELSE 1 END AS INT) AS companyid
+FROM customer WHERE c_custkey % 3 = 0
+""")
+def linkedin_accounts(spark, sf_dir):
+    """Accounts land by id or URN and are asked for by id or URN; the company is known for every fifth, by the id alone."""
+    customers = tab(spark, sf_dir, "customer")
+    key, urn = F.col("c_custkey").cast("string"), F.concat(F.lit("urn:li:sponsoredAccount:"), F.col("c_custkey").cast("string"))
+    landing = customers.select(F.when(F.col("c_custkey") % 2 == 0, urn).otherwise(key).alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("type"))
+    wanted = customers.filter("c_custkey % 3 = 0").select(F.when(F.col("c_custkey") % 4 == 0, urn).otherwise(key).alias("account"))
+    companies = customers.filter("c_custkey % 5 = 0").select(key.alias("account_id"), (F.col("c_nationkey") + 100).cast("int").alias("company_id"))
+    landed = account_join(landing, wanted)
+    _, targets = _run(spark, "linkedin_ads", LINKEDIN_TABLES, [{"linkedin_account": landed}], ["linkedin_ads_account"], {"companies": companies})
+    return targets["linkedin_ads_account"].read().select("id", "name", "type", F.col("companyid").cast("int").alias("companyid"))
+
+
+@query("""
+SELECT CAST(o_custkey AS VARCHAR) AS organization_id, strftime(o_orderdate, '%Y-%m-%d') AS date, CAST(count(*) AS BIGINT) AS organic_follower_gain,
+       CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS paid_follower_gain, CAST(count(*) + count_if(o_orderstatus = 'F') AS BIGINT) AS net_follower_change
+FROM orders GROUP BY 1, 2
+""")
+def organic_followers(spark, sf_dir):
+    """Follower gains land as nested JSON by organization and day and are upserted."""
+    days = tab(spark, sf_dir, "orders").groupBy("o_custkey", "o_orderdate").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_orderstatus") == "F").alias("paid"))
+    start = F.unix_millis(F.to_utc_timestamp(F.col("o_orderdate").cast("timestamp"), F.current_timezone()))
+    landing = days.select(
+        F.col("o_custkey").cast("string").alias("_organization_id"),
+        F.struct(start.alias("start"), (start + 86_400_000).alias("end")).alias("timeRange"),
+        F.struct(F.col("n").alias("organicFollowerGain"), F.when(F.col("paid") > 0, F.col("paid")).alias("paidFollowerGain")).alias("followerGains"),
+    )
+    _, targets = _run(spark, "linkedin_posts", ORGANIC_TABLES, [{"organic_followers": landing}], ["linkedin_organic_followers"])
+    gains = ["organic_follower_gain", "paid_follower_gain", "net_follower_change"]
+    return targets["linkedin_organic_followers"].read().select("organization_id", day_text(F.col("date")).alias("date"), *[F.col(c).cast("bigint").alias(c) for c in gains])
+
+
+@query("""
+SELECT CAST(user_id AS VARCHAR) AS organization_id, strftime(max(ts), '%Y-%m-%d') AS date, CAST(count(*) AS BIGINT) AS all_page_views,
+       CAST(count(DISTINCT event_type) AS BIGINT) AS unique_page_views, CAST(count_if(event_type = 'click') AS BIGINT) AS jobs_page_views, CAST(0 AS BIGINT) AS careers_page_views
+FROM events GROUP BY user_id
+""")
+def organic_page_stats(spark, sf_dir):
+    """Nested page statistics land with some counts left out, which are 0."""
+    users = tab(spark, sf_dir, "events").groupBy("user_id").agg(
+        F.max(F.col("ts").cast("timestamp")).alias("last"), F.count(F.lit(1)).alias("n"), F.count_distinct("event_type").alias("kinds"), F.count_if(F.col("event_type") == "click").alias("clicks")
+    )
+    views = lambda c: F.struct(F.col(c).alias("pageViews"))
+    start = F.unix_millis("last")
+    landing = users.select(
+        F.col("user_id").cast("string").alias("_organization_id"),
+        F.struct(F.struct(views("n").alias("allPageViews"), views("kinds").alias("uniquePageViews"), views("clicks").alias("jobsPageViews")).alias("views")).alias("totalPageStatistics"),
+        F.struct(start.alias("start"), start.alias("end")).alias("timeRange"),
+    )
+    _, targets = _run(spark, "linkedin_posts", ORGANIC_TABLES, [{"organic_page_stats": landing}], ["linkedin_organic_page_stats"])
+    counts = ["all_page_views", "unique_page_views", "jobs_page_views", "careers_page_views"]
+    return targets["linkedin_organic_page_stats"].read().select("organization_id", day_text(F.col("date")).alias("date"), *[F.col(c).cast("bigint").alias(c) for c in counts])

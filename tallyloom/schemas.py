@@ -32,9 +32,9 @@ def mapping(value) -> T.MapType:
     return T.MapType(T.StringType(), _SIMPLE[value] if isinstance(value, str) else value)
 
 
-def columns(text: str, **types: str) -> T.StructType:
-    """Space-separated names, text unless typed."""
-    return struct(**{n: types.get(n, "string") for n in text.split()})
+def columns(*names: str, **types: str) -> T.StructType:
+    """Named columns, text unless typed."""
+    return struct(**{n: types.get(n, "string") for n in names})
 
 
 _customer = struct(id="string", resourceName="string")
@@ -48,10 +48,11 @@ _metrics = struct(
 _views = struct(
     **{
         n: struct(pageViews="long")
+        # Names in the API's answers.
         for n in (
-            "allPageViews uniquePageViews allDesktopPageViews allMobilePageViews "
-            "overviewPageViews careersPageViews jobsPageViews lifeAtPageViews"
-        ).split()
+            "allPageViews", "uniquePageViews", "allDesktopPageViews", "allMobilePageViews",
+            "overviewPageViews", "careersPageViews", "jobsPageViews", "lifeAtPageViews",
+        )
     }
 )
 _range = struct(start="long", end="long")
@@ -75,8 +76,7 @@ POST = struct(
 
 LANDING: dict[str, T.StructType] = {
     # Google
-    "google_account": columns(
-        "id descriptiveName manager status currencyCode timeZone level clientCustomer managerId", manager="bool"
+    "google_account": columns("id", "descriptiveName", "manager", "status", "currencyCode", "timeZone", "level", "clientCustomer", "managerId", manager="bool"
     ),
     "google_campaign": struct(
         customer=_customer,
@@ -100,23 +100,20 @@ LANDING: dict[str, T.StructType] = {
         adGroupAd=struct(ad=struct(id="string"), policySummary=struct(approvalStatus="string", reviewStatus="string")),
     ),
     # Facebook: metrics arrive as text
-    "fb_campaign": columns("id status configured_status effective_status created_time objective"),
-    "fb_ad_set": columns("id campaign_id start_time end_time destination_type"),
+    "fb_campaign": columns("id", "status", "configured_status", "effective_status", "created_time", "objective"),
+    "fb_ad_set": columns("id", "campaign_id", "start_time", "end_time", "destination_type"),
     "fb_audience_adset": struct(
         id="string", campaign_id="string", targeting=struct(custom_audiences=array(struct(id="string", name="string")))
     ),
-    "fb_custom_conversion": columns("id custom_event_type rule"),
-    "fb_insight": columns(
-        "account_id campaign_id adset_id ad_id ad_name spend impressions reach inline_link_clicks "
-        "inline_link_click_ctr clicks ctr cpc cpm date_start date_stop"
-    ),
+    "fb_custom_conversion": columns("id", "custom_event_type", "rule"),
+    "fb_insight": columns("account_id", "campaign_id", "adset_id", "ad_id", "ad_name", "spend", "impressions", "reach", "inline_link_clicks", "inline_link_click_ctr", "clicks", "ctr", "cpc", "cpm", "date_start", "date_stop"),
     "fb_insight_actions": struct(
         ad_id="string", actions=array(struct(action_type="string", action_target_id="string", value="string"))
     ),
-    "fb_insight_placement": columns("campaign_id publisher_platform impressions spend clicks ctr cpc cpm date_start date_stop"),
-    "fb_insight_demographics": columns("campaign_id age gender impressions spend clicks ctr cpc cpm date_start date_stop"),
+    "fb_insight_placement": columns("campaign_id", "publisher_platform", "impressions", "spend", "clicks", "ctr", "cpc", "cpm", "date_start", "date_stop"),
+    "fb_insight_demographics": columns("campaign_id", "age", "gender", "impressions", "spend", "clicks", "ctr", "cpc", "cpm", "date_start", "date_stop"),
     # LinkedIn ads
-    "linkedin_account": columns("id name currency status type"),
+    "linkedin_account": columns("id", "name", "currency", "status", "type"),
     "linkedin_campaign": struct(
         id="string", name="string", account="string", status="string", totalBudget=_money, dailyBudget=_money, unitCost=_money,
         runSchedule=struct(start="long", end="long"),
@@ -130,7 +127,7 @@ LANDING: dict[str, T.StructType] = {
             follow="string", reference="string", spotlight="string", jobs="string", documentAd="string", thirdPartyVastTagVideoAd="string"
         ),
     ),
-    "linkedin_audience": columns("id name account status type"),
+    "linkedin_audience": columns("id", "name", "account", "status", "type"),
     "linkedin_insights": struct(
         dateRange=struct(start=_day, end=_day), pivotValues=array("string"), clicks="long", impressions="long", likes="long",
         comments="long", shares="long", reactions="long", actionClicks="long", adUnitClicks="long", landingPageClicks="long",
@@ -160,9 +157,7 @@ LANDING: dict[str, T.StructType] = {
         followerCountsByStaffCountRange=_followers("staffCountRange"),
     ),
     # SMS and newsletter
-    "render_log": columns(
-        "MESSAGE_ID MESSAGE_EXTERNALID USER_ID RENDER_TIMESTAMP SENTTOMTA_SENDOUTCHANNEL",
-        MESSAGE_ID="long", USER_ID="long", RENDER_TIMESTAMP="ts",
+    "render_log": columns("MESSAGE_ID", "MESSAGE_EXTERNALID", "USER_ID", "RENDER_TIMESTAMP", "SENTTOMTA_SENDOUTCHANNEL", MESSAGE_ID="long", USER_ID="long", RENDER_TIMESTAMP="ts",
     ),
     "sms_statistics": struct(
         message_id="long", sendoutStartDate="long", statisticValues=array(struct(name="string", value="string"))
@@ -184,13 +179,8 @@ SUMMARY = struct(
 )
 TABLE_STATS = _table_stats
 
-SMS_CAMPAIGN = columns(
-    "message_id activity_id campaign_name company_id sms_text sendout_date sent_count delivered_count bounced_count "
-    "acceptance_rate load_date",
-    message_id="long", company_id="int", sendout_date="ts", sent_count="long", delivered_count="long", bounced_count="long",
+SMS_CAMPAIGN = columns("message_id", "activity_id", "campaign_name", "company_id", "sms_text", "sendout_date", "sent_count", "delivered_count", "bounced_count", "acceptance_rate", "load_date", message_id="long", company_id="int", sendout_date="ts", sent_count="long", delivered_count="long", bounced_count="long",
     acceptance_rate="rate", load_date="date",
 )
-SMS_LINK = columns(
-    "message_id activity_id bitly_short_url bitly_long_url total_clicks load_date",
-    message_id="long", total_clicks="long", load_date="date",
+SMS_LINK = columns("message_id", "activity_id", "bitly_short_url", "bitly_long_url", "total_clicks", "load_date", message_id="long", total_clicks="long", load_date="date",
 )

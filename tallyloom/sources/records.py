@@ -41,3 +41,14 @@ def account_match(df: DataFrame, accounts: Sequence[str], col: str = "id") -> Da
     from tallyloom.functions.text import urn_tail
 
     return df.filter(urn_tail(ref(col).cast("string")).isin(*accounts))
+
+
+def account_join(df: DataFrame, accounts: DataFrame, col: str = "id", account: str = "account") -> DataFrame:
+    """S19 for a table of wanted accounts: each side may hold ids or URNs, and both are brought to the tail, so one equi-join decides."""
+    from pyspark.sql import functions as F
+
+    from tallyloom.functions.text import urn_tail
+
+    tail = lambda c: F.nullif(urn_tail(ref(c).cast("string")), F.lit(""))
+    wanted = accounts.select(tail(account).alias("__tail")).distinct()
+    return df.withColumn("__tail", tail(col)).join(wanted, "__tail", "left_semi").drop("__tail")
