@@ -60,7 +60,8 @@ def sampled_ids(known: DataFrame, by: str, most: int) -> DataFrame:
     """
     sized = known.groupBy(by).agg(F.approx_count_distinct("doc_id").alias("_ids"))
     drawn = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(1 << 30)) < F.lit(4.0 * most * (1 << 30)) / F.col("_ids")
-    ids = known.select("doc_id", by).join(sized, by).where(drawn).select("doc_id", by).distinct()
+    # One row a value goes to all tasks: joined by shuffle, a value's rows would meet in one before they are cut.
+    ids = known.select("doc_id", by).join(F.broadcast(sized), by).where(drawn).select("doc_id", by).distinct()
     rank = Window.partitionBy(by).orderBy(F.xxhash64("doc_id"), "doc_id")
     return ids.withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= most)
 

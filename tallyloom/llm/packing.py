@@ -30,7 +30,7 @@ TOKENIZER = "word_bpe_49k.json"
 # Documents that one packing task handles; a task leaves at most a few sequences part-filled.
 DOCS_PER_GROUP = 16_384
 # Words remembered per worker; beyond, the memory starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 
 # Letters that no normal form changes, and the marks behind them, which are a part of their own.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
