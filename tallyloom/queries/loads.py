@@ -264,7 +264,7 @@ bad AS (SELECT DISTINCT tenant FROM lines WHERE clicks IS NULL)
 SELECT tenant, CAST(count(*) AS BIGINT) AS rows_from_api,
        CASE WHEN tenant IN (FROM bad) THEN 0 ELSE count(DISTINCT id) FILTER (id % 2 <> 0) END AS rows_inserted,
        CASE WHEN tenant IN (FROM bad) THEN 0 ELSE count(DISTINCT id) FILTER (id % 2 = 0) END AS rows_updated,
-       count_if(clicks IS NULL) AS failed_rows, CASE WHEN tenant IN (FROM bad) THEN 'failed' ELSE 'success' END AS status
+       CAST(count_if(clicks IS NULL) AS BIGINT) AS failed_rows, CASE WHEN tenant IN (FROM bad) THEN 'failed' ELSE 'success' END AS status
 FROM lines GROUP BY tenant
 """)
 def tenant_load_counts(spark, sf_dir):

@@ -74,7 +74,7 @@ def stream_daily_metrics(spark, sf_dir):
 @query("""
 WITH rows AS (SELECT *, event_id % 2 AS part, (SELECT max(ts) FROM events WHERE event_id % 2 = 0) - INTERVAL 1 DAY AS mark FROM events)
 SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value,
-       count_if(part <> 0 AND date_trunc('day', ts) + INTERVAL 1 DAY <= mark) AS late_events
+       CAST(count_if(part <> 0 AND date_trunc('day', ts) + INTERVAL 1 DAY <= mark) AS BIGINT) AS late_events
 FROM rows GROUP BY 1, 2
 """)
 def stream_late_rows(spark, sf_dir):
