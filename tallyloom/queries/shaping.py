@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +14,7 @@ from tallyloom.operators.columns import ref
 from tallyloom.plans.steps import Context
 from tallyloom.plans.tables import GOOGLE_TABLES, google_table
 from tallyloom.queries.registry import RUN_TS, day_text, query, r4, tab
+from tallyloom.session import scratch_path
 from tallyloom.sources import report_csv
 
 
@@ -356,3 +358,59 @@ def pct_and_ratio(spark, sf_dir):
         numbers.to_number(F.when(bad, "NaN").otherwise(F.col("l_extendedprice").cast("string"))).alias("number"),
         r4(numbers.ratio(F.col("l_extendedprice"), F.col("l_linenumber") - 1)).alias("guarded"),
     )
+
+
+def _quoted(text: Column) -> Column:
+    return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+def _write_reports(rows, path, header):
+    """Report files, one for each ``file``, of rows (file, ord, line): a preamble with a line break, the header, rows, a footer with one."""
+    files = rows.select("file").distinct()
+    edges = F.array(
+        F.struct(F.lit(-2).cast("bigint").alias("ord"), F.lit('"Report:\nall ads"').alias("line")),
+        F.struct(F.lit(-1).cast("bigint").alias("ord"), F.lit(header).alias("line")),
+        F.struct(F.lit(1 << 62).alias("ord"), F.lit('"© 2024\nMicrosoft Corporation",,7,7').alias("line")),
+    )
+    every = rows.unionByName(files.select("file", F.inline(edges)))
+    every.repartition("file").sortWithinPartitions("file", "ord").select("file", "line").write.partitionBy("file").text(path)
+
+
+_REPORT_LINES = """
+SELECT 'Ad' AS report, CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority || chr(10) || '"' || o_orderstatus || '", ' || CAST(o_custkey AS VARCHAR) AS name,
+       CAST(o_custkey AS DOUBLE) AS clicks FROM orders
+UNION ALL SELECT 'Campaign', CAST(l_orderkey AS VARCHAR), l_linestatus || chr(10) || chr(10) || l_returnflag, CAST(l_linenumber AS DOUBLE) FROM lineitem
+UNION ALL SELECT 'PublisherUsage', CAST(user_id AS VARCHAR), props || chr(10) || event_type, CAST(event_id AS DOUBLE) FROM events
+UNION ALL SELECT 'Geographic', CAST(c_custkey AS VARCHAR), c_mktsegment || chr(10) || 'area, ' || CAST(c_nationkey AS VARCHAR), CAST(c_nationkey AS DOUBLE) FROM customer
+"""
+
+
+@query(_REPORT_LINES)
+def report_files(spark, sf_dir):
+    """Written files of the four report types, line breaks, quotes and commas in their cells, read in many splits."""
+    text = lambda c: F.col(c).cast("string")
+    kinds = {
+        "Ad": ("orders", "o_orderkey", F.concat("o_orderpriority", F.lit('\n"'), "o_orderstatus", F.lit('", '), text("o_custkey")), "o_custkey", "AdId", "CampaignName"),
+        "Campaign": ("lineitem", "l_orderkey", F.concat("l_linestatus", F.lit("\n\n"), "l_returnflag"), "l_linenumber", "CampaignId", "CampaignName"),
+        "PublisherUsage": ("events", "user_id", F.concat("props", F.lit("\n"), "event_type"), "event_id", "CampaignId", "PublisherUrl"),
+        "Geographic": ("customer", "c_custkey", F.concat("c_mktsegment", F.lit("\narea, "), text("c_nationkey")), "c_nationkey", "CampaignId", "City"),
+    }
+    size = "spark.sql.files.maxPartitionBytes"
+    usual, out = spark.conf.get(size), None
+    for report, (table, key, name, clicks, key_name, name_name) in kinds.items():
+        rows = tab(spark, sf_dir, table).select(
+            F.concat(F.lit("part"), (F.col(key) % 4).cast("string")).alias("file"),
+            F.col(clicks).cast("bigint").alias("ord"),
+            F.concat_ws(",", _quoted(name), F.lit("2024-01-01"), F.concat(text(key), F.lit(".0")), text(clicks)).alias("line"),
+        )
+        path = scratch_path(spark, f"report-{report}")
+        _write_reports(rows, path, f"{name_name},TimePeriod,{key_name},Clicks")
+        # Splits that cut cells, also in small files; lines are read once, here.
+        spark.conf.set(size, str(256 << 10))
+        try:
+            read = report_csv.read_report(spark, path, report)
+        finally:
+            spark.conf.set(size, usual)
+        one = read.select(F.lit(report).alias("report"), F.col(key_name).alias("id"), F.col(name_name).alias("name"), F.col("Clicks").alias("clicks"))
+        out = one if out is None else out.unionByName(one)
+    return out
