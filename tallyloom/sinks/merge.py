@@ -64,14 +64,36 @@ def _scope_filter(target: DataFrame, spec: LoadSpec) -> Column:
     raise ValueError(f"{spec.table}: no usable scope in {dict(spec.scope)}")
 
 
-def _with_updates(target: DataFrame, new: DataFrame, keys: list[str], updates: dict[str, Column]) -> DataFrame:
-    joined = target.join(_new_side(new), _match(keys), "left")
+def _updates(target: DataFrame, new: DataFrame, spec: LoadSpec) -> dict[str, Column]:
+    """K5, K6: what a known row takes from the batch, by column."""
+    if spec.mode == "upsert":
+        return {c: ref(f"__n_{c}") for c in (target.columns if spec.update is None else spec.update)}
+    sums = {
+        # Cast: a sum of decimals is a wider type than the target's.
+        c: (F.coalesce(ref(c), F.lit(0)) + F.coalesce(ref(f"__n_{c}"), F.lit(0))).cast(target.schema[c].dataType)
+        for c in spec.increment
+    }
+    return sums | {c: ref(f"__n_{c}") for c in target.columns if c.lower() in LOAD_DATES}
+
+
+def changed_rows(new: DataFrame, target: DataFrame, spec: LoadSpec) -> DataFrame:
+    """K5, K6: the target's rows after a prepared batch, with ``__change`` where the batch knows them.
+
+    One pass over the target. The batch is the side Spark may broadcast, so a small one leaves the target
+    where it is. Rows that are new are those of the batch whose key has no changed row.
+    """
+    keys, updates = key_columns(new, spec), _updates(target, new, spec)
     hit = ref(f"__n_{keys[0]}").isNotNull()
-    kept = joined.select(
-        *[(F.when(hit, updates[c]).otherwise(ref(c)) if c in updates else ref(c)).alias(c) for c in target.columns]
+    joined = target.join(_new_side(new), _match(keys), "left")
+    return joined.select(
+        *[(F.when(hit, updates[c]).otherwise(ref(c)) if c in updates else ref(c)).alias(c) for c in target.columns], hit.alias("__change")
     )
-    fresh = new.join(key_side(target, keys, unique=True), same_key(keys, null_safe=False), "left_anti")
-    return kept.unionByName(fresh.select(*map(ref, target.columns)))
+
+
+def fresh_rows(new: DataFrame, known: DataFrame, spec: LoadSpec) -> DataFrame:
+    """Rows of the batch whose key is not among the known ones."""
+    keys = key_columns(new, spec)
+    return new.join(key_side(known, keys, unique=True), same_key(keys, null_safe=False), "left_anti")
 
 
 def merge_rows(new: DataFrame, target: DataFrame, spec: LoadSpec) -> DataFrame:
@@ -89,15 +111,7 @@ def merge_rows(new: DataFrame, target: DataFrame, spec: LoadSpec) -> DataFrame:
     if spec.mode == "upsert" and spec.update is None:
         kept = target.join(_new_side(new.select(*map(ref, keys))), _match(keys), "left_anti")
         return kept.unionByName(new)
-    if spec.mode == "upsert":
-        return _with_updates(target, new, keys, {c: ref(f"__n_{c}") for c in spec.update})
-    updates = {
-        # Cast: a sum of decimals is a wider type than the target's.
-        c: (F.coalesce(ref(c), F.lit(0)) + F.coalesce(ref(f"__n_{c}"), F.lit(0))).cast(target.schema[c].dataType)
-        for c in spec.increment
-    }
-    updates |= {c: ref(f"__n_{c}") for c in target.columns if c.lower() in LOAD_DATES}
-    return _with_updates(target, new, keys, updates)
+    return changed_rows(new, target, spec).drop("__change").unionByName(fresh_rows(new, target, spec))
 
 
 def merge_into(new: DataFrame, table: str, spec: LoadSpec) -> None:

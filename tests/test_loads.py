@@ -1,5 +1,8 @@
 """Load modes: exact rows, exact counters, repeats and recovery."""
 
+import contextlib
+import io
+import re
 from datetime import date
 
 import pytest
@@ -312,3 +315,69 @@ def test_broken_load_counts_once(spark, monkeypatch, listed):
         t.load(part_frame(spark, [(1, 1, 1)]), sp, f"other-{name}")
         assert t.load(part_frame(spark, [(1, 1, 10)]), sp, name).rows_updated == 1
     assert rows(t.read()) == [(date(2024, 1, 1), 1, 122), (date(2024, 1, 2), 1, 7)]
+
+
+def test_batch_is_evaluated_once(spark, table):
+    """Counters and rows come from one evaluation of the batch."""
+    keys = (F.rand() * 400 + 3).cast("long").alias("k")
+    batch = spark.range(1000).select(keys, F.lit("z").alias("s"), F.lit(1).cast("long").alias("n"), F.lit(NEW).alias("load_date"))
+    stats = table.load(batch, spec("upsert"), "x")
+    assert stats.rows_inserted == table.read().count() - 2 and stats.rows_inserted + stats.rows_filtered == 1000
+
+
+def _bucketed(spark, schema=SCHEMA):
+    return SnapshotTable(spark, scratch_path(spark, "buckets"), schema, buckets=16, bucket_keys=("k",))
+
+
+@pytest.mark.parametrize("mode", ["append", "upsert", "increment"])
+def test_buckets_load_as_plain_tables(spark, mode):
+    plain, cut = open_table(spark), _bucketed(spark)
+    extra = {"increment": ("n",)} if mode == "increment" else {}
+    for number in range(3):
+        batch = frame(spark, [(k * (number + 1) % 50, "a", k) for k in range(60)] + [(None, "a", 1)])
+        assert plain.load(batch, spec(mode, **extra), f"b{number}") == cut.load(batch, spec(mode, **extra), f"b{number}")
+        assert rows(plain.read()) == rows(cut.read())
+    assert cut.load(frame(spark, []), spec(mode, **extra), "empty") == LoadStats()
+    cut.load(frame(spark, [(7, "b", 1)]), spec("replace", scope={"s": ["b"]}), "scoped")
+    assert sorted({r[1] for r in rows(cut.read())}) == ["a", "b"]
+    cut.expire("load_date", date(2024, 6, 1), 10, "expire")
+    assert cut.read().count() == 0
+
+
+def test_one_key_rewrites_one_bucket(spark):
+    cut = _bucketed(spark)
+    cut.load(frame(spark, [(k, "a", k) for k in range(500)], OLD), spec("replace"), "base")
+    before = set(cut.current().locations)
+    assert len(before) == 16
+    cut.load(frame(spark, [(123, "b", 9)]), spec("upsert"), "x")
+    after = set(cut.current().locations)
+    assert len(after) == 16 and len(after - before) == 1
+    (new,) = after - before
+    (gone,) = before - after
+    assert new.rsplit("/", 1)[1] == gone.rsplit("/", 1)[1] and spark.read.parquet(new).filter("k = 123").first()["s"] == "b"
+
+
+def test_bucket_checks(spark):
+    with pytest.raises(ValueError, match="buckets"):
+        SnapshotTable(spark, "x", SCHEMA, "s", 4, ("k",))
+    with pytest.raises(ValueError, match="lacks"):
+        _bucketed(spark).load(frame(spark, [(1, "a", 1)]), spec("upsert", ("s",)), "x")
+
+
+def test_log_is_compacted(spark, monkeypatch):
+    from tallyloom.sinks import snapshot
+
+    monkeypatch.setattr(snapshot, "SEGMENT", 3)
+    t = open_table(spark)
+    first = t.load(frame(spark, [(0, "a", 0)]), spec("append"), "b0")
+    for n in range(1, 8):
+        t.load(frame(spark, [(n, "a", n)]), spec("append"), f"b{n}")
+    assert t._checkpoint() == 1 and t.commits().count() == 8
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        t.commits().explain("formatted")
+    # Folders that the scans leave out: segments up to 1, checkpoints before 1.
+    assert re.search(r"PartitionFilters: \[isnotnull\(segment#\d+\), \(segment#\d+ > 1\)", text.getvalue())
+    assert re.search(r"PartitionFilters: \[isnotnull\(upto#\d+\), \(upto#\d+ > 0\)", text.getvalue())
+    assert t.load(frame(spark, [(0, "a", 0)]), spec("append"), "b0") == first
+    assert len(rows(t.read())) == 8 and t.commits().filter("version < 5 AND size(locations) > 0").count() == 0
