@@ -36,16 +36,22 @@ GRID = 10  # cells per decade of p
 DEEPEST = 300
 
 
+def _none() -> Column:
+    return F.array().cast("array<struct<start:int,kind:int,end:int>>")
+
+
 def match_spans(text: Column, pattern: str, kind: int, values: Column | None = None, least: int = 0) -> Column:
     """Leftmost non-overlapping matches as array<struct<start, kind, end>> in code points.
 
     ``split`` gives what lies between the matches, so the places are running sums of lengths.
     ``values``: only matches whose value at the same position has ``least`` characters are kept.
+    Sums run in blocks of about the square root of the matches, then over blocks, as appending to one array copies it each time.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
     sizes = F.zip_with(F.transform(F.slice(between, F.lit(1), F.size(found)), F.length), F.transform(found, F.length), lambda gap, size: F.struct(gap.alias("gap"), size.alias("size")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:int,end:int>>").alias("out"))
+    start = F.struct(F.lit(0).alias("at"), _none().alias("out"))
+    blocks_start = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<struct<start:int,kind:int,end:int>>>").alias("out"))
 
     def step(state: Column, piece: Column) -> Column:
         begin = state["at"] + piece["gap"]
@@ -53,17 +59,24 @@ def match_spans(text: Column, pattern: str, kind: int, values: Column | None = N
         span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
         return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
 
-    spans = F.aggregate(sizes, start, step, lambda s: s["out"])
+    def behind(state: Column, block: Column) -> Column:
+        moved = F.transform(block["out"], lambda s: F.struct((s["start"] + state["at"]).alias("start"), s["kind"].alias("kind"), (s["end"] + state["at"]).alias("end")))
+        return F.struct((state["at"] + block["at"]).alias("at"), F.concat(state["out"], F.array(moved)).alias("out"))
+
+    def summed(pieces: Column) -> Column:
+        width = F.greatest(F.ceil(F.sqrt(F.size(pieces))).cast("int"), F.lit(1))
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(pieces), F.lit(1)), width)
+        blocks = F.transform(firsts, lambda first: F.aggregate(F.slice(pieces, first, width), start, step))
+        return F.flatten(F.aggregate(blocks, blocks_start, behind, lambda x: x["out"]))
+
+    # One-item array: the pieces are made once, not once a block.
+    spans = F.get(F.transform(F.array(sizes), summed), F.lit(0))
     if values is None:
         return spans
     long_enough = F.zip_with(spans, values, lambda s, v: F.struct(s.alias("s"), F.length(v).alias("n")))
     return F.transform(F.filter(long_enough, lambda x: x["n"] >= least), lambda x: x["s"])
 
 
-def _none() -> Column:
-    return F.array().cast("array<struct<start:int,kind:int,end:int>>")
-
-
 def base_spans(text: Column) -> dict[str, Column]:
     """Spans of the fixed kinds. A cheap necessary test spares most texts the pattern."""
     low = F.lower(text)
