@@ -166,6 +166,29 @@ def load_snapshot(spark, sf_dir):
     return _shown(table.read())
 
 
+@query(_SIDES + _OUT + """(
+  SELECT t.id, t.tenant, t.clicks + coalesce(n.clicks, 0) AS clicks, t.spend + coalesce(n.spend, 0) AS spend, t.day, coalesce(n.load_date, t.load_date) AS load_date
+  FROM target t LEFT JOIN last n ON n.id = t.id AND n.id % 3 = 0 UNION ALL SELECT * FROM last WHERE id % 3 = 0 AND id NOT IN (SELECT id FROM target))""")
+def load_buckets(spark, sf_dir):
+    """K1, K6: an increment on a table in buckets of its key; buckets without a key of the batch are neither read nor rewritten."""
+    table = SnapshotTable(spark, scratch_path(spark, "buckets"), _TABLE, buckets=32, bucket_keys=("id",))
+    table.load(_target(spark, sf_dir), REPLACE, "base")
+    lines = _batch(spark, sf_dir).filter("id % 3 = 0 OR id IS NULL")
+    table.load(lines, INCREMENT, "batch")
+    table.load(lines, INCREMENT, "batch")
+    return _shown(table.read())
+
+
+@query(_SIDES + _OUT + "(SELECT * FROM target WHERE day >= DATE '1999-01-01' AND id NOT IN (SELECT id FROM last) UNION ALL SELECT * FROM last)")
+def load_after_expiry(spark, sf_dir):
+    """Rows older than a day leave once; older ones that a later load brings stay."""
+    table = SnapshotTable(spark, scratch_path(spark, "expiry"), _TABLE)
+    table.load(_target(spark, sf_dir), REPLACE, "base")
+    table.expire("day", date(1999, 1, 31), 30, "expire")
+    table.load(_batch(spark, sf_dir), UPSERT, "batch")
+    return _shown(table.read())
+
+
 @query("""
 WITH target AS (SELECT o_custkey AS id, CAST(year(o_orderdate) AS VARCHAR) AS year, count(*) AS clicks FROM orders GROUP BY 1, 2),
 batch AS (SELECT l_suppkey AS id, CAST(year(l_shipdate) AS VARCHAR) AS year, count(*) AS clicks FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-01-01' GROUP BY 1, 2)

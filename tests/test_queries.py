@@ -11,7 +11,7 @@ from tallyloom.queries import ORACLES, QUERIES
 # Python is needed for structure repair only.
 PYTHON_QUERIES = {"html_repair"}
 # Scalar subqueries over one row, single small series and the commit log aside, plans join by key.
-EAGER = {"load_snapshot", "load_partitioned", "kv_table", "run_report", "account_tree"} | {n for n in QUERIES if n.startswith("stream_")}
+EAGER = {"load_snapshot", "load_partitioned", "load_buckets", "load_after_expiry", "report_files", "kv_table", "run_report", "account_tree"} | {n for n in QUERIES if n.startswith("stream_")}
 
 
 @pytest.fixture(scope="module")
