@@ -60,25 +60,30 @@ class SnapshotTable:
         self.spark, self.path, self.schema, self.partition_by = spark, path.rstrip("/"), schema, partition_by
         self.buckets, self.bucket_keys = buckets, tuple(bucket_keys)
 
-    def _entries(self, folder: str, part: str, fmt: str, after: int) -> DataFrame:
-        """Log entries under a folder, of parts later than ``after``; other parts are not opened."""
+    def _entries(self, folder: str, part: str, fmt: str, after: int) -> DataFrame | None:
+        """Log entries under a folder, of parts later than ``after``; other parts are not opened. None without the folder."""
         try:
             rows = self.spark.read.schema(f"{_COMMIT}, {part} int").format(fmt).load(f"{self.path}/{folder}")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in _COMMIT_FIELDS], F.lit(None).cast("int").alias(part))
+            return None
         return rows.filter(F.col(part) > after)
 
     def _checkpoint(self) -> int:
         """The last segment that a checkpoint holds; -1 without one."""
-        newest = self._entries("checkpoints", "upto", "parquet", -1).agg(F.max("upto")).first()[0]
+        held = self._entries("checkpoints", "upto", "parquet", -1)
+        newest = held.agg(F.max("upto")).first()[0] if held is not None else None
         return -1 if newest is None else newest
 
     def commits(self) -> DataFrame:
         """All entries; those of a checkpoint but the last one without their locations."""
         upto = self._checkpoint()
-        return self._entries("checkpoints", "upto", "parquet", upto - 1).drop("upto").unionByName(self._entries("commits", "segment", "json", upto).drop("segment"))
+        late = self._entries("commits", "segment", "json", upto)
+        if late is None:
+            return self.spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in _COMMIT_FIELDS])
+        late = late.drop("segment")
+        return late if upto < 0 else self._entries("checkpoints", "upto", "parquet", upto - 1).drop("upto").unionByName(late)
 
     def _compact(self, segment: int) -> None:
         """Gathers all entries before a segment, once its first one is about to be written."""
