@@ -16,6 +16,7 @@ from tallyloom.plans.tables import GOOGLE_TABLES, google_table
 from tallyloom.queries.registry import RUN_TS, day_text, query, r4, tab
 from tallyloom.session import scratch_path
 from tallyloom.sources import report_csv
+from tallyloom.sources.files import list_files
 
 
 @query("""
@@ -360,6 +361,11 @@ def pct_and_ratio(spark, sf_dir):
     )
 
 
+# Rows of one written report file, and splits in which the files of a report are read.
+_REPORT_ROWS = 500_000
+_REPORT_SPLITS = 256
+
+
 def _quoted(text: Column) -> Column:
     return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
 
@@ -398,15 +404,20 @@ def report_files(spark, sf_dir):
     size = "spark.sql.files.maxPartitionBytes"
     usual, out = spark.conf.get(size), None
     for report, (table, key, name, clicks, key_name, name_name) in kinds.items():
-        rows = tab(spark, sf_dir, table).select(
-            F.concat(F.lit("part"), (F.col(key) % 4).cast("string")).alias("file"),
+        given = tab(spark, sf_dir, table)
+        # Files of a bounded number of rows, four at least; hot keys are dealt too.
+        more = given.count() // (4 * _REPORT_ROWS)
+        deal = [F.lit("-"), F.pmod(F.xxhash64(key, clicks), F.lit(more + 1)).cast("string")] if more else []
+        rows = given.select(
+            F.concat(F.lit("part"), (F.col(key) % 4).cast("string"), *deal).alias("file"),
             F.col(clicks).cast("bigint").alias("ord"),
             F.concat_ws(",", _quoted(name), F.lit("2024-01-01"), F.concat(text(key), F.lit(".0")), text(clicks)).alias("line"),
         )
         path = scratch_path(spark, f"report-{report}")
         _write_reports(rows, path, f"{name_name},TimePeriod,{key_name},Clicks")
-        # Splits that cut cells, also in small files; lines are read once, here.
-        spark.conf.set(size, str(256 << 10))
+        # Splits that cut cells, also in small files; lines are read once, here. Their number is bounded, as every one is a task and a file.
+        total = list_files(spark, path, pattern="*.txt").agg(F.sum("length")).first()[0]
+        spark.conf.set(size, str(min(128 << 20, max(256 << 10, (total or 0) // _REPORT_SPLITS))))
         try:
             read = report_csv.read_report(spark, path, report)
         finally:

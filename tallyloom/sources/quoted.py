@@ -1,10 +1,10 @@
 """Records of delimited files whose quoted cells hold line breaks (S1), put together across the splits of a file.
 
 Whether a line starts inside a quoted cell depends on all lines before it. Each line is a function of that
-one bit (it stays, is closed, is opened or swaps), functions of a split are composed in line order, and those of
-the splits of a file by one more window of a row a split. Lines with quotes meet in windows of their split
-without their text; the others only where a record spans them. Only lines of broken records are shuffled with
-their text.
+one bit (it stays, is closed, is opened or swaps). What a split makes of the bit follows from its last constant line
+and the number of swaps behind it, two hash aggregates; the splits of a file are composed by a window of a row a split.
+Splits without an opening line stay where they are. Lines of the others are shuffled and sorted once, by split, and a record's
+lines are put together there; records over several splits, two parts a split at most, meet by file.
 """
 
 from __future__ import annotations
@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 
 from tallyloom.session import staged
 
-# Lines of one block of a split that are looked up together.
-BLOCK_LINES = 256
-
 # A cell is quoted where it starts with a quote; what follows its closing quote, and quotes in bare cells, are plain text.
 _INSIDE = r'[^"]*+(?:""[^"]*+)*+'
 _CELLS = rf'(?:(?:"{_INSIDE}"[^,]*+|[^",][^,]*+|),)*+'
@@ -46,57 +43,83 @@ def _open(base: Column, start: Column, odd: Column) -> Column:
     return F.coalesce(base, start) != odd
 
 
+def _splits(lines: DataFrame) -> DataFrame:
+    """One row a split: its last line (``hi``), whether a cell is open before it (``start``) and behind it (``ends_open``), and whether all lines are records (``plain``).
+
+    A file that ends inside a quoted cell raises.
+    """
+    key, files = ["file", "block"], Window.partitionBy("file").orderBy("block")
+    constant, no = F.col("open0") == F.col("open1"), F.col("line_no")
+    marks = lines.groupBy(*key).agg(
+        F.max("line_no").alias("hi"),
+        F.max(F.when(constant & F.col("open0"), no)).alias("opened"),
+        F.max(F.when(constant & ~F.col("open0"), no)).alias("closed"),
+        F.count_if(F.col("open0")).alias("opening"),
+    ).withColumn("at", F.greatest("opened", "closed"))
+    swaps = lines.filter("open0 AND NOT open1").select(*key, "line_no").join(marks.select(*key, "at"), key)
+    swaps = swaps.filter(F.col("at").isNull() | (no > F.col("at"))).groupBy(*key).agg(F.count(F.lit(1)).alias("swaps"))
+    own = F.when(F.col("at").isNotNull(), F.col("at").eqNullSafe(F.col("opened")))
+    odd = F.coalesce(F.col("swaps"), F.lit(0)) % 2 == 1
+    ends = _composed(marks.join(swaps, key, "left").withColumns({"own": own, "swapped": odd}), files, F.when(F.col("own").isNotNull(), F.col("own") != F.col("swapped")), F.col("swapped"))
+    ends = ends.withColumn("ends_open", _open(F.col("base"), F.lit(False), F.col("odd")))
+    unclosed = F.raise_error(F.concat(F.lit("a quoted cell is not closed in "), F.col("file")))
+    start = F.when(F.lead("block").over(files).isNull() & F.col("ends_open"), unclosed.cast("boolean")).otherwise(F.lag("ends_open", 1, False).over(files))
+    whole = ends.withColumn("start", start)
+    return whole.select(*key, "hi", "start", "ends_open", (~F.col("start") & (F.col("opening") == 0)).alias("plain"))
+
+
+def _with_record(lines: DataFrame, splits: DataFrame) -> DataFrame:
+    """Adds ``rec``, the first line of a line's record in its split; null where the record starts in an earlier split."""
+    here = Window.partitionBy("file", "block").orderBy("line_no")
+    before = here.rowsBetween(Window.unboundedPreceding, -1)
+    swap = F.when(F.col("open0") & ~F.col("open1"), 1).otherwise(0)
+    turned = lines.join(splits.filter("NOT plain").drop("plain"), ["file", "block"]).withColumn("odd", F.coalesce(F.sum(swap).over(before), F.lit(0)) % 2 == 1)
+    # A constant line's result, less the swaps before it.
+    fixed = F.when(F.col("open0") == F.col("open1"), F.col("open0") != F.col("odd"))
+    base = F.last(fixed, ignorenulls=True).over(before)
+    inside = turned.withColumn("inside", _open(base, F.col("start"), F.col("odd")))
+    return inside.withColumn("rec", F.last(F.when(~F.col("inside"), F.col("line_no")), ignorenulls=True).over(here))
+
+
+def _parts(placed: DataFrame, *more: Column) -> DataFrame:
+    """One row a record and split: its lines ``first`` to ``last``; ``broken`` where other splits hold more of it."""
+    key = ["file", "block", "rec"]
+    parts = placed.groupBy(*key).agg(F.min("line_no").alias("first"), F.max("line_no").alias("last"), F.max((F.col("line_no") == F.col("hi")) & F.col("ends_open")).alias("goes_on"), *more)
+    return parts.withColumn("broken", F.col("rec").isNull() | F.col("goes_on")).drop("goes_on")
+
+
+def _with_start(parts: DataFrame) -> DataFrame:
+    """Adds the place of a broken part's first line (rec_block, rec_line). A file has two such parts a split at most."""
+    files = Window.partitionBy("file").orderBy("block", "first")
+    opener = F.when(F.col("rec").isNotNull(), F.struct(F.col("block").alias("b"), F.col("rec").alias("l")))
+    places = parts.select("file", "block", "first", "rec").withColumn("__at", F.last(opener, ignorenulls=True).over(files))
+    return parts.join(places.select("file", "block", "first", F.col("__at.b").alias("rec_block"), F.col("__at.l").alias("rec_line")), ["file", "block", "first"])
+
+
 def broken_spans(lines: DataFrame) -> DataFrame:
     """Line ranges (file, block, first, last) that belong to one record, with the place of its first line (rec_block, rec_line).
 
     ``lines`` has file, block (start of the split), line_no (growing inside a split), open0 and open1. A
     file that ends inside a quoted cell raises.
     """
-    here, files = Window.partitionBy("file", "block").orderBy("line_no"), Window.partitionBy("file").orderBy("block")
-    constant = F.col("open0") == F.col("open1")
-    acting = lines.filter("open0 OR NOT open1").select("file", "block", "line_no", "open0", "open1")
-    acts = _composed(acting, here, F.when(constant, F.col("open0")), F.lit(True)).select("file", "block", "line_no", "base", "odd")
-    whole = acts.groupBy("file", "block").agg(F.max_by(F.struct("base", "odd"), "line_no").alias("all"))
-    splits = lines.groupBy("file", "block").agg(F.min("line_no").alias("lo"), F.max("line_no").alias("hi")).join(whole, ["file", "block"], "left")
-    splits = splits.select("file", "block", "lo", "hi", F.col("all.base").alias("b"), F.coalesce("all.odd", F.lit(False)).alias("o"))
-    ends = _composed(splits, files, F.when(F.col("b").isNotNull(), F.col("b") != F.col("o")), F.col("o"))
-    ends = ends.withColumn("open", _open(F.col("base"), F.lit(False), F.col("odd")))
-    unclosed = F.raise_error(F.concat(F.lit("a quoted cell is not closed in "), F.col("file")))
-    start = F.when(F.lead("block").over(files).isNull() & F.col("open"), unclosed.cast("boolean")).otherwise(F.lag("open", 1, False).over(files))
-    splits = ends.withColumn("start", start).select("file", "block", "lo", "hi", "start")
-
-    after = acts.join(splits, ["file", "block"]).withColumn("open", _open(F.col("base"), F.col("start"), F.col("odd")))
-    edges = after.withColumn("was", F.coalesce(F.lag("open").over(here), F.col("start"))).filter("open <> was")
-    spans = edges.withColumn("to", F.coalesce(F.lead("line_no").over(here), F.col("hi"))).filter("open").select(
-        "file", "block", F.col("line_no").alias("first"), F.col("to").alias("last"), F.col("block").alias("rec_block"), F.col("line_no").alias("rec_line")
-    )
-    turns = edges.groupBy("file", "block").agg(
-        F.min(F.when(~F.col("open"), F.col("line_no"))).alias("closes"), F.max(F.when(F.col("open"), F.col("line_no"))).alias("opens")
-    )
-    opener = F.when(F.col("opens").isNotNull(), F.struct(F.col("block").alias("b"), F.col("opens").alias("l")))
-    before = files.rowsBetween(Window.unboundedPreceding, -1)
-    heads = splits.join(turns, ["file", "block"], "left").withColumn("rec", F.last(opener, ignorenulls=True).over(before)).filter("start")
-    return spans.unionByName(heads.select(
-        "file", "block", F.col("lo").alias("first"), F.coalesce("closes", "hi").alias("last"), F.col("rec.b").alias("rec_block"), F.col("rec.l").alias("rec_line")
-    ))
+    names = ["file", "block", "first", "last", "rec_block", "rec_line"]
+    parts = _parts(_with_record(lines.select("file", "block", "line_no", "open0", "open1"), _splits(lines)))
+    inner = parts.filter("NOT broken AND last > first").withColumns({"rec_block": F.col("block"), "rec_line": F.col("rec")})
+    return inner.select(*names).unionByName(_with_start(parts.filter("broken")).select(*names))
 
 
 def whole_records(lines: DataFrame) -> DataFrame:
     """One row a record, as (file, block, line_no, value): its first line's place, its lines joined by line feeds.
 
     ``lines`` as for broken_spans() with value, and a stored table: places have to be the same in every pass.
+    The records are stored too.
     """
-    chunk = F.floor(F.col("line_no") / BLOCK_LINES)
-    chunks = F.sequence(F.floor(F.col("first") / BLOCK_LINES), F.floor(F.col("last") / BLOCK_LINES))
-    # Spans don't overlap, so a block of lines meets BLOCK_LINES of them at most.
-    blocks = broken_spans(lines).withColumn("chunk", F.explode(chunks)).groupBy("file", "block", "chunk").agg(
-        F.collect_list(F.struct("first", "last", "rec_block", "rec_line")).alias("spans")
-    )
-    blocks = staged(blocks, "quoted-spans")
-    placed = lines.select("file", "block", "line_no", "value", chunk.alias("chunk")).join(blocks, ["file", "block", "chunk"], "left")
-    own = F.filter("spans", lambda s: F.col("line_no").between(s["first"], s["last"]))
-    placed = placed.withColumn("rec", F.get(own, F.lit(0)))
-    single = placed.filter("rec IS NULL").select("file", "block", "line_no", "value")
-    parts = F.sort_array(F.collect_list(F.struct("block", "line_no", "value")))
-    many = placed.filter("rec IS NOT NULL").groupBy("file", "rec.rec_block", "rec.rec_line").agg(F.array_join(parts["value"], "\n").alias("value"))
+    splits = staged(_splits(lines), "quoted-splits")
+    text = lambda *order: F.array_join(F.sort_array(F.collect_list(F.struct(*order, "value")))["value"], "\n").alias("value")
+    alone = lines.join(splits.filter("plain").select("file", "block"), ["file", "block"]).select("file", "block", F.col("line_no").alias("first"), "value")
+    alone = alone.withColumns({"rec": F.col("first"), "broken": F.lit(False)})
+    parts = _parts(_with_record(lines, splits), text("line_no")).drop("last")
+    parts = staged(parts.unionByName(alone), "quoted-records")
+    single = parts.filter("NOT broken").select("file", "block", F.col("first").alias("line_no"), "value")
+    many = _with_start(parts.filter("broken")).groupBy("file", "rec_block", "rec_line").agg(text("block", "first"))
     return single.unionByName(many.select("file", F.col("rec_block").alias("block"), F.col("rec_line").alias("line_no"), "value"))

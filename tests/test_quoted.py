@@ -73,3 +73,26 @@ def test_report_with_breaks(spark, tmp_path, small_splits):
     (tmp_path / "a.csv").write_text('"Report:\nads"\n\nCampaignName,TimePeriod,AdId,Clicks,Spend\n' + body + '"© 2024\nMicrosoft Corporation",,,1,1\n')
     got = report_csv.read_report(spark, str(tmp_path), "Ad").select("CampaignName", "TimePeriod", "AdId", "Clicks").collect()
     assert sorted(map(tuple, got)) == [('Spring\nsale, "big"', f"2024-01-{d:02d}", "7", float(d)) for d in range(1, 29)]
+
+
+def test_records_are_put_together_once(spark, tmp_path, small_splits):
+    """Every pass over the records reads them from storage, none windows the lines again."""
+    (tmp_path / "a.csv").write_text("h,i\n" + 'a,"b\nc"\n' * 400)
+    got = report_csv.read_report_lines(spark, str(tmp_path))
+    assert got.inputFiles() and all("quoted-records" in f for f in got.inputFiles())
+    assert _records(spark, tmp_path) == sorted([("a.csv", "h,i")] + [("a.csv", 'a,"b\nc"')] * 400)
+
+
+def test_report_files_grow_in_number(spark, sf_dir, monkeypatch):
+    """More rows make more report files, not larger ones, and the same result."""
+    from tallyloom.queries import shaping
+
+    written, write = [], shaping._write_reports
+    monkeypatch.setattr(shaping, "_write_reports", lambda rows, path, header: (write(rows, path, header), written.append(rows.select("file").distinct().count())))
+    few = shaping.report_files(spark, sf_dir)
+    assert max(written) == 4
+    written.clear()
+    monkeypatch.setattr(shaping, "_REPORT_ROWS", 100)
+    many = shaping.report_files(spark, sf_dir)
+    assert max(written) > 4
+    assert many.exceptAll(few).count() == 0 and few.exceptAll(many).count() == 0
