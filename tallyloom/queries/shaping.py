@@ -19,6 +19,10 @@ from tallyloom.sources import report_csv
 from tallyloom.sources.files import list_files
 
 
+# Rows of a narrow table that one task makes into wide ones.
+_TASK_ROWS = 250_000
+
+
 @query("""
 SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS props_k, event_type AS meta_kind, user_id AS meta_owner_id FROM events
 """)
@@ -138,7 +142,11 @@ FROM r WHERE rn <= 25
 """)
 def google_placement_rows(spark, sf_dir):
     """X2 with cleaning and post steps: placement labels and the top 25 per ad group."""
-    p = tab(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.count(F.lit(1)).alias("n"))
+    lines = tab(spark, sf_dir, "lineitem")
+    # A bounded number of rows a task: they get wide behind this and are sorted there. A group lies in a few tasks, which cut it to its top rows.
+    tasks = lines.count() // _TASK_ROWS + 1
+    counted = lines.groupBy("l_suppkey", "l_partkey").agg(F.count(F.lit(1)).alias("n"))
+    p = counted.repartition(tasks, "l_suppkey", F.pmod(F.xxhash64("l_partkey"), F.lit(8)))
     part = F.col("l_partkey").cast("string")
     view = F.struct(
         F.concat(F.lit("p"), part).alias("placement"),

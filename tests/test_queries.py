@@ -73,3 +73,16 @@ def test_sql_types_are_plain(con, name):
     """Wide integers, decimals and dates come out differently per engine; queries give bigint, double and text."""
     types = {r[0]: r[1] for r in con.execute("describe " + ORACLES[name]).fetchall()}
     assert not {c: t for c, t in types.items() if t == "HUGEINT" or t == "DATE" or t.startswith("DECIMAL")}
+
+
+def test_placements_bound_the_rows_of_a_task(spark, sf_dir, monkeypatch):
+    """The tasks that make narrow rows wide and sort them grow in number with the input."""
+    from tallyloom.queries import shaping
+
+    usual = shaping.google_placement_rows(spark, sf_dir)
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    monkeypatch.setattr(shaping, "_TASK_ROWS", 100)
+    many = shaping.google_placement_rows(spark, sf_dir)
+    plan = many._jdf.queryExecution().optimizedPlan().toString()
+    assert f", {rows // 100 + 1}" in plan and "RepartitionByExpression" in plan
+    assert many.exceptAll(usual).count() == 0 and usual.exceptAll(many).count() == 0
