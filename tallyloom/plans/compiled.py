@@ -9,6 +9,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.operators.columns import ref
 from tallyloom.plans.steps import Context
@@ -39,11 +40,30 @@ def compile_tables(config: Mapping[str, Any]) -> dict[str, TableDef]:
     return out
 
 
+# Types whose least and largest value a hash aggregate keeps in place.
+_FIXED = (T.IntegralType, T.FractionalType, T.BooleanType, T.DateType, T.TimestampType)
+
+
+def differing_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that hold different rows.
+
+    Where all other columns are numbers or days, rows of a key are equal if least and largest values are and no null
+    stands beside a value: one aggregate by key. Other rows are made distinct first.
+    """
+    rest = [f for f in rows.schema if f.name not in keys]
+    if not all(isinstance(f.dataType, _FIXED) for f in rest):
+        nested = [f.name for f in rows.schema if f.dataType.simpleString().startswith("map")]
+        return key_repeats(rows.withColumns({c: F.to_json(ref(c)) for c in nested}).distinct(), keys)
+    differs = F.lit(False)
+    for c in (ref(f.name) for f in rest):
+        differs = differs | ~F.min(c).eqNullSafe(F.max(c)) | ~F.count(c).isin(F.lit(0), F.count(F.lit(1)))
+    return rows.groupBy(*map(ref, keys)).agg(differs.alias("differs")).filter("differs").drop("differs")
+
+
 def prove_keys(rows: DataFrame, keys: list[str]) -> None:
     """K7: a guessed key holds one row, apart from rows that are equal but for their load dates."""
     compared = rows.select(*[ref(c) for c in rows.columns if c.lower() not in LOAD_DATES and not c.startswith("__")])
-    nested = [f.name for f in compared.schema if f.dataType.simpleString().startswith("map")]
-    repeats = key_repeats(compared.withColumns({c: F.to_json(ref(c)) for c in nested}).distinct(), keys)
+    repeats = differing_keys(compared, keys)
     if first := repeats.select(F.to_json(F.struct(*map(ref, keys))).alias("key")).first():
         raise ValueError(f"guessed key {keys} holds different rows, as {json.loads(first['key'])}")
 

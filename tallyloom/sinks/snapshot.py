@@ -205,13 +205,19 @@ class SnapshotTable:
         touched = {f"__bucket={r[0]}" for r in new.select(self._bucket()).distinct().collect()}
         return [p for p in places if p.rsplit("/", 1)[1] in touched], [p for p in places if p.rsplit("/", 1)[1] not in touched]
 
-    def _write_changes(self, new: DataFrame, target: DataFrame, spec: LoadSpec, folder: str) -> tuple[str, int]:
-        """Known rows with their mark, then the new ones, which follow from the marks; the number of known keys."""
+    def _write_changes(self, new: DataFrame, target: DataFrame | None, spec: LoadSpec, folder: str) -> tuple[str, int]:
+        """Known rows with their mark, then the new ones, which follow from the marks and have none; the number of new rows.
+
+        Without a target all rows are new.
+        """
+        unmarked = F.lit(None).cast("boolean")
+        if target is None:
+            return self._write(new.withColumn("__change", unmarked), folder, spread=False), new.count()
         location = self._write(changed_rows(new, target, spec), folder, spread=False)
-        known = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField("__change", T.BooleanType())])).parquet(location).filter("__change")
-        count = known.select(*map(ref, key_columns(new, spec))).distinct().count()
-        self._write(fresh_rows(new, known, spec).withColumn("__change", F.lit(False)), folder, "append")
-        return location, count
+        marked = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField("__change", T.BooleanType())])).parquet(location)
+        self._write(fresh_rows(new, marked.filter("__change"), spec).withColumn("__change", unmarked), folder, "append")
+        # Listed anew, with the files just added.
+        return location, self.spark.read.schema("__change boolean").parquet(location).filter("__change IS NULL").count()
 
     def _base(self, entry: Row | None) -> str:
         """Directory whose partitions a load overwrites; a full rewrite starts a new one."""
@@ -271,8 +277,8 @@ class SnapshotTable:
             added = self.spark.read.schema("__new boolean").parquet(location).filter("__new").count()
             kept = []
         else:
-            location, known = self._write_changes(new, target, spec, folder)
-            added, kept = usable - known, others
+            location, added = self._write_changes(new, target if touched else None, spec, folder)
+            kept = others
         skipped = usable - added if spec.mode == "append" else 0
         updated = usable - added if spec.mode != "append" else 0
         stats = LoadStats(sent, added, updated, skipped, sent - usable)

@@ -381,3 +381,31 @@ def test_log_is_compacted(spark, monkeypatch):
     assert re.search(r"PartitionFilters: \[isnotnull\(upto#\d+\), \(upto#\d+ > 0\)", text.getvalue())
     assert t.load(frame(spark, [(0, "a", 0)]), spec("append"), "b0") == first
     assert len(rows(t.read())) == 8 and t.commits().filter("version < 5 AND size(locations) > 0").count() == 0
+
+
+def test_first_load_is_not_matched(spark, tmp_path, monkeypatch):
+    """A target without files knows no key: the batch is written as it is; later loads count new and known rows."""
+    from tallyloom.sinks import snapshot
+
+    table = snapshot.SnapshotTable(spark, str(tmp_path / "t"), spark.createDataFrame([], "k string, v bigint").schema)
+    spec = LoadSpec("t", ("k",), "upsert")
+    with monkeypatch.context() as m:
+        m.setattr(snapshot, "changed_rows", None)
+        first = table.load(spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v bigint"), spec, "1")
+    assert (first.rows_inserted, first.rows_updated, first.rows_filtered) == (2, 0, 1)
+    second = table.load(spark.createDataFrame([("b", 5), ("c", 6)], "k string, v bigint"), spec, "2")
+    assert (second.rows_inserted, second.rows_updated) == (1, 1)
+    assert sorted(map(tuple, table.read().collect())) == [("a", 1), ("b", 5), ("c", 6)]
+
+
+def test_differing_keys_in_one_aggregate(spark):
+    """Equal rows of a key prove it, also nulls; a null beside a value doesn't."""
+    from tallyloom.plans.compiled import differing_keys
+
+    rows = [("a", 1, 0.5), ("a", 1, 0.5), ("b", None, 1.0), ("b", None, 1.0), ("c", 1, 1.0), ("c", None, 1.0), ("d", 1, 1.0), ("d", 2, 1.0), (None, 1, 1.0), (None, 2, 1.0)]
+    df = spark.createDataFrame(rows, "k string, n bigint, x double")
+    assert {r.k for r in differing_keys(df, ["k"]).collect()} == {"c", "d", None}
+    plan = differing_keys(df, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1
+    texts = df.withColumn("n", F.col("n").cast("string"))
+    assert {r.k for r in differing_keys(texts, ["k"]).collect()} == {"c", "d", None}
