@@ -40,7 +40,7 @@ NO_LANGUAGE = "und"
 # Bytes of one text that are counted at a time.
 STRETCH = 1 << 22
 # Bits of a hash that is counted: fewer make smaller rows, and only rule out less where they coincide.
-HASH_BITS = 40
+HASH_BITS = 32
 _KEPT = np.uint64((1 << HASH_BITS) - 1)
 # Bytes that end a piece, and those that end a word.
 _BREAKS = np.zeros(256, bool)

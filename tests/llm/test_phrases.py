@@ -74,3 +74,8 @@ def test_stretches_share_words():
     assert len(whole) == 1 and len(cut) > 5
     assert whole[0].hashes.tolist() == [h for c in cut for h in c.hashes[: c.own].tolist()]
     assert whole[0].spelled([0, 5]).to_pylist() == [cut[0].spelled([0])[0].as_py(), whole[0].spelled([5])[0].as_py()]
+
+
+def test_counted_hashes_fit_four_bytes():
+    """A wider hash adds a byte to each of the rows counted by hash, the most that are shuffled."""
+    assert int(phrases._KEPT) < 1 << 32
