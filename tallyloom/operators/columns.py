@@ -121,7 +121,9 @@ def convert_int(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def plain_id(col: Column) -> Column:
     """``123.0`` to ``123``, whole numbers without leading zeros; anything else trimmed text."""
-    return F.regexp_replace(F.trim(col.cast("string")), r"^\+?(-?)0*(\d+)(?:\.0*)?$", "$1$2")
+    text = F.trim(col.cast("string"))
+    # Other first characters than those from + to 9 are no number's, and need no pattern.
+    return F.when((text >= "+") & (text < ":"), F.regexp_replace(text, r"^\+?(-?)0*(\d+)(?:\.0*)?$", "$1$2")).otherwise(text)
 
 
 def convert_id_types(df: DataFrame, cols: Sequence[str]) -> DataFrame:

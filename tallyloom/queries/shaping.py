@@ -369,9 +369,10 @@ def pct_and_ratio(spark, sf_dir):
     )
 
 
-# Rows of one written report file, and splits in which the files of a report are read.
+# Rows of one written report file; splits in which the files of a report are read, at least where they are large, and a split's largest size.
 _REPORT_ROWS = 500_000
-_REPORT_SPLITS = 256
+_REPORT_SPLITS = 64
+_REPORT_SPLIT_BYTES = 8 << 20
 
 
 def _quoted(text: Column) -> Column:
@@ -423,9 +424,9 @@ def report_files(spark, sf_dir):
         )
         path = scratch_path(spark, f"report-{report}")
         _write_reports(rows, path, f"{name_name},TimePeriod,{key_name},Clicks")
-        # Splits that cut cells, also in small files; lines are read once, here. Their number is bounded, as every one is a task and a file.
+        # Splits that cut cells, also in small files; lines are read once, here, and a task has few enough to hold.
         total = list_files(spark, path, pattern="*.txt").agg(F.sum("length")).first()[0]
-        spark.conf.set(size, str(min(128 << 20, max(256 << 10, (total or 0) // _REPORT_SPLITS))))
+        spark.conf.set(size, str(min(_REPORT_SPLIT_BYTES, max(256 << 10, (total or 0) // _REPORT_SPLITS))))
         try:
             read = report_csv.read_report(spark, path, report)
         finally:

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.sources import report_csv
+from tallyloom.sources import quoted, report_csv
 from tallyloom.sources.quoted import broken_spans, with_quote_state
 
 
@@ -96,3 +96,89 @@ def test_report_files_grow_in_number(spark, sf_dir, monkeypatch):
     many = shaping.report_files(spark, sf_dir)
     assert max(written) > 4
     assert many.exceptAll(few).count() == 0 and few.exceptAll(many).count() == 0
+
+
+def test_lines_are_stored_by_run(spark, tmp_path, monkeypatch):
+    """What is stored, shuffled and composed before records are cut has a row for thousands of lines, not one a line."""
+    (tmp_path / "a.csv").write_text("h,i\n" + 'a,"b\nc"\n' * 10_000)
+    rows = {}
+
+    def counted(stage):
+        def run(df, label, *more):
+            out = stage(df, label, *more)
+            rows[label] = max(out.count(), rows.get(label, 0))
+            return out
+
+        return run
+
+    for module in (quoted, report_csv):
+        if hasattr(module, "staged"):
+            monkeypatch.setattr(module, "staged", counted(module.staged))
+    assert report_csv.read_report_lines(spark, str(tmp_path)).count() == 10_001
+    assert rows["report-lines"] < 20 and rows["quoted-splits"] < 20
+
+
+def test_rows_of_a_report_stay_where_they_are(spark, tmp_path):
+    """Headers come to the records by a broadcast; no record is shuffled or sorted to meet its file's header."""
+    (tmp_path / "a.csv").write_text("CampaignName,TimePeriod,AdId,Clicks\n" + "n,2024-01-01,7,1\n" * 100)
+    read = report_csv.read_report(spark, str(tmp_path), "Ad")
+    assert read.count() == 100
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("bits", [0, 2])
+def test_runs_of_few_lines_gathered_by_a_sort(spark, tmp_path, small_splits, monkeypatch, bits):
+    fallback = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(fallback)
+    monkeypatch.setattr(quoted, "_RUN_BITS", bits)
+    spark.conf.set(fallback, "1")
+    try:
+        rng = random.Random(3)
+        texts = {f"f{i}.csv": "".join(",".join(_cell(rng) for _ in range(3)) + "\n" for _ in range(60)) for i in range(4)}
+        for name, text in texts.items():
+            (tmp_path / name).write_bytes(text.encode())
+        assert _cells(_records(spark, tmp_path)) == _cells(texts.items())
+    finally:
+        spark.conf.set(fallback, before)
+
+
+def test_line_numbers(spark, tmp_path, monkeypatch):
+    """Records near the beginning have the numbers of their lines, later ones numbers that grow."""
+    lines, at, n = [], [], 0
+    for i in range(600):
+        lines.append('"x\ny",' + str(i) if i % 3 == 0 else f"a,{i}")
+        at.append(n)
+        n += 1 + (i % 3 == 0)
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+
+    def numbers():
+        got = [(int(r.value.split(",")[1]), r.line_no) for r in report_csv.read_report_lines(spark, str(tmp_path)).collect()]
+        return [no for _, no in sorted(got)]
+
+    got = numbers()
+    assert [no - got[0] for no in got] == at
+    monkeypatch.setattr(quoted, "_EXACT_LINES", 8)
+    got = numbers()
+    assert [no - got[0] for no in got][:8] == at[:8] and all(a < b for a, b in zip(got, got[1:]))
+
+
+def test_header_is_sought_in_lines(spark, tmp_path):
+    """A preamble cell of many lines counts as many."""
+    for breaks, found in ((20, True), (40, False)):
+        path = tmp_path / str(breaks)
+        path.mkdir()
+        (path / "a.csv").write_text('"a' + "\n" * breaks + 'b"\n\nCampaignName,TimePeriod,AdId,Clicks\nn,2024-01-01,7,1\n')
+        if found:
+            assert report_csv.read_report(spark, str(path), "Ad").count() == 1
+        else:
+            with pytest.raises(Exception, match="no header"):
+                report_csv.read_report(spark, str(path), "Ad").collect()
+
+
+def test_plain_id_leaves_other_text(one):
+    from tallyloom.operators.columns import plain_id
+
+    texts = {"a": " 007.0 ", "b": "+5", "c": "-08.", "d": "", "e": "x7", "f": ",7", "g": "9a", "h": ":1", "i": "é1", "j": None, "k": ".5"}
+    got = one(*[plain_id(F.col(k)) for k in texts], **texts)
+    assert got == ("7", "5", "-8", "", "x7", ",7", "9a", ":1", "é1", None, ".5")
